@@ -173,7 +173,9 @@ def recursive_forecast(features: DataFrame, step: Step, horizon: int = 7) -> Dat
     ``step`` adds the eight outputs and ``predicted_condition`` to rows with ``region_enc`` and
     the lags. The loop runs over days only. A day's record goes into an array on the row and the
     array is exploded at the end, so the plan is one narrow pass over the stations: no shuffle,
-    no union that would repeat earlier days, and no lineage to cut.
+    no union that would repeat earlier days, and no lineage to cut. (``inline_outer``, because
+    for ``inline`` Spark infers a filter on the array's size and pushes the whole recursion
+    down into it a second time. The array is never empty.)
     """
     fields = ["day:int", *[f"{c}:double" for c in OUTPUTS], "predicted_condition:string"]
     state = features.select(
@@ -195,7 +197,7 @@ def recursive_forecast(features: DataFrame, step: Step, horizon: int = 7) -> Dat
             *shifted_lags(),
             F.concat("days", F.array(record)).alias("days"),
         )
-    return state.select("province_id", "region", "weather_date", F.inline("days")).select(
+    return state.select("province_id", "region", "weather_date", F.inline_outer("days")).select(
         "province_id",
         "region",
         F.date_add("weather_date", F.col("day")).alias("predicted_date"),
@@ -217,10 +219,11 @@ def weighted_mean_step(weights: Sequence[int] = (4, 2, 1)) -> Step:
     """Predict each measure as the weighted mean of its lags, newest first."""
 
     def step(df: DataFrame) -> DataFrame:
-        total = float(sum(weights))
+        means = {}
         for stem, _, _, out in FAMILIES:
-            weighted = [F.col(f"{stem}_{i}") * F.lit(float(w)) for i, w in enumerate(weights, 1)]
-            df = df.withColumn(out, sum(weighted[1:], weighted[0]) / F.lit(total))
+            first, *rest = [F.col(f"{stem}_{i}") * F.lit(float(w)) for i, w in enumerate(weights, 1)]
+            means[out] = sum(rest, first) / F.lit(float(sum(weights)))
+        df = df.withColumns(means)
         condition = rule_condition_column(F.col("totalprecip_mm"), F.col("avghumidity"), F.col("avgtemp_c"))
         return df.withColumn("predicted_condition", condition)
 

@@ -61,34 +61,33 @@ def lag_features(
     lags move up. Average temperature starts at the newest day itself while the other families
     start one row back; ``aligned=True`` starts all of them one row back.
 
-    Only the newest row's arrays are wanted, so this is one aggregate over the few days of the
-    look-back instead of a window over each of them.
+    Only the newest row's arrays are wanted, so the four newest rows are picked and aggregated
+    per province, which needs no second shuffle and no window over arrays. ``daily`` has one row
+    per province and day, which bounds a group by the look-back.
     """
     measures = [measure for _, measure, _ in LAG_FAMILIES]
     places = provinces.select("province_id", F.col("region").alias("dim_region"))
     recent = daily.where(within_lookback(F.col("weather_date"), as_of, lookback_days)).join(places, "province_id")
-    days = F.sort_array(F.collect_list(F.struct("weather_date", "dim_region", *measures)), asc=False)
-    newest = recent.groupBy("province_id").agg(F.slice(days, 1, 4).alias("days"))
+    window = Window.partitionBy("province_id").orderBy(F.desc("weather_date"))
+    newest = recent.withColumn("_row", F.row_number().over(window)).where(F.col("_row") <= 4)
 
-    def values(measure: str) -> Column:
-        present = F.filter(F.col("days"), lambda d: d[measure].isNotNull())
-        return F.transform(present, lambda d: d[measure].cast("double"))
+    def newest_first(measure: str) -> Column:
+        value = F.col(measure).cast("double")
+        return F.sort_array(F.collect_list(F.when(value.isNotNull(), F.struct("weather_date", value.alias("v")))), asc=False)
 
-    with_arrays = newest.select(
-        "province_id",
-        F.col("days")[0]["dim_region"].alias("region"),
-        F.col("days")[0]["weather_date"].alias("weather_date"),
-        F.lit(1).alias("row_num"),
-        *[values(measure).alias(f"_{family}") for family, measure, _ in LAG_FAMILIES],
+    with_arrays = newest.groupBy("province_id").agg(
+        F.max_by("dim_region", "weather_date").alias("region"),
+        F.max("weather_date").alias("weather_date"),
+        *[newest_first(measure).alias(f"_{measure}") for measure in measures],
     )
     return with_arrays.select(
         "province_id",
         "region",
         "weather_date",
-        "row_num",
+        F.lit(1).alias("row_num"),
         *[
-            element(F.col(f"_{family}"), (1 if aligned else first) + i).alias(f"{family}{i + 1}")
-            for family, _, first in LAG_FAMILIES
+            element(F.col(f"_{measure}"), (1 if aligned else first) + i)["v"].alias(f"{family}{i + 1}")
+            for family, measure, first in LAG_FAMILIES
             for i in range(3)
         ],
     )

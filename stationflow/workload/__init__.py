@@ -1,6 +1,13 @@
 """Registered queries over the driver's tables."""
 
-from stationflow.workload import queries_marts, queries_relational  # noqa: F401
+from stationflow.workload import (  # noqa: F401
+    queries_marts,
+    queries_metrics,
+    queries_quality,
+    queries_relational,
+    queries_streaming,
+    queries_tables,
+)
 from stationflow.workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
