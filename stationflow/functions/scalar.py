@@ -56,6 +56,17 @@ def local_time(utc: Column, zone: str = "Asia/Bangkok") -> Column:
     return F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc), "yyyy-MM-dd HH:mm:ss")
 
 
+def event_time(ts: Column) -> Column:
+    """A zone-less timestamp as the instant with that wall clock in UTC, which a watermark needs."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    return F.timestamp_micros(micros)
+
+
+def utc_day(instant: Column) -> Column:
+    """The UTC calendar day of an instant, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+
+
 def composite_key(*cols: Column, sep: str = "-") -> Column:
     """Join the parts with ``sep``; any NULL part makes the key NULL."""
     parts: list[Column] = []

@@ -13,6 +13,8 @@ from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel,
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from stationflow.functions.scalar import element
+
 # Fixed values, in feature order: feature stem, lag column stem, daily measure, predicted column.
 FAMILIES = [
     ("avgt_c_lag", "avgtemp", "avg_temperature", "avgtemp_c"),
@@ -177,27 +179,21 @@ def recursive_forecast(features: DataFrame, step: Step, horizon: int = 7) -> Dat
     for ``inline`` Spark infers a filter on the array's size and pushes the whole recursion
     down into it a second time. The array is never empty.)
     """
+    keys = ["province_id", "region", "weather_date"]
+    stems = [stem for stem, _, _, _ in FAMILIES]
     fields = ["day:int", *[f"{c}:double" for c in OUTPUTS], "predicted_condition:string"]
     state = features.select(
-        "province_id",
-        "region",
-        "weather_date",
+        *keys,
         F.col("region_enc").cast("double").alias("region_enc"),
-        *[F.col(c).cast("double").alias(c) for c in LAG_COLUMNS],
+        *[F.array(*[F.col(f"{stem}_{i}").cast("double") for i in range(1, LAGS + 1)]).alias(stem) for stem in stems],
         F.array().cast(f"array<struct<{','.join(fields)}>>").alias("days"),
     )
     for day in range(1, horizon + 1):
-        predicted = step(state)
+        predicted = step(state.select("*", *lag_columns()))
         record = F.struct(F.lit(day).alias("day"), *OUTPUTS, "predicted_condition")
-        state = predicted.select(
-            "province_id",
-            "region",
-            "weather_date",
-            "region_enc",
-            *shifted_lags(),
-            F.concat("days", F.array(record)).alias("days"),
-        )
-    return state.select("province_id", "region", "weather_date", F.inline_outer("days")).select(
+        days = F.concat("days", F.array(record)).alias("days")
+        state = predicted.select(*keys, "region_enc", *shifted_lags(), days)
+    return state.select(*keys, F.inline_outer("days")).select(
         "province_id",
         "region",
         F.date_add("weather_date", F.col("day")).alias("predicted_date"),
@@ -206,13 +202,18 @@ def recursive_forecast(features: DataFrame, step: Step, horizon: int = 7) -> Dat
     )
 
 
+def lag_columns() -> list[Column]:
+    """The lag arrays as one column per lag."""
+    return [element(F.col(stem), i - 1).alias(f"{stem}_{i}") for stem, _, _, _ in FAMILIES for i in range(1, LAGS + 1)]
+
+
 def shifted_lags() -> list[Column]:
-    """The prediction becomes lag 1, the others move back, the oldest is dropped."""
-    return [
-        F.col(out if i == 1 else f"{stem}_{i - 1}").alias(f"{stem}_{i}")
-        for stem, _, _, out in FAMILIES
-        for i in range(1, LAGS + 1)
-    ]
+    """The prediction becomes lag 1, the others move back, the oldest is dropped.
+
+    Lags are kept as arrays between days: as columns, each day would rename the columns of the
+    day before, and Spark's optimizer would track all those equalities through every join.
+    """
+    return [F.slice(F.concat(F.array(out), stem), 1, LAGS).alias(stem) for stem, _, _, out in FAMILIES]
 
 
 def weighted_mean_step(weights: Sequence[int] = (4, 2, 1)) -> Step:

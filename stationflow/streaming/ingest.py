@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stationflow.functions.scalar import event_time
 from stationflow.schemas import RAW_REQUIRED
 from stationflow.sources.messages import accepted, judge, rejected
 from stationflow.sources.tables import append_batch
@@ -83,5 +84,6 @@ def dead_letter(rows: DataFrame, path: str, batch: str) -> None:
 
 
 def dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 day") -> DataFrame:
-    """Drop repeats of ``keys`` within the watermark delay."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """Drop repeats of ``keys`` within the watermark delay; ``ts`` is a zone-less timestamp."""
+    stamped = stream.withColumn("_event_time", event_time(F.col(ts))).withWatermark("_event_time", delay)
+    return stamped.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stationflow.functions.scalar import event_time, utc_day
 from stationflow.operators.windows import latest_per_key
 from stationflow.sources.tables import PartitionedTable, VersionedTable
 from stationflow.streaming.ingest import start
@@ -53,16 +54,20 @@ def stream_daily(
     The state holds the open days only: rows later than ``delay`` are dropped. Every trigger
     merges the days that changed, each as its full aggregate, so replays are harmless.
     """
-    stamped = rows.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", delay)
+    stamped = rows.withColumn("_event_time", event_time(F.col(ts))).withWatermark("_event_time", delay)
     daily = (
         stamped.groupBy(*keys, F.window("_event_time", "1 day").alias("_window"))
         .agg(*[m.alias(name) for name, m in measures.items()])
-        .withColumn(day, F.to_date(F.col("_window.start")))
+        .withColumn(day, utc_day(F.col("_window.start")))
         .drop("_window")
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            table.upsert(batch, [*keys, day])
+        changed = batch.persist()  # each action on a batch would run the state update again
+        try:
+            if not changed.isEmpty():
+                table.upsert(changed, [*keys, day])
+        finally:
+            changed.unpersist()
 
     return start(daily, merge, checkpoint, continuous, output_mode="update")

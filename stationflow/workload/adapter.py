@@ -8,6 +8,7 @@ negative balance lack coordinates, so that dropping and reporting have something
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -113,6 +114,22 @@ def _select(shape, side) -> list[str]:
     return [f"{side(expr)} as {name}" for name, expr in shape]
 
 
+class Tables(Mapping):
+    """Tables by name, each planned when it is first asked for."""
+
+    def __init__(self, build: dict[str, Callable[[], DataFrame]]):
+        self._build = build
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._build[name]()
+
+    def __iter__(self):
+        return iter(self._build)
+
+    def __len__(self) -> int:
+        return len(self._build)
+
+
 class Data:
     """Lazily built inputs of one scale-factor folder."""
 
@@ -198,15 +215,28 @@ class Data:
         asked = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         return asked.selectExpr("c_custkey as question_id", f"{QUESTION.format(day=SPARK_DAY)} as question")
 
+    @cached_property
+    def tables(self) -> Tables:
+        return Tables(
+            {
+                "raw_observations": lambda: self.raw,
+                "raw_provinces": lambda: self.raw_provinces,
+                "raw_districts": lambda: self.raw_districts,
+                "stg_provinces": lambda: self.staged_provinces,
+                "stg_districts": lambda: self.staged_districts,
+                "stg_weather": lambda: self.staged,
+                "dim_districts": lambda: self.districts,
+                "dim_provinces": lambda: self.provinces,
+                "fct_current_weather_province": lambda: self.current,
+                "fct_weather_province": lambda: self.daily_mart,
+                "fct_weather_region": lambda: self.region_mart,
+                "forecast_7days": lambda: self.forecast,
+            }
+        )
+
     @cached_property
     def semantic_layer(self) -> SemanticLayer:
-        tables = {
-            "dim_provinces": self.provinces,
-            "fct_current_weather_province": self.current,
-            "fct_weather_province": self.daily_mart,
-            "forecast_7days": self.forecast,
-        }
-        return SemanticLayer(semantic.MODELS, semantic.METRICS, tables)
+        return SemanticLayer(semantic.MODELS, semantic.METRICS, self.tables)
 
 
 # The same tables as SQL, in dependency order. Staging, rollups and marts are written out here

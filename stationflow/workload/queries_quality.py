@@ -11,23 +11,6 @@ from stationflow.workload.adapter import Data, sql
 from stationflow.workload.registry import query
 
 
-def _tables(d: Data) -> dict[str, DataFrame]:
-    return {
-        "raw_observations": d.raw,
-        "raw_provinces": d.raw_provinces,
-        "raw_districts": d.raw_districts,
-        "stg_provinces": d.staged_provinces,
-        "stg_districts": d.staged_districts,
-        "stg_weather": d.staged,
-        "dim_districts": d.districts,
-        "dim_provinces": d.provinces,
-        "fct_current_weather_province": d.current,
-        "fct_weather_province": d.daily_mart,
-        "fct_weather_region": d.region_mart,
-        "forecast_7days": d.forecast,
-    }
-
-
 # The SQL tables behind the names; audit columns, which SQL leaves out, are constants.
 _SQL_TABLES = {
     "raw_observations": "raw",
@@ -74,7 +57,7 @@ def _report_sql(checks: list[Check]) -> str:
 def _report(name: str, checks: list[Check]) -> None:
     @query(name, _report_sql(checks))
     def run(d: Data) -> DataFrame:
-        return quality.run_checks(_tables(d), checks)
+        return quality.run_checks(d.tables, checks)
 
 
 for _kind in ("not_null", "unique", "relationship", "accepted_range", "unique_combination"):
