@@ -14,6 +14,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.functions.scalar import element
+from stationflow.operators.relational import not_null
 
 # Fixed values, in feature order: feature stem, lag column stem, daily measure, predicted column.
 FAMILIES = [
@@ -140,7 +141,7 @@ def feature_table(lags: DataFrame) -> DataFrame:
 
 def complete(features: DataFrame) -> DataFrame:
     """Stations with all lags, the only ones a forecast is made for."""
-    return features.dropna(subset=LAG_COLUMNS)
+    return not_null(features, LAG_COLUMNS)
 
 
 def skipped(features: DataFrame) -> DataFrame:
@@ -163,7 +164,7 @@ def training_table(daily: DataFrame, key: str = "province_id", day: str = "weath
     ]
     targets = [F.col(measure).cast("double").alias(out) for _, _, measure, out in FAMILIES]
     rows = daily.select(key, "region", day, F.col("predicted_condition").alias("condition"), *targets, *lagged)
-    return rows.dropna(subset=[*LAG_COLUMNS, *OUTPUTS, "condition"])
+    return not_null(rows, [*LAG_COLUMNS, *OUTPUTS, "condition"])
 
 
 # Forecast

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stationflow.operators.relational import orphans
+from stationflow.operators.relational import not_null as not_null_rows, orphans
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ def row_level_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
 def repeated(df: DataFrame, columns: Sequence[str], skip_null: bool) -> DataFrame:
     """Value combinations that occur more than once, with their row counts."""
-    rows = df.dropna(subset=list(columns)) if skip_null else df
+    rows = not_null_rows(df, columns) if skip_null else df
     return rows.groupBy(*columns).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
 
 

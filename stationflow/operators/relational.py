@@ -11,7 +11,14 @@ from stationflow.functions.scalar import as_date
 
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    """Rows with a value in every one of ``columns``.
+
+    One condition per column, unlike ``dropna``, whose single condition over all of them makes
+    Spark derive a version for every subset of columns that is renamed further up.
+    """
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from stationflow.operators.relational import not_null
 from stationflow.schemas import STAGE_DISTRICTS, STAGE_PROVINCES, STAGE_WEATHER
 
 Mapping = Sequence[tuple[str, str, str]]
@@ -13,9 +14,7 @@ Mapping = Sequence[tuple[str, str, str]]
 
 def stage(df: DataFrame, mapping: Mapping, required: Sequence[str] = (), loaded_at: str | None = None) -> DataFrame:
     """Project ``mapping`` rows of (staged name, type, source column)."""
-    if required:
-        df = df.dropna(subset=list(required))
-    staged = df.select(*[F.col(source).cast(kind).alias(name) for name, kind, source in mapping])
+    staged = not_null(df, required).select(*[F.col(source).cast(kind).alias(name) for name, kind, source in mapping])
     return staged.withColumn(loaded_at, F.current_timestamp()) if loaded_at else staged
 
 
