@@ -13,7 +13,6 @@ from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel,
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stationflow.functions.scalar import element
 from stationflow.operators.relational import not_null
 
 # Fixed values, in feature order: feature stem, lag column stem, daily measure, predicted column.
@@ -181,53 +180,54 @@ def recursive_forecast(features: DataFrame, step: Step, horizon: int = 7) -> Dat
     down into it a second time. The array is never empty.)
     """
     keys = ["province_id", "region", "weather_date"]
-    stems = [stem for stem, _, _, _ in FAMILIES]
     fields = ["day:int", *[f"{c}:double" for c in OUTPUTS], "predicted_condition:string"]
-    state = features.select(
+    state = features.selectExpr(
         *keys,
-        F.col("region_enc").cast("double").alias("region_enc"),
-        *[F.array(*[F.col(f"{stem}_{i}").cast("double") for i in range(1, LAGS + 1)]).alias(stem) for stem in stems],
-        F.array().cast(f"array<struct<{','.join(fields)}>>").alias("days"),
+        "cast(region_enc as double) as region_enc",
+        *[
+            f"array({', '.join(f'cast({stem}_{i} as double)' for i in range(1, LAGS + 1))}) as {stem}"
+            for stem, _, _, _ in FAMILIES
+        ],
+        f"cast(array() as array<struct<{','.join(fields)}>>) as days",
     )
     for day in range(1, horizon + 1):
-        predicted = step(state.select("*", *lag_columns()))
-        record = F.struct(F.lit(day).alias("day"), *OUTPUTS, "predicted_condition")
-        days = F.concat("days", F.array(record)).alias("days")
-        state = predicted.select(*keys, "region_enc", *shifted_lags(), days)
-    return state.select(*keys, F.inline_outer("days")).select(
+        predicted = step(state.selectExpr("*", *lag_columns()))
+        record = f"struct({day} as day, {', '.join(OUTPUTS)}, predicted_condition)"
+        state = predicted.selectExpr(*keys, "region_enc", *shifted_lags(), f"concat(days, array({record})) as days")
+    return state.selectExpr(*keys, "inline_outer(days)").selectExpr(
         "province_id",
         "region",
-        F.date_add("weather_date", F.col("day")).alias("predicted_date"),
+        "date_add(weather_date, day) as predicted_date",
         *OUTPUTS,
         "predicted_condition",
     )
 
 
-def lag_columns() -> list[Column]:
+def lag_columns() -> list[str]:
     """The lag arrays as one column per lag."""
-    return [element(F.col(stem), i - 1).alias(f"{stem}_{i}") for stem, _, _, _ in FAMILIES for i in range(1, LAGS + 1)]
+    return [f"get({stem}, {i - 1}) as {stem}_{i}" for stem, _, _, _ in FAMILIES for i in range(1, LAGS + 1)]
 
 
-def shifted_lags() -> list[Column]:
+def shifted_lags() -> list[str]:
     """The prediction becomes lag 1, the others move back, the oldest is dropped.
 
     Lags are kept as arrays between days: as columns, each day would rename the columns of the
     day before, and Spark's optimizer would track all those equalities through every join.
     """
-    return [F.slice(F.concat(F.array(out), stem), 1, LAGS).alias(stem) for stem, _, _, out in FAMILIES]
+    return [f"slice(concat(array({out}), {stem}), 1, {LAGS}) as {stem}" for stem, _, _, out in FAMILIES]
 
 
 def weighted_mean_step(weights: Sequence[int] = (4, 2, 1)) -> Step:
     """Predict each measure as the weighted mean of its lags, newest first."""
+    total = float(sum(weights))
+
+    def mean(stem: str) -> str:
+        return " + ".join(f"{stem}_{i} * {float(w)}D" for i, w in enumerate(weights, 1))
 
     def step(df: DataFrame) -> DataFrame:
-        means = {}
-        for stem, _, _, out in FAMILIES:
-            first, *rest = [F.col(f"{stem}_{i}") * F.lit(float(w)) for i, w in enumerate(weights, 1)]
-            means[out] = sum(rest, first) / F.lit(float(sum(weights)))
-        df = df.withColumns(means)
+        means = df.selectExpr("*", *[f"({mean(stem)}) / {total}D as {out}" for stem, _, _, out in FAMILIES])
         condition = rule_condition_column(F.col("totalprecip_mm"), F.col("avghumidity"), F.col("avgtemp_c"))
-        return df.withColumn("predicted_condition", condition)
+        return means.withColumn("predicted_condition", condition)
 
     return step
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stationflow.functions.scalar import element, within_lookback
+from stationflow.functions.scalar import within_lookback
 
 # Lag family, daily measure, position of its first lag in the newest-first array.
 LAG_FAMILIES = [
@@ -80,13 +80,13 @@ def lag_features(
         F.max("weather_date").alias("weather_date"),
         *[newest_first(measure).alias(f"_{measure}") for measure in measures],
     )
-    return with_arrays.select(
+    return with_arrays.selectExpr(
         "province_id",
         "region",
         "weather_date",
-        F.lit(1).alias("row_num"),
+        "1 as row_num",
         *[
-            element(F.col(f"_{measure}"), (1 if aligned else first) + i)["v"].alias(f"{family}{i + 1}")
+            f"get(_{measure}, {(1 if aligned else first) + i}).v as {family}{i + 1}"
             for family, measure, first in LAG_FAMILIES
             for i in range(3)
         ],

@@ -1,12 +1,14 @@
 """Registered queries over the driver's tables."""
 
 from stationflow.workload import (  # noqa: F401
+    queries_learning,
     queries_marts,
     queries_metrics,
     queries_quality,
     queries_relational,
     queries_streaming,
     queries_tables,
+    queries_text,
 )
 from stationflow.workload.registry import ORACLES, QUERIES
 
