@@ -14,6 +14,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.operators.relational import not_null
+from stationflow.session import durable
 
 # Fixed values, in feature order: feature stem, lag column stem, daily measure, predicted column.
 FAMILIES = [
@@ -257,7 +258,12 @@ class ForestForecaster:
 
 
 def fit_forecaster(training: DataFrame, trees: int = 20, depth: int = 5, seed: int = 42) -> ForestForecaster:
-    """Fit on ``training_table`` rows. The table is daily, so it is small beside the raw data."""
+    """Fit on ``training_table`` rows.
+
+    The table is daily, so it is small beside the raw data. It is written once, since every
+    forest passes over it several times.
+    """
+    training = durable(training, "training")
     regions = label_encoder(training, "region", "region_enc")
     rows = assemble_features(regions.transform(training), "_features")
     rows = VectorAssembler(inputCols=[*OUTPUTS, "region_enc"], outputCol="_outputs").transform(rows)
@@ -266,8 +272,10 @@ def fit_forecaster(training: DataFrame, trees: int = 20, depth: int = 5, seed: i
     try:
         forests = [
             RandomForestRegressor(
-                featuresCol="_features", labelCol=out, predictionCol=out, numTrees=trees, maxDepth=depth, seed=seed
-            ).fit(rows)
+                featuresCol="_features", labelCol=out, predictionCol="_fit", numTrees=trees, maxDepth=depth, seed=seed
+            )
+            .fit(rows)
+            .setPredictionCol(out)
             for out in OUTPUTS
         ]
         classes = RandomForestClassifier(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", app: str = "stationflow", **conf: str) -> SparkSession:
@@ -48,3 +48,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_root(spark)}/stationflow/{label}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, which cuts its lineage: later jobs
+    neither repeat its computation nor lose it with an executor."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
