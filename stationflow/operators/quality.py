@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from stationflow.operators.relational import not_null as not_null_rows, orphans
 
@@ -52,30 +51,29 @@ def relationship(table: str, column: str, parent: str, parent_column: str) -> li
     return [Check(table, "relationship", (column,), parent=parent, parent_column=parent_column)]
 
 
-def violates(check: Check) -> Column:
-    """Row-level failure condition of a not_null or accepted_range check."""
-    col = F.col(check.columns[0])
+def violates(check: Check) -> str:
+    """Row-level failure condition of a not_null or accepted_range check, never NULL."""
+    column = check.columns[0]
     if check.kind == "not_null":
-        return col.isNull()
+        return f"`{column}` is null"
     if check.kind == "accepted_range":
-        return F.coalesce((col < F.lit(check.low)) | (col > F.lit(check.high)), F.lit(False))
+        return f"coalesce(`{column}` < {check.low} or `{column}` > {check.high}, false)"
     raise ValueError(f"{check.kind} is not a row-level check")
 
 
-def _report_row(check: Check, failures: Column) -> Column:
-    return F.struct(
-        F.lit(check.table).alias("table"),
-        F.lit(check.kind).alias("test"),
-        F.lit(check.label).alias("column"),
-        failures.cast("long").alias("failures"),
-    )
+def _report(counts: DataFrame, failures: Mapping[Check, str]) -> DataFrame:
+    """One report row per check from a single row of counts."""
+    rows = [
+        f"named_struct('table', '{c.table}', 'test', '{c.kind}', 'column', '{c.label}', 'failures', cast({n} as bigint))"
+        for c, n in failures.items()
+    ]
+    return counts.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def row_level_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row-level checks of one table in a single pass over the columns they name."""
-    counts = df.agg(*[F.count_if(violates(c)).alias(f"_{i}") for i, c in enumerate(checks)])
-    rows = F.array(*[_report_row(c, F.col(f"_{i}")) for i, c in enumerate(checks)])
-    return counts.select(F.inline(rows))
+    counts = df.agg(*[F.expr(f"count_if({violates(c)}) as _{i}") for i, c in enumerate(checks)])
+    return _report(counts, {c: f"_{i}" for i, c in enumerate(checks)})
 
 
 def repeated(df: DataFrame, columns: Sequence[str], skip_null: bool) -> DataFrame:
@@ -92,7 +90,7 @@ def check_report(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
         counted = failures.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
     else:
         counted = repeated(df, check.columns, skip_null=check.kind == "unique").agg(F.count("*").alias("n"))
-    return counted.select(F.inline(F.array(_report_row(check, F.col("n")))))
+    return _report(counted, {check: "n"})
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -107,10 +105,12 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
         if row_level:
             reports.append(row_level_report(tables[table], row_level))
         reports += [check_report(tables, c) for c in own if c not in row_level]
-    return reduce(DataFrame.unionByName, reports)
+    while len(reports) > 1:  # in pairs, so that no plan is analysed more than a few times
+        reports = [a.unionByName(b) for a, b in zip(reports[::2], reports[1::2])] + reports[len(reports) // 2 * 2 :]
+    return reports[0]
 
 
 def failing_rows(df: DataFrame, checks: Sequence[Check], out: str = "failed") -> DataFrame:
     """Rows that break a row-level check, with the names of the checks they break."""
-    names = F.array_compact(F.array(*[F.when(violates(c), F.lit(f"{c.kind}:{c.label}")) for c in checks]))
-    return df.withColumn(out, names).where(F.size(out) > 0)
+    names = ", ".join(f"case when {violates(c)} then '{c.kind}:{c.label}' end" for c in checks)
+    return df.withColumn(out, F.expr(f"array_compact(array({names}))")).where(" or ".join(violates(c) for c in checks))

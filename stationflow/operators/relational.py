@@ -13,12 +13,10 @@ from stationflow.functions.scalar import as_date
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with a value in every one of ``columns``.
 
-    One condition per column, unlike ``dropna``, whose single condition over all of them makes
-    Spark derive a version for every subset of columns that is renamed further up.
+    A conjunction of single conditions, unlike ``dropna``, whose one condition over all columns
+    makes Spark derive a version for every subset of them that is renamed further up.
     """
-    for column in columns:
-        df = df.where(F.col(column).isNotNull())
-    return df
+    return df.where(" and ".join(f"`{c}` is not null" for c in columns)) if columns else df
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

@@ -14,7 +14,7 @@ Mapping = Sequence[tuple[str, str, str]]
 
 def stage(df: DataFrame, mapping: Mapping, required: Sequence[str] = (), loaded_at: str | None = None) -> DataFrame:
     """Project ``mapping`` rows of (staged name, type, source column)."""
-    staged = not_null(df, required).select(*[F.col(source).cast(kind).alias(name) for name, kind, source in mapping])
+    staged = not_null(df, required).selectExpr(*[f"cast({source} as {kind}) as {name}" for name, kind, source in mapping])
     return staged.withColumn(loaded_at, F.current_timestamp()) if loaded_at else staged
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from stationflow.schemas import MESSAGE_SCHEMA, RAW_REQUIRED
 
-# JSON bodies that count as empty.
-EMPTY_BODIES = ["", "null", "{}", "[]", '""', "0", "false"]
+# JSON values that count as empty. Anchored, so a long body is left at its first
+# character that does not fit.
+EMPTY_BODY = r"""^\s*(null|\{\s*\}|\[\s*\]|""|0|false)?\s*$"""
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -31,31 +32,34 @@ def stream_messages(spark: SparkSession, fmt: str = "text", path: str | None = N
 
 def drop_empty(df: DataFrame) -> DataFrame:
     """Skip messages without content: no body at all, or an empty JSON value."""
-    bare = F.regexp_replace(F.col("value"), r"\s+", "")
-    return df.where(F.col("value").isNotNull() & ~bare.isin(EMPTY_BODIES))
+    return df.where(F.col("value").isNotNull() & ~F.col("value").rlike(EMPTY_BODY))
 
 
 def decode(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
-    """Add the parsed message ``m``; malformed text ends up in ``m._corrupt``."""
+    """Add the message's fields as columns; malformed text ends up in ``_corrupt``.
+
+    The parsed message comes out of a generator, so that a filter on its fields is not pushed
+    below it. Spark would otherwise parse the text again for every field the filter names.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    return df.withColumn("m", F.from_json("value", with_corrupt, options))
+    return df.select("*", F.inline_outer(F.array(F.from_json("value", with_corrupt, options))))
 
 
 def flatten_message(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:
-    """Flat columns of ``m``, nested fields as ``<parent>_<field>``."""
+    """The message's fields, nested ones as ``<parent>_<field>``."""
     columns = []
     for field in schema.fields:
         if isinstance(field.dataType, T.StructType):
-            columns += [F.col(f"m.{field.name}.{f.name}").alias(f"{field.name}_{f.name}") for f in field.dataType]
+            columns += [f"{field.name}.{f.name} as {field.name}_{f.name}" for f in field.dataType]
         else:
-            columns.append(F.col(f"m.{field.name}").alias(field.name))
-    return df.select(*columns, *keep)
+            columns.append(field.name)
+    return df.selectExpr(*columns, *keep)
 
 
 def judge(df: DataFrame, required: Sequence[str] = RAW_REQUIRED) -> DataFrame:
     """Flattened messages with ``_reason``: NULL for a good row, else why it is rejected."""
-    flat = flatten_message(decode(drop_empty(df)).withColumn("_corrupt", F.col("m._corrupt")), keep=["value", "_corrupt"])
+    flat = flatten_message(decode(drop_empty(df)), keep=["value", "_corrupt"])
     missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
     reason = F.when(F.col("_corrupt").isNotNull(), F.lit("malformed")).otherwise(
         F.nullif(F.concat_ws(",", *missing), F.lit(""))

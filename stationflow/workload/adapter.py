@@ -26,6 +26,7 @@ from stationflow.operators.rollups import daily_rollup
 from stationflow.operators.staging import stage_districts, stage_provinces, stage_weather
 from stationflow.operators.windows import lag_features
 from stationflow.plans import marts, semantic
+from stationflow.session import durable
 
 AS_OF = "2024-01-30"
 SPLIT = "2024-01-20"
@@ -114,6 +115,19 @@ def _select(shape, side) -> list[str]:
     return [f"{side(expr)} as {name}" for name, expr in shape]
 
 
+def raw_rows(events: DataFrame) -> DataFrame:
+    return events.selectExpr("*", f"{K} as k").selectExpr(*_select(RAW, _spark))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Over all cores if the scan has fewer partitions than that, as with the one small test file.
+
+    A table of many files has more, and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Tables(Mapping):
     """Tables by name, each planned when it is first asked for."""
 
@@ -144,7 +158,7 @@ class Data:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return self.table("events").selectExpr("*", f"{K} as k").selectExpr(*_select(RAW, _spark))
+        return raw_rows(self.table("events"))
 
     @cached_property
     def raw_provinces(self) -> DataFrame:
@@ -234,6 +248,14 @@ class Data:
             }
         )
 
+    def stored(self) -> Data:
+        """The same tables with the marts written first, so that many checks on them do not
+        each repeat the rollup of all observations."""
+        stored = Data(self.spark, self.folder)
+        stored.daily = durable(self.daily, "daily")
+        stored.current = durable(self.current, "current")
+        return stored
+
     @cached_property
     def semantic_layer(self) -> SemanticLayer:
         return SemanticLayer(semantic.MODELS, semantic.METRICS, self.tables)

@@ -8,7 +8,6 @@ from stationflow.operators import incremental as inc
 from stationflow.operators.rollups import DAILY_MEASURES, daily_rollup, region_rollup, rollup
 from stationflow.operators.windows import LAG_FAMILIES, lag_arrays, latest_per_key
 from stationflow.plans import marts
-from stationflow.schemas import STAGE_WEATHER
 from stationflow.session import scratch_path
 from stationflow.sources.tables import PartitionedTable, VersionedTable
 from stationflow.workload.adapter import SPLIT, Data, rounded, rounded_sql, sql
@@ -17,17 +16,15 @@ from stationflow.workload.registry import query
 _DOUBLES = ("avg_temperature", "max_temperature", "min_temperature", "sum_precipitation", "avg_humidity", "avg_wind_kph", "avg_wind_mph")
 _DAILY = f"province_id, region, province_name, weather_date, chance_rain, {rounded_sql(*_DOUBLES)}"
 _REGION = f"region, weather_date, chance_rain, {rounded_sql(*_DOUBLES)}"
-_STAGED_DOUBLES = [name for name, kind, _ in STAGE_WEATHER if kind == "double"]
-_STAGED_REST = ", ".join(name for name, kind, _ in STAGE_WEATHER if kind != "double")
 
 
 def _before(df: DataFrame) -> DataFrame:
     return df.where(F.col("weather_date") <= F.lit(SPLIT).cast("date"))
 
 
-@query("stage_weather", sql(f"select {_STAGED_REST}, {rounded_sql(*_STAGED_DOUBLES)} from staged", "staged"))
+@query("stage_weather", sql("select * from staged", "staged"))
 def stage_weather(d: Data) -> DataFrame:
-    return rounded(d.staged)
+    return d.staged
 
 
 @query("stage_provinces", sql("select * from provinces", "provinces"))

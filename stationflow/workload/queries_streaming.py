@@ -13,20 +13,13 @@ from stationflow.sources.tables import PartitionedTable, VersionedTable, read_ba
 from stationflow.streaming.ingest import dedup, run_to_end, start, stream_ingest
 from stationflow.streaming.serving import stream_daily, stream_latest
 from stationflow.workload.adapter import Data, rounded, rounded_sql, sql
-from stationflow.workload.queries_tables import _READING, _READING_COLUMNS, _bodies
+from stationflow.workload.queries_tables import _READING, _READING_COLUMNS, publish_raw
 from stationflow.workload.registry import query
 
-FILES = 4
-
-
-def _published(d: Data, bodies: DataFrame) -> str:
-    path = scratch_path(d.spark, "topic")
-    msg.publish(bodies.repartition(FILES), path=path)
-    return path
-
-
-def _stream(d: Data, path: str, files_per_batch: int = 2) -> DataFrame:
-    return msg.stream_messages(d.spark, "text", path, maxFilesPerTrigger=str(files_per_batch))
+def _stream(d: Data, path: str, batches: int = 2) -> DataFrame:
+    """The landed files as a stream of about ``batches`` micro-batches."""
+    files = len(d.spark.read.text(path).inputFiles())
+    return msg.stream_messages(d.spark, "text", path, maxFilesPerTrigger=str(max(1, -(-files // batches))))
 
 
 def _staged_stream(d: Data, path: str) -> DataFrame:
@@ -37,24 +30,24 @@ def _staged_stream(d: Data, path: str) -> DataFrame:
 def ingest(d: Data) -> DataFrame:
     """Good messages land in the raw table in several batches; flawed ones do not."""
     raw, checkpoint = scratch_path(d.spark, "raw"), scratch_path(d.spark, "offsets")
-    stream = _stream(d, _published(d, _bodies(d)))
+    stream = _stream(d, publish_raw(d, flawed=True))
     run_to_end(stream_ingest(stream, raw, scratch_path(d.spark, "rejects"), checkpoint))
     return read_batches(d.spark, raw, RAW_SCHEMA).select(*_READING_COLUMNS)
 
 
-@query("micro_batch", "select count(*) as processed, 4 as batches from events")
+@query("micro_batch", "select count(*) as processed, true as several from events")
 def micro_batch(d: Data) -> DataFrame:
-    """One file per batch until the input is used up; the counts are what the batches reported."""
+    """Bounded batches until the input is used up; the counts are what the batches reported."""
     counted: dict[int, int] = {}
 
     def count(batch: DataFrame, batch_id: int) -> None:
         counted[batch_id] = batch.count()
 
-    stream = _stream(d, _published(d, msg.nest_message(d.raw)), files_per_batch=1)
+    stream = _stream(d, publish_raw(d), batches=4)
     run_to_end(start(stream, count, scratch_path(d.spark, "offsets")))
     rows = list(counted.items())
     batches = d.spark.createDataFrame(rows, "batch int, bodies long")
-    return batches.agg(F.sum("bodies").alias("processed"), F.count("*").cast("int").alias("batches"))
+    return batches.agg(F.sum("bodies").alias("processed"), (F.count("*") > 1).alias("several"))
 
 
 @query(
@@ -68,7 +61,7 @@ def micro_batch(d: Data) -> DataFrame:
 )
 def latest(d: Data) -> DataFrame:
     table = VersionedTable(d.spark, scratch_path(d.spark, "latest"))
-    rows = _staged_stream(d, _published(d, msg.nest_message(d.raw))).select(
+    rows = _staged_stream(d, publish_raw(d)).select(
         "province_name", "weather_updated_at", "weather_condition", "temperature_celsius"
     )
     order = [F.desc("weather_updated_at"), F.asc("weather_condition"), F.desc("temperature_celsius")]
@@ -93,7 +86,7 @@ _MEASURES = ("avg_temperature", "max_temperature", "sum_precipitation", "avg_hum
 def daily(d: Data) -> DataFrame:
     """The files are not in time order, so the watermark allows the whole period."""
     table = PartitionedTable(d.spark, scratch_path(d.spark, "daily"), ["weather_date"])
-    rows = _staged_stream(d, _published(d, msg.nest_message(d.raw)))
+    rows = _staged_stream(d, publish_raw(d))
     checkpoint = scratch_path(d.spark, "offsets")
     query = stream_daily(
         rows, table, ["province_name"], "weather_updated_at", observation_measures(), checkpoint, delay="40 days"
@@ -108,8 +101,8 @@ def daily(d: Data) -> DataFrame:
 )
 def deduplicated(d: Data) -> DataFrame:
     """Every message is delivered twice; with the repeats dropped the batch result remains."""
-    bodies = msg.nest_message(d.raw)
-    path, raw = _published(d, bodies.unionByName(bodies)), scratch_path(d.spark, "raw")
+    path, raw = publish_raw(d), scratch_path(d.spark, "raw")
+    msg.publish(msg.read_messages(d.spark, path), path=path)
     once = dedup(_staged_stream(d, path), ["province_name", "weather_updated_at"], "weather_updated_at", "40 days")
 
     def write(batch: DataFrame, batch_id: int) -> None:

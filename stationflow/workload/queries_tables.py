@@ -4,35 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
+from stationflow.functions.scalar import json_field
 from stationflow.operators.learning import OUTPUTS
 from stationflow.schemas import FORECAST_SCHEMA, MESSAGE_SCHEMA, RAW_SCHEMA
 from stationflow.session import scratch_path
 from stationflow.sources import messages as msg
 from stationflow.sources import tables
 from stationflow.sources.registry import Source, Sources
-from stationflow.workload.adapter import Data, rounded, rounded_sql, sql
+from stationflow.streaming.ingest import dead_letter
+from stationflow.workload.adapter import Data, raw_rows, rounded, rounded_sql, spread, sql
 from stationflow.workload.registry import query
 
 _READING = "province_name, last_updated, temp_c, condition_text, condition_code, precip_mm, humidity"
 _READING_COLUMNS = _READING.split(", ")
 
 
-def _bodies(d: Data) -> DataFrame:
-    """Message bodies with the flaws that happen: empty bodies, cut-off text, missing fields."""
-    events = d.table("events").select("event_id").withColumn("_id", F.col("event_id"))
-    good = msg.nest_message(d.raw)
-    flaw = (
-        F.when(F.col("_id") % 4 == 0, "null")
-        .when(F.col("_id") % 4 == 1, "{ }")
-        .when(F.col("_id") % 4 == 2, F.concat(F.lit('{"province_name": "cut off '), F.col("_id").cast("string")))
-        .otherwise(F.concat(F.lit('{"province_name": "P'), F.col("_id").cast("string"), F.lit('", "temp_c": 1.5}')))
-    )
-    return good.unionByName(events.select(flaw.alias("value")))
+def publish_raw(d: Data, flawed: bool = False) -> str:
+    """Land the observations as messages; returns the folder.
+
+    With ``flawed`` there is one more body per event of the kinds that go wrong: empty bodies,
+    cut-off text, missing fields.
+    """
+    events = spread(d.table("events"))
+    path = scratch_path(d.spark, "topic")
+    msg.publish(msg.nest_message(raw_rows(events)), path=path)
+    if flawed:
+        number = F.col("event_id").cast("string")
+        flaw = (
+            F.when(F.col("event_id") % 4 == 0, "null")
+            .when(F.col("event_id") % 4 == 1, "{ }")
+            .when(F.col("event_id") % 4 == 2, F.concat(F.lit('{"province_name": "cut off '), number))
+            .otherwise(F.concat(F.lit('{"province_name": "P'), number, F.lit('", "temp_c": 1.5}')))
+        )
+        msg.publish(events.select(flaw.alias("value")), path=path)
+    return path
+
+
+def landed(d: Data, flawed: bool = False) -> DataFrame:
+    return msg.read_messages(d.spark, publish_raw(d, flawed))
 
 
 @query("flatten_message", sql(f"select {_READING} from raw", "raw"))
 def flatten_message(d: Data) -> DataFrame:
-    return msg.flatten_message(msg.decode(msg.nest_message(d.raw))).select(*_READING_COLUMNS)
+    return msg.flatten_message(msg.decode(landed(d))).select(*_READING_COLUMNS)
 
 
 @query(
@@ -46,7 +60,7 @@ def drop_empty(d: Data) -> DataFrame:
         .when(F.col("value").contains("last_updated"), "message")
         .otherwise("incomplete")
     )
-    return msg.drop_empty(_bodies(d)).groupBy(kind.alias("kind")).agg(F.count("*").alias("bodies"))
+    return msg.drop_empty(landed(d, flawed=True)).groupBy(kind.alias("kind")).agg(F.count("*").alias("bodies"))
 
 
 @query(
@@ -56,10 +70,8 @@ def drop_empty(d: Data) -> DataFrame:
     else '{"province_name": "P' || event_id || '", "temp_c": 1.5}' end as value from events where event_id % 4 >= 2""",
 )
 def sink_dead_letter(d: Data) -> DataFrame:
-    from stationflow.streaming.ingest import dead_letter
-
     path = scratch_path(d.spark, "rejects")
-    dead_letter(msg.rejected(msg.judge(_bodies(d))), path, "all")
+    dead_letter(msg.rejected(msg.judge(landed(d, flawed=True))), path, "all")
     schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("value", T.StringType()), T.StructField("_reason", T.StringType())])
     stored = d.spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{path}/batch=all")
     return stored.select(F.col("_reason").alias("reason"), "value")
@@ -79,20 +91,24 @@ def ingest_landed_payloads(d: Data) -> DataFrame:
     path = scratch_path(d.spark, "payloads")
     current = [f for f in MESSAGE_SCHEMA.fields if f.name != "province_name"]
     stations = d.provinces.select("province_name", "latitude", "longitude")
-    parsed = msg.decode(msg.nest_message(d.raw)).select("m.*").drop("_corrupt").join(stations, "province_name")
+    parsed = msg.decode(landed(d)).drop("value", "_corrupt").join(stations, "province_name")
     parsed.select("latitude", "longitude", F.struct(*[f.name for f in current]).alias("current")).write.json(path)
     schema = T.StructType(
         [T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType()), T.StructField("current", T.StructType(current))]
     )
     named = msg.ingest_payloads(d.spark.read.schema(schema).json(path), stations)
-    return msg.flatten_message(named.select(F.struct("*").alias("m"))).select(*_READING_COLUMNS)
+    return msg.flatten_message(named).select(*_READING_COLUMNS)
 
 
-@query("publish_stream", sql(f"select {_READING} from raw", "raw"))
+@query("publish_stream", sql("select province_name, last_updated, condition_text from raw", "raw"))
 def publish_stream(d: Data) -> DataFrame:
-    path = scratch_path(d.spark, "topic")
-    msg.publish(msg.nest_message(d.raw), path=path)
-    return msg.flatten_message(msg.decode(msg.read_messages(d.spark, path))).select(*_READING_COLUMNS)
+    """What was published, field by field as text, read back without the message schema."""
+    body = landed(d)
+    return body.select(
+        json_field(F.col("value"), "$.province_name").alias("province_name"),
+        json_field(F.col("value"), "$.last_updated").alias("last_updated"),
+        json_field(F.col("value"), "$.condition.text").alias("condition_text"),
+    )
 
 
 @query(
@@ -116,7 +132,7 @@ def sink_append(d: Data) -> DataFrame:
 def row_counters(d: Data) -> DataFrame:
     """Counts taken while the rows are written, without a second pass."""
     counts = Observation("row-counters")
-    judged = msg.judge(_bodies(d)).observe(
+    judged = msg.judge(landed(d, flawed=True)).observe(
         counts,
         F.count_if(F.col("_reason").isNull()).alias("processed"),
         F.count_if(F.col("_reason") == "malformed").alias("malformed"),
