@@ -12,18 +12,21 @@ from stationflow.functions.text import first_date, word_runs, words
 FACT_COLUMNS = ["avg_temperature", "max_temperature", "min_temperature", "sum_precipitation", "avg_humidity", "condition"]
 
 
-def extract_places(questions: DataFrame, places: DataFrame, name: str = "province_name") -> DataFrame:
+def extract_places(
+    questions: DataFrame, places: DataFrame, name: str = "province_name", key: str = "question_id"
+) -> DataFrame:
     """Each question with the longest place name in it, or NULL.
 
     Names are matched as runs of whole words by an equi-join, so that ``N_1`` is not found inside
     ``N_10`` and no question is compared with every place. Ties go to the first name in order.
+    Only the runs that are names go on, as keys without the question's text.
     """
     gazetteer = places.select(F.array_join(words(F.col(name)), " ").alias("run"), F.col(name).alias("place")).distinct()
     longest = gazetteer.agg(F.max(F.size(F.split("run", " ")))).first()[0] or 1
-    runs = questions.withColumn("run", F.explode_outer(word_runs(F.col("question"), longest)))
-    found = runs.join(gazetteer, "run", "left")
-    rank = F.when(F.col("place").isNotNull(), F.struct((-F.length("place")).alias("len"), F.col("place")))
-    return found.groupBy(*questions.columns).agg(F.min(rank)["place"].alias("place"))
+    runs = questions.select(key, F.explode(word_runs(F.col("question"), longest)).alias("run"))
+    rank = F.struct((-F.length("place")).alias("len"), F.col("place"))
+    found = runs.join(gazetteer, "run").groupBy(key).agg(F.min(rank)["place"].alias("place"))
+    return questions.join(found, key, "left")
 
 
 def with_kind(questions: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
