@@ -27,15 +27,16 @@ def test_recursive_split_falls_back_to_characters():
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab \n", max_size=300), st.integers(11, 40))
-def test_recursive_split_covers_the_text(value, size):
+@given(st.lists(st.sampled_from(["x", "x", "x", " ", "\n", "\n\n"]), max_size=300), st.integers(11, 40))
+def test_recursive_split_covers_the_text(parts, size):
+    value = "".join(chr(0x4E00 + i) if p == "x" else p for i, p in enumerate(parts))  # no character twice
     chunks = text.split_recursive(value, size=size, overlap=10)
-    assert all(0 < len(c) <= size for c in chunks)
+    assert all(0 < len(c) <= size and c == c.strip() for c in chunks)
     at = 0
-    for chunk in chunks:  # in order, and with nothing but white space between
-        found = value.find(chunk, max(0, at - 10))
-        assert found >= 0 and (found <= at or not value[at:found].strip())
-        at = max(at, found + len(chunk))
+    for chunk in chunks:  # in order, overlapping by at most 10, with only white space left out
+        found = value.index(chunk)
+        assert at - 10 <= found and not value[at:found].strip()
+        at = found + len(chunk)
     assert not value[at:].strip()
 
 
