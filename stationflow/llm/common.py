@@ -66,7 +66,8 @@ def steps(batch: pa.RecordBatch, column: str = "text", budget: int = STEP_BYTES)
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, each followed by one space, and where each text starts (and the
     end). A null counts as empty."""
-    texts = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), "", " ")
+    blank = lambda x: pa.scalar(x, pa.large_string())
+    texts = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), blank("")), blank(" "), blank(""))
     if len(texts) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = texts.buffers()

@@ -1,6 +1,6 @@
 """All corpus queries."""
 
-from stationflow.llm import queries_native, queries_text  # noqa: F401
+from stationflow.llm import queries_dedup, queries_native, queries_text  # noqa: F401
 from stationflow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
