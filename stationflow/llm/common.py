@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # The white space of the contracts, as regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,11 +38,12 @@ def unit(*columns: Column) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") + 0.5) / float(1 << 53)
 
 
-def rest(df: DataFrame, *more: str) -> set[str]:
-    """Fails early if a column that the operator names is absent."""
-    if missing := [c for c in more if c not in df.columns]:
-        raise ValueError(f"columns {missing} are not in {df.columns}")
-    return set(df.columns) - set(more)
+def wider(schema: T.StructType, **more: str) -> T.StructType:
+    """A new schema with more fields, by name and type."""
+    out = T.StructType(list(schema.fields))
+    for name, kind in more.items():
+        out = out.add(name, kind)
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stationflow.llm.common import SPACES, U64, mix
+from stationflow.llm.common import SPACES, U64, mix, wider
 from stationflow.session import durable
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -210,7 +210,7 @@ class LineIndex:
         rows = docs.drop("n_lines", "n_dropped").join(gone, F.col(doc_id).eqNullSafe(F.col("_of")), "left").drop("_of")
         columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
         rows = rows.select(*[F.col(f"`{c}`") for c in columns], "_gone")
-        schema = rows.drop("_gone").schema.add("n_lines", "long").add("n_dropped", "long")
+        schema = wider(rows.drop("_gone").schema, n_lines="long", n_dropped="long")
         place = columns.index(text)
 
         def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

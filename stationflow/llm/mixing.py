@@ -66,7 +66,7 @@ def mix_sources(
     cap: float = 2.0,
     block: int = 256,
     slots_per_shard: int = 4096,
-    rows_per_bucket: int = 20_000,
+    rows_per_bucket: int = 4_000,
     seed: int = 11,
     carry: dict[str, Column] | None = None,
 ) -> Mix:
