@@ -1,19 +1,99 @@
-"""A corpus from documents to packed sequences. Each stage takes (spark, docs, sf_dir) and returns
-a DataFrame that is written as Parquet and read again as the next stage's docs."""
+"""A corpus from documents to packed sequences, by the operators of stationflow.llm.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
+again as the next stage's docs. All but the last return the columns of documents, with ``n_chars``
+brought up to date where the text has changed. Every stage works on all rows it is given:
+
+1. ``language_id``: documents whose language is not recognised (no text, no letter, or a score below
+   the calibrated one) go.
+2. ``line_dedup``: of lines that three or more documents share, all but those of the largest doc_id go.
+3. ``near_dedup``: of each class of near-duplicates the smallest doc_id stays. Rows that repeat an id
+   and a text are one document; a document without an id goes by its text.
+4. ``mixing``: sources are mixed to their weights, 150% of all words in total. A row is a document,
+   or what the mix takes of its words, once for each round through its source.
+5. ``packing``: pieces of at most 2048 tokens in sequences, as op1 returns them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stationflow.llm import language_id as languages
+from stationflow.llm.common import word_count
+from stationflow.llm.line_dedup import LineIndex
+from stationflow.llm.mixing import mix_sources
+from stationflow.llm.near_dedup import near_duplicates
+from stationflow.llm.packing import pack, token_pieces
+from stationflow.llm.queries_text import TOKENIZER
 from stationflow.session import durable
 
-STAGES: list = []
 
+def _as_documents(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, with the length of the text as it is now."""
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return changed.select(*docs.columns)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labelled = docs.where("text is not null and lang is not null")
+    if labelled.isEmpty():
+        return docs.limit(0)  # nothing to learn from, so no language is recognised
+    model = languages.fit_on(labelled, F.col("doc_id"), F.col("text"), F.col("lang"))
+    found = languages.identify(docs, "text", model, prefix="_lang_")
+    return found.where("not _lang_rejected").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    index = LineIndex.build(docs, F.col("doc_id"), F.col("text"), min_docs=3, least=20)
+    return _as_documents(index.clean(docs, references=index.references), docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # Ids are kept apart from the hashes that stand for missing ones.
+    key = F.when(F.col("doc_id").isNotNull(), F.struct(F.lit(0).alias("missing"), F.col("doc_id").alias("id")))
+    key = F.coalesce(key, F.struct(F.lit(1).alias("missing"), F.xxhash64("text").alias("id")))
+    keyed = docs.withColumn("_key", key)
+    found = near_duplicates(keyed, F.col("_key"), F.col("text"))
+    first = found.where("doc_id = class_id").select(F.col("doc_id").alias("_key")).dropDuplicates()
+    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key", "text"]).select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    mix = mix_sources(docs, F.col("doc_id"), F.col("source"), word_count(F.col("text")), carry={"_text": F.xxhash64("text")})
+    spans = mix.spans.groupBy("_src", "_start", "epoch").agg(F.sum("length").alias("_n"), F.sort_array(F.collect_list(F.struct("first", "length"))).alias("_spans"))
+    rows = mix.documents.where("size > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_text", "size", "_src", "_start")
+    # Rows that repeat an id, a source and a text have a place in the stream each; which takes which
+    # of their equal texts makes no difference, so each text is found once.
+    taken = spans.join(rows, ["_src", "_start"])
+    texts = docs.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "_text"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (texts["_text"] == taken["_text"])
+    parts = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    cut = F.flatten(F.transform("_spans", lambda s: F.slice(F.col("_parts"), s["first"].cast("int") + 1, s["length"].cast("int"))))
+    out = texts.join(taken, same).withColumn("_parts", F.when(F.col("_n") < F.col("size"), parts))
+    out = out.withColumn("text", F.when(F.col("_n") < F.col("size"), F.array_join(cut, "")).otherwise(F.col("text")))
+    return _as_documents(out, docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    packed = pack(token_pieces(docs, F.col("doc_id"), F.col("text"), TOKENIZER))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+
+#: SQL can neither train the language model nor tokenize; the tests hold the pipeline against a
+#: brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

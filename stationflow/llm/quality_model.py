@@ -39,7 +39,7 @@ LABELLERS = (
     Labeller("runs", "false", "n_runs / n_words > 0.1"),
     Labeller("word_length", "false", "n_chars / n_words not between 2 and 14"),
     Labeller("stop_words", "n_stop_words / n_words > 0.1", "n_words >= 10 and n_stop_words / n_words < 0.03"),
-    Labeller("sentences", "n_ends / n_words between 0.02 and 0.5", "n_words >= 40 and n_ends = 0"),
+    Labeller("sentences", "n_ends / n_words >= 0.02", "n_words >= 40 and n_ends = 0"),
 )
 
 
