@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -14,15 +16,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from stationflow.llm.common import steps
 from stationflow.session import durable
 
-#: Words whose ids a task remembers; beyond it starts anew, which bounds its memory.
+#: Words whose ids a task remembers. At so many it starts anew, but takes over from the last so many
+#: what it meets again, so frequent words stay and its memory is bounded.
 REMEMBERED_WORDS = 300_000
 
+#: Words that the tokenizer's normaliser only lower-cases and that are a token run of their own,
+#: apart from marks at their end, which are runs of their own too.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
 _TOKENIZERS: dict = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level models write bytes: printable ones are themselves, the others
+    follow from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordTokenizer:
-    """Ids of whole texts by a tokenizer that drops white space and never joins across it, so the
-    ids of a text are those of its words one after the other, and frequent words are looked up."""
+    """Ids of whole texts by a byte-level tokenizer that drops white space, lower-cases and never
+    joins across white space: the ids of a text are those of its words one after the other, so
+    frequent words are looked up. Plain words go straight to the tokenizer's model; all others go
+    through the whole tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,16 +47,47 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.known: dict[bytes, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.former_known, self.former_cores = self.known, self.cores
+        self.marks: dict[str, bytes] = {"": b""}
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[bytes]) -> None:
+        others = []
+        for raw in words:
+            if former := self.former_known.get(raw):
+                self.known[raw] = former
+                continue
+            word = raw.decode()
+            found = PLAIN.fullmatch(word)
+            if not found:
+                others.append(raw)
+                continue
+            core, mark = found[1].lower(), found[2]
+            if core not in self.cores:
+                if not (ids := self.former_cores.get(core)):
+                    letters = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
+                    ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+                self.cores[core] = ids
+            if mark not in self.marks:
+                self.marks[mark] = self.encoded([mark])[0]
+            self.known[raw] = self.cores[core] + self.marks[mark]
+        self.known.update(zip(others, self.encoded([w.decode() for w in others])))
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
         split = [t.split() for t in texts]
         if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        if new := list(set().union(*split).difference(self.known)):
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
+            self.known, self.former_known = {}, self.known
+        if len(self.cores) > REMEMBERED_WORDS:
+            self.cores, self.former_cores = {}, self.cores
+        if len(self.marks) > REMEMBERED_WORDS:
+            self.marks = {"": b""}
+        self.learn(list(set().union(*split).difference(self.known)))
         return [b"".join(map(self.known.__getitem__, found)) for found in split]
 
 
