@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.llm import language_id as languages
-from stationflow.llm.common import word_count
+from stationflow.llm.common import let, word_count
 from stationflow.llm.line_dedup import LineIndex
 from stationflow.llm.mixing import mix_sources
 from stationflow.llm.near_dedup import near_duplicates
@@ -27,51 +27,57 @@ from stationflow.llm.queries_text import TOKENIZER
 from stationflow.session import durable
 
 
-def _as_documents(changed: DataFrame, docs: DataFrame) -> DataFrame:
+def _packed(docs: DataFrame) -> DataFrame:
+    """The id, the text and all else in one column, so that no name of docs clashes with another."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("row"))
+
+
+def _documents(packed: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of ``docs``, with the length of the text as it is now."""
+    columns = {c: F.col("row")[c].alias(c) for c in docs.columns} | {"doc_id": F.col("doc_id"), "text": F.col("text")}
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return packed.select(*[columns[c] for c in docs.columns])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labelled = docs.where("text is not null and lang is not null")
-    if labelled.isEmpty():
-        return docs.limit(0)  # nothing to learn from, so no language is recognised
     model = languages.fit_on(labelled, F.col("doc_id"), F.col("text"), F.col("lang"))
-    found = languages.identify(docs, "text", model, prefix="_lang_")
-    return found.where("not _lang_rejected").select(*docs.columns)
+    found = languages.identify(_packed(docs), "text", model).where("not lang_rejected")
+    return _documents(found, docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    index = LineIndex.build(docs, F.col("doc_id"), F.col("text"), min_docs=3, least=20)
-    return _as_documents(index.clean(docs, references=index.references), docs)
+    packed = _packed(docs)
+    index = LineIndex.build(packed, F.col("doc_id"), F.col("text"), min_docs=3, least=20)
+    return _documents(index.clean(packed, references=index.references), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Ids are kept apart from the hashes that stand for missing ones.
-    key = F.when(F.col("doc_id").isNotNull(), F.struct(F.lit(0).alias("missing"), F.col("doc_id").alias("id")))
-    key = F.coalesce(key, F.struct(F.lit(1).alias("missing"), F.xxhash64("text").alias("id")))
-    keyed = docs.withColumn("_key", key)
-    found = near_duplicates(keyed, F.col("_key"), F.col("text"))
-    first = found.where("doc_id = class_id").select(F.col("doc_id").alias("_key")).dropDuplicates()
-    return keyed.join(first, "_key", "left_semi").dropDuplicates(["_key", "text"]).select(*docs.columns)
+    given = F.struct(F.lit(0).alias("missing"), F.col("doc_id").cast("long").alias("id"))
+    made = F.struct(F.lit(1).alias("missing"), F.xxhash64("text").alias("id"))
+    keyed = _packed(docs).withColumn("key", F.when(F.col("doc_id").isNotNull(), given).otherwise(made))
+    found = near_duplicates(keyed, F.col("key"), F.col("text"))
+    first = found.where("doc_id = class_id").select(F.col("doc_id").alias("key")).dropDuplicates()
+    return _documents(keyed.join(first, "key", "left_semi").dropDuplicates(["key", "text"]), docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mix = mix_sources(docs, F.col("doc_id"), F.col("source"), word_count(F.col("text")), carry={"_text": F.xxhash64("text")})
-    spans = mix.spans.groupBy("_src", "_start", "epoch").agg(F.sum("length").alias("_n"), F.sort_array(F.collect_list(F.struct("first", "length"))).alias("_spans"))
-    rows = mix.documents.where("size > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_text", "size", "_src", "_start")
-    # Rows that repeat an id, a source and a text have a place in the stream each; which takes which
-    # of their equal texts makes no difference, so each text is found once.
-    taken = spans.join(rows, ["_src", "_start"])
-    texts = docs.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "_text"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (texts["_text"] == taken["_text"])
-    parts = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    cut = F.flatten(F.transform("_spans", lambda s: F.slice(F.col("_parts"), s["first"].cast("int") + 1, s["length"].cast("int"))))
-    out = texts.join(taken, same).withColumn("_parts", F.when(F.col("_n") < F.col("size"), parts))
-    out = out.withColumn("text", F.when(F.col("_n") < F.col("size"), F.array_join(cut, "")).otherwise(F.col("text")))
-    return _as_documents(out, docs)
+    mix = mix_sources(docs, F.col("doc_id"), F.col("source"), word_count(F.col("text")), carry={"text_hash": F.xxhash64("text")})
+    spans = mix.spans.groupBy("_src", "_start", "epoch")
+    spans = spans.agg(F.sum("length").alias("taken"), F.sort_array(F.collect_list(F.struct("first", "length"))).alias("spans"))
+    rows = mix.documents.where("size > 0").select("_src", "_start", F.struct("doc_id", "source", "text_hash").alias("key"), "size")
+    # Rows that repeat an id, a source and a text have a place in the stream each; their texts are
+    # equal, so each is found once.
+    texts = _packed(docs).withColumn("key", F.struct("doc_id", F.col("row.source").alias("source"), F.xxhash64("text").alias("text_hash")))
+    out = spans.join(rows, ["_src", "_start"]).withColumnRenamed("key", "of")
+    out = texts.dropDuplicates(["key"]).join(out, F.col("key").eqNullSafe(F.col("of")))
+    whole, parts = F.col("taken") == F.col("size"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    cut = lambda words: F.flatten(F.transform("spans", lambda s: F.slice(words, s["first"].cast("int") + 1, s["length"].cast("int"))))
+    out = out.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(let(parts, cut), "")))
+    return _documents(out, docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,6 +37,16 @@ SCOPES = frozenset("html body main article section div ul ol dl table td th bloc
 TOKEN = re.compile(r"[a-z]+")
 
 
+def whole_markup(html: str) -> str:
+    """The page without a comment or tag that its end cuts off."""
+    comment = html.rfind("<!--")
+    if comment >= 0 and html.find("-->", comment) < 0:
+        html = html[:comment]
+    tag = html.rfind("<")
+    cut = tag > html.rfind(">") and (html[tag + 1 : tag + 2].isalpha() or html[tag + 1 : tag + 2] in ("/", "!", "?"))
+    return html[:tag] if cut else html
+
+
 class PageTree(HTMLParser):
     """The nodes of one page in page order, parents first: ``parent``, ``features``, ``runs`` (text,
     or None for an element) and ``marks`` (the value of data-main, for labelled pages)."""
@@ -47,7 +57,7 @@ class PageTree(HTMLParser):
         self.open, self.tags = [0], ["root"]
         self.hidden, self.linked = "", 0
         self.text, self.link_chars = [], 0
-        self.feed(html)
+        self.feed(whole_markup(html))
         self.close()
         self.flush()
 

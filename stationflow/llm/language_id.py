@@ -64,7 +64,7 @@ class LanguageModel:
 
     def logits(self, buckets: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
         number = np.bincount(owner, minlength=texts)[:, None] + NEUTRAL
-        sums = [np.bincount(owner, self.table[buckets, k], minlength=texts) for k in range(len(self.languages))]
+        sums = [np.bincount(owner, self.table[buckets, k], minlength=texts) for k in range(self.table.shape[1])]
         return np.stack(sums, axis=1) / number + self.bias
 
     def scores(self, buckets: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
@@ -86,12 +86,12 @@ def labelled_sample(docs: DataFrame, doc_id: Column, text: Column, lang: Column,
 
 
 def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rate: float = 0.5, batch: int = 32, seed: int = 5, accept: float = 0.999, margin: float = 0.7) -> LanguageModel:
-    """Stochastic gradient descent in numpy on whole texts. A fifth of the texts is held back: on
+    """Stochastic gradient descent in numpy on whole texts; without any, every text is ``und``. A fifth of the texts is held back: on
     it, and on fragments of four words of it, as short texts are the hard ones, the temperature is
     fitted; ``accept`` of the right predictions pass the score 1 / ``margin`` times the one for rejection."""
     languages = sorted(set(langs))
     if not languages:
-        raise ValueError("no labelled texts to learn from")
+        return LanguageModel([], np.zeros((1 << BUCKET_BITS, 1)), np.zeros(1), 1.0, 0.0)
     order = np.random.default_rng(seed).permutation(len(texts))
     target = np.array([languages.index(x) for x in langs])[order]
     grams = []  # each text's different buckets and their shares
@@ -161,7 +161,7 @@ def identify(docs: DataFrame, text: str, model: LanguageModel, prefix: str = "la
         for batch in batches:
             for part in steps(batch, names[place], 1 << 20):
                 column = pc.fill_null(part.column(place), "")
-                letters = np.asarray(pc.match_substring_regex(column, r"\p{L}").cast(pa.uint8())).astype(bool)
+                letters = np.asarray(pc.match_substring_regex(column, r"\p{L}").cast(pa.uint8())).astype(bool) & bool(known.languages)
                 buckets, owner = subwords(*utf8(pc.utf8_lower(column.cast(pa.large_string()))))
                 scores = known.scores(buckets, owner, part.num_rows)
                 best, top = scores.argmax(axis=1), np.where(letters, scores.max(axis=1), 0.0)

@@ -31,15 +31,15 @@ class Labeller:
 #: Each labeller knows one side of a text, and they overlap: what one calls bad, others see too.
 #: Most only know bad texts; a text that nobody calls bad is judged by those that know good ones.
 LABELLERS = (
-    Labeller("symbols", "false", "n_symbols / n_words > 0.1"),
-    Labeller("odd_words", "false", "n_odd / n_words > 0.1"),
-    Labeller("exclamations", "false", "n_exclaims / n_words > 0.2"),
-    Labeller("capitals", "false", "n_capitals / n_chars > 0.2"),
-    Labeller("variety", "false", "n_words >= 20 and n_different / n_words < 0.5 and n_different < 30"),
-    Labeller("runs", "false", "n_runs / n_words > 0.1"),
-    Labeller("word_length", "false", "n_chars / n_words not between 2 and 14"),
-    Labeller("stop_words", "n_stop_words / n_words > 0.1", "n_words >= 10 and n_stop_words / n_words < 0.03"),
-    Labeller("sentences", "n_ends / n_words >= 0.02", "n_words >= 40 and n_ends = 0"),
+    Labeller("symbols", "false", "try_divide(n_symbols, n_words) > 0.1"),
+    Labeller("odd_words", "false", "try_divide(n_odd, n_words) > 0.1"),
+    Labeller("exclamations", "false", "try_divide(n_exclaims, n_words) > 0.2"),
+    Labeller("capitals", "false", "try_divide(n_capitals, n_chars) > 0.2"),
+    Labeller("variety", "false", "n_words >= 20 and try_divide(n_different, n_words) < 0.5 and n_different < 30"),
+    Labeller("runs", "false", "try_divide(n_runs, n_words) > 0.1"),
+    Labeller("word_length", "false", "try_divide(n_chars, n_words) not between 2 and 14"),
+    Labeller("stop_words", "try_divide(n_stop_words, n_words) > 0.1", "n_words >= 10 and try_divide(n_stop_words, n_words) < 0.03"),
+    Labeller("sentences", "try_divide(n_ends, n_words) >= 0.02", "n_words >= 40 and n_ends = 0"),
 )
 
 
@@ -104,7 +104,7 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     patterns = np.where(patterns < 0, 2, patterns)
     labellers = patterns.shape[1]
     model = LabelModel(0.9, np.tile(np.array([[0.3, 0.1, 0.6], [0.003, 0.4, 0.597]]), (labellers, 1, 1)))
-    for _ in range(rounds):
+    for _ in range(rounds if len(patterns) else 0):
         good = model.posterior(patterns)
         chance = np.empty((labellers, 2, 3))
         for truth, weight in enumerate((counts * (1 - good), counts * good)):
@@ -120,12 +120,11 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
 
 
 def label_model(voted: DataFrame) -> LabelModel:
-    """From all rows: only the different patterns of votes, at most 3^labellers, reach the driver."""
-    found = voted.groupBy("votes").count().collect()
-    if not found:
-        raise ValueError("no texts to learn from")
-    found.sort(key=lambda r: r["votes"])
-    return expectation_maximisation(np.array([r["votes"] for r in found]), np.array([r["count"] for r in found], float))
+    """From all rows: only the different patterns of votes, at most 3^labellers, reach the driver. Of
+    no rows comes what it starts from."""
+    found = sorted(voted.groupBy("votes").count().collect(), key=lambda r: r["votes"])
+    patterns = np.array([r["votes"] for r in found], int).reshape(len(found), len(LABELLERS))
+    return expectation_maximisation(patterns, np.array([r["count"] for r in found], float))
 
 
 def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +163,7 @@ def fit_scorer(texts: list[str], target: np.ndarray, epochs: int = 40, rate: flo
     rows = [np.unique(features(*utf8(pa.array([t], pa.large_string())))[0], return_counts=True) for t in texts]
     weights, scale, bias = np.zeros(1 << BUCKET_BITS), np.full(1 << BUCKET_BITS, 1e-8), 0.0
     rng = np.random.default_rng(seed)
-    for epoch in range(epochs):
+    for epoch in range(epochs if rows else 0):
         for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 64)):
             ids = np.concatenate([rows[i][0] for i in part])
             share = np.concatenate([rows[i][1] / max(1, rows[i][1].sum()) for i in part])
@@ -185,7 +184,7 @@ def fit_on(docs: DataFrame, doc_id: Column, text: Column, sample: int = 4000, se
     drawn = drawn.where("text is not null").orderBy("_h", "_t").limit(sample)
     rows = votes(drawn, F.col("text"), F.col("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
-    cast = np.array([r["votes"] for r in rows]).reshape(len(rows), len(LABELLERS))
+    cast = np.array([r["votes"] for r in rows], int).reshape(len(rows), len(LABELLERS))
     return model, fit_scorer([r["doc_id"] for r in rows], model.posterior(np.where(cast < 0, 2, cast)))
 
 

@@ -42,13 +42,13 @@ class Rule:
 
 #: The threshold table. A ratio without a base (no word, no line) is null and never rejects.
 RULES = (
-    Rule("word_length", "word_chars / n_words", 2.5, 12.0),
-    Rule("symbol_ratio", "n_symbols / n_words", None, 0.1),
-    Rule("exclamation_ratio", "n_exclamations / n_words", None, 0.2),
-    Rule("stop_words", "n_stop_words / n_words", 0.02, None),
-    Rule("duplicate_lines", "n_dup_lines / n_lines", None, 0.3),
-    Rule("bullet_lines", "n_bullet_lines / n_lines", None, 0.9),
-    Rule("ellipsis_lines", "n_ellipsis_lines / n_lines", None, 0.3),
+    Rule("word_length", "try_divide(word_chars, n_words)", 2.5, 12.0),
+    Rule("symbol_ratio", "try_divide(n_symbols, n_words)", None, 0.1),
+    Rule("exclamation_ratio", "try_divide(n_exclamations, n_words)", None, 0.2),
+    Rule("stop_words", "try_divide(n_stop_words, n_words)", 0.02, None),
+    Rule("duplicate_lines", "try_divide(n_dup_lines, n_lines)", None, 0.3),
+    Rule("bullet_lines", "try_divide(n_bullet_lines, n_lines)", None, 0.9),
+    Rule("ellipsis_lines", "try_divide(n_ellipsis_lines, n_lines)", None, 0.3),
 )
 
 
