@@ -18,26 +18,28 @@ def merge_rows(
     """The target after merging ``source``, whose keys must be unique.
 
     A matched row takes all source columns, or only ``update_columns`` and keeps the rest. An
-    unmatched source row is inserted, an unmatched target row stays. Both sides are unique by
-    key, so no join key is hot.
+    unmatched source row is inserted, an unmatched target row stays. A NULL in a key equals a
+    NULL, so merging the same rows again changes nothing. Both sides are unique by key, so no
+    join key is hot.
     """
-    keys = list(keys)
+    keys, columns = list(keys), target.columns
     if update_columns is None:
-        kept = target.join(source.select(*keys), keys, "left_anti")
-        return kept.unionByName(source.select(*target.columns))
-    t = target.withColumn("_in_target", F.lit(True)).alias("t")
-    s = source.withColumn("_in_source", F.lit(True)).alias("s")
-    joined = t.join(s, keys, "full")
-    matched_source = F.col("_in_source").isNotNull()
-    inserted = F.col("_in_target").isNull()
-    columns = []
-    for name in target.columns:
-        if name in keys:
-            columns.append(F.col(name))
-            continue
-        take_source = matched_source if name in update_columns else inserted
-        columns.append(F.when(take_source, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name))
-    return joined.select(*columns)
+        known = source.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+        kept = target.join(known, _same(target, known, keys), "left_anti")
+        return kept.unionByName(source.select(*columns))
+    s = source.select(*[F.col(c).alias(f"_key_{c}" if c in keys else f"_new_{c}") for c in columns], F.lit(True).alias("_in_source"))
+    joined = target.withColumn("_in_target", F.lit(True)).join(s, _same(target, s, keys), "full")
+    inserted, matched = F.col("_in_target").isNull(), F.col("_in_source").isNotNull()
+    out = []
+    for name in columns:
+        take = inserted if name in keys or name not in update_columns else matched
+        new = F.col(f"_key_{name}" if name in keys else f"_new_{name}")
+        out.append(F.when(take, new).otherwise(F.col(name)).alias(name))
+    return joined.select(*out)
+
+
+def _same(target: DataFrame, source: DataFrame, keys: Sequence[str]):
+    return reduce(lambda a, b: a & b, [target[k].eqNullSafe(source[f"_key_{k}"]) for k in keys])
 
 
 def detect_changes(

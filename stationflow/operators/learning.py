@@ -14,6 +14,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.operators.relational import not_null
+from stationflow.operators.windows import LAG_FAMILIES
 from stationflow.session import durable
 
 # Fixed values, in feature order: feature stem, lag column stem, daily measure, predicted column.
@@ -154,16 +155,20 @@ def assemble_features(df: DataFrame, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=FEATURES, outputCol=out, handleInvalid="error").transform(df)
 
 
-def training_table(daily: DataFrame, key: str = "province_id", day: str = "weather_date") -> DataFrame:
-    """Daily rows with the lags of the three rows before as features and their own values as targets."""
-    window = Window.partitionBy(key).orderBy(day)
+def training_table(daily: DataFrame, key: str = "province_id", day: str = "weather_date", aligned: bool = False) -> DataFrame:
+    """Daily rows with their own values as targets, and as features what ``lag_features`` serves on
+    the day before: of the four rows before, newest first and without NULLs, the average temperature
+    from the first on and the other measures from the second on (all from the first, if ``aligned``).
+    """
+    window = Window.partitionBy(key).orderBy(day).rowsBetween(-4, -1)
+    first = {family: 0 if aligned else start for family, _, start in LAG_FAMILIES}
+    arrays = [F.reverse(F.collect_list(F.col(measure).cast("double")).over(window)).alias(f"_{stem}") for stem, _, measure, _ in FAMILIES]
+    targets = [F.col(measure).cast("double").alias(out) for _, _, measure, out in FAMILIES]
+    rows = daily.select(key, "region", day, F.col("predicted_condition").alias("condition"), *targets, *arrays)
     lagged = [
-        F.lag(F.col(measure).cast("double"), i).over(window).alias(f"{stem}_{i}")
-        for stem, _, measure, _ in FAMILIES
-        for i in range(1, LAGS + 1)
+        F.get(f"_{stem}", F.lit(first[family] + i - 1)).alias(f"{stem}_{i}") for stem, family, _, _ in FAMILIES for i in range(1, LAGS + 1)
     ]
-    targets = [F.col(measure).cast("double").alias(out) for _, _, measure, out in FAMILIES]
-    rows = daily.select(key, "region", day, F.col("predicted_condition").alias("condition"), *targets, *lagged)
+    rows = rows.select(key, "region", day, "condition", *OUTPUTS, *lagged)
     return not_null(rows, [*LAG_COLUMNS, *OUTPUTS, "condition"])
 
 
@@ -300,10 +305,8 @@ def fit_forecaster(training: DataFrame, trees: int = 20, depth: int = 5, seed: i
     return ForestForecaster(regions, forests, classifier)
 
 
-def evaluate_forecaster(model: ForestForecaster, held_out: DataFrame) -> DataFrame:
-    """``(target, metric, value)`` on rows the model has not seen, in one pass over them."""
-    truth = held_out.withColumnsRenamed({out: f"true_{out}" for out in OUTPUTS})
-    scored = model.step(model.encode(truth))
+def _scores(scored: DataFrame) -> DataFrame:
+    """``(target, metric, value)`` of predicted outputs beside ``true_`` ones, in one pass."""
     columns = []
     for out in OUTPUTS:
         true, error = F.col(f"true_{out}"), F.col(out) - F.col(f"true_{out}")
@@ -322,3 +325,18 @@ def evaluate_forecaster(model: ForestForecaster, held_out: DataFrame) -> DataFra
         for i, (t, m, _) in enumerate(columns)
     ]
     return totals.select(F.inline(F.array(*rows)))
+
+
+def evaluate_forecaster(model: ForestForecaster, held_out: DataFrame) -> DataFrame:
+    """One day ahead: ``(target, metric, value)`` on rows of ``training_table`` that the model has not
+    seen."""
+    truth = held_out.withColumnsRenamed({out: f"true_{out}" for out in OUTPUTS})
+    return _scores(model.step(model.encode(truth)))
+
+
+def evaluate_forecast(forecast: DataFrame, daily: DataFrame, day: str = "weather_date") -> DataFrame:
+    """``(target, metric, value)`` of a forecast as it is served, of any step and horizon, on the days
+    that have since been observed: ``daily`` with ``predicted_condition`` as the condition that was."""
+    measures = [F.col(measure).cast("double").alias(f"true_{out}") for _, _, measure, out in FAMILIES]
+    truth = daily.select("province_id", F.col(day).alias("predicted_date"), F.col("predicted_condition").alias("condition"), *measures)
+    return _scores(forecast.join(truth, ["province_id", "predicted_date"]))

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.functions.scalar import indicator, kph_to_mph, to_day
+from stationflow.schemas import EVENT_DAY
 
+# The daily facts' measures.
 DAILY_MEASURES = (
     "avg_temperature",
     "max_temperature",
@@ -56,7 +58,8 @@ def daily_rollup(staged: DataFrame, provinces: DataFrame) -> DataFrame:
     are unique in the dimension (a data test), and leaves days x stations rows to be joined
     rather than every observation.
     """
-    daily = rollup(staged, ["province_name"], "weather_updated_at", observation_measures())
+    time = EVENT_DAY if EVENT_DAY in staged.columns else "weather_updated_at"
+    daily = rollup(staged, ["province_name"], time, observation_measures())
     places = provinces.select("province_id", "region", "province_name")
     return daily.join(places, "province_name").select(
         "province_id", "region", "province_name", "weather_date", *DAILY_MEASURES

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from stationflow.operators.relational import not_null
-from stationflow.schemas import STAGE_DISTRICTS, STAGE_PROVINCES, STAGE_WEATHER
+from stationflow.schemas import EVENT_DAY, STAGE_DISTRICTS, STAGE_PROVINCES, STAGE_WEATHER
 
 Mapping = Sequence[tuple[str, str, str]]
 
@@ -19,8 +19,10 @@ def stage(df: DataFrame, mapping: Mapping, required: Sequence[str] = (), loaded_
 
 
 def stage_weather(raw: DataFrame) -> DataFrame:
-    """All 25 raw columns cast and renamed; no row is dropped, repeats stay."""
-    return stage(raw, STAGE_WEATHER)
+    """All 25 raw columns cast and renamed; no row is dropped, repeats stay. The raw table's day goes
+    along, so that filters on it prune its partitions."""
+    day = [(EVENT_DAY, "date", EVENT_DAY)] if EVENT_DAY in raw.columns else []
+    return stage(raw, [*STAGE_WEATHER, *day])
 
 
 def stage_provinces(raw: DataFrame) -> DataFrame:

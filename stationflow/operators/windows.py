@@ -59,7 +59,8 @@ def lag_features(
 
     Lags count available rows, not calendar days, and a NULL measure is skipped so that later
     lags move up. Average temperature starts at the newest day itself while the other families
-    start one row back; ``aligned=True`` starts all of them one row back.
+    start one row back; ``aligned=True`` starts all of them at the newest day. A model must be fitted
+    on rows of ``learning.training_table`` with the same ``aligned``.
 
     Only the newest row's arrays are wanted, so the four newest rows are picked and aggregated
     per province, which needs no second shuffle and no window over arrays. ``daily`` has one row
@@ -86,7 +87,7 @@ def lag_features(
         "weather_date",
         "1 as row_num",
         *[
-            f"get(_{measure}, {(1 if aligned else first) + i}).v as {family}{i + 1}"
+            f"get(_{measure}, {(0 if aligned else first) + i}).v as {family}{i + 1}"
             for family, measure, first in LAG_FAMILIES
             for i in range(3)
         ],

@@ -23,6 +23,7 @@ DISTRICT_COMPARE = ["province_id", "district_name", "district_name_vn", "latitud
 PROVINCE_UPDATE = ["province_name", "province_name_vn", "latitude", "longitude", "region", "updated_at"]
 DISTRICT_UPDATE = ["province_id", "district_name", "district_name_vn", "latitude", "longitude", "updated_at"]
 
+# The current snapshot's columns.
 CURRENT_COLUMNS = [
     "province_id",
     "region",
@@ -114,9 +115,10 @@ def refresh_daily_mart(
     keys = ["province_id", "weather_date"]
     if full_refresh or not table.exists():
         return table.overwrite(flag_new_rows(daily_mart_rows(daily, provinces), None, keys))
-    fresh = after_mark(daily, "weather_date", table.max_of("weather_date"), True, reprocess_days)
-    rows = daily_mart_rows(fresh, provinces)
-    return table.upsert(flag_new_rows(rows, table.read(), keys), keys)
+    mark = table.max_of("weather_date")
+    rows = daily_mart_rows(after_mark(daily, "weather_date", mark, True, reprocess_days), provinces)
+    known = after_mark(table.read(), "weather_date", mark, True, reprocess_days)  # the same days, as a literal
+    return table.upsert(flag_new_rows(rows, known, keys), keys)
 
 
 def region_mart_rows(daily: DataFrame, provinces: DataFrame) -> DataFrame:

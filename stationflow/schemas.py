@@ -57,6 +57,16 @@ def _raw_fields() -> list[T.StructField]:
 RAW_SCHEMA = T.StructType(_raw_fields())
 RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 
+# The raw table: the message's time is read once, at ingest, and stored typed; its day is the
+# partition, so that refreshes and look-backs read the days they need.
+EVENT_DAY = "event_day"
+RAW_TABLE_SCHEMA = T.StructType(
+    [
+        *[T.StructField(f.name, T.TimestampNTZType() if f.name == "last_updated" else f.dataType) for f in RAW_SCHEMA.fields],
+        T.StructField(EVENT_DAY, T.DateType()),
+    ]
+)
+
 # Columns a raw row must carry; a message without them is a dead letter.
 RAW_REQUIRED = ["province_name", "last_updated", "temp_c", "condition_text", "humidity"]
 
@@ -90,6 +100,7 @@ STAGE_WEATHER = [
     ("record_loaded_at", "timestamp_ntz", "last_updated"),
 ]
 
+# Staged name, staged type, source column.
 STAGE_PROVINCES = [
     ("province_id", "int", "province_code"),
     ("province_name", "string", "en_name"),
@@ -99,6 +110,7 @@ STAGE_PROVINCES = [
     ("region", "string", "region"),
 ]
 
+# Staged name, staged type, source column.
 STAGE_DISTRICTS = [
     ("district_id", "int", "district_code"),
     ("province_id", "int", "province_code"),
@@ -108,7 +120,7 @@ STAGE_DISTRICTS = [
     ("longitude", "double", "longitude"),
 ]
 
-# The forecast table as declared; its key stays an int like the dimension's.
+# The forecast table as declared; its key stays an int like the dimension's.
 FORECAST_SCHEMA = T.StructType(
     [
         T.StructField("province_id", T.IntegerType()),
@@ -125,3 +137,14 @@ FORECAST_SCHEMA = T.StructType(
         T.StructField("predicted_condition", T.StringType()),
     ]
 )
+
+_MEASURES = "avg_temperature double, max_temperature double, min_temperature double"
+DAILY_FACT_SCHEMA = (
+    f"province_id int, province_name string, weather_date date, {_MEASURES}, sum_precipitation double, chance_rain int, "
+    "avg_humidity double, avg_wind_kph double, avg_wind_mph double, region string, condition string, "
+    "updated_at timestamp, is_new_row boolean"
+)
+REGION_FACT_SCHEMA = (
+    f"region string, weather_date date, {_MEASURES}, avg_humidity double, sum_precipitation double, chance_rain int, "
+    "avg_wind_kph double, avg_wind_mph double, updated_at timestamp"
+)

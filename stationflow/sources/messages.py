@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from stationflow.schemas import MESSAGE_SCHEMA, RAW_REQUIRED
+from stationflow.schemas import EVENT_DAY, MESSAGE_SCHEMA, RAW_REQUIRED
 
 # JSON values that count as empty. Anchored, so a long body is left at its first
 # character that does not fit.
@@ -57,22 +57,32 @@ def flatten_message(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA, keep:
     return df.selectExpr(*columns, *keep)
 
 
-def judge(df: DataFrame, required: Sequence[str] = RAW_REQUIRED) -> DataFrame:
-    """Flattened messages with ``_reason``: NULL for a good row, else why it is rejected."""
+def judge(df: DataFrame, required: Sequence[str] = RAW_REQUIRED, time: str = "last_updated") -> DataFrame:
+    """Flattened messages with ``_time``, the message's time, and ``_reason``: NULL for a good row,
+    else why it is rejected. A time that cannot be read is rejected here, so that nothing that is
+    accepted fails a later cast."""
     flat = flatten_message(decode(drop_empty(df)), keep=["value", "_corrupt"])
+    flat = flat.withColumn("_time", F.col(time).try_cast("timestamp_ntz"))
     missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+    unread = F.when(F.col(time).isNotNull() & F.col("_time").isNull(), F.lit(f"unreadable {time}"))
     reason = F.when(F.col("_corrupt").isNotNull(), F.lit("malformed")).otherwise(
-        F.nullif(F.concat_ws(",", *missing), F.lit(""))
+        F.nullif(F.concat_ws(",", *missing, unread), F.lit(""))
     )
     return flat.withColumn("_reason", reason).drop("_corrupt")
 
 
-def accepted(judged: DataFrame) -> DataFrame:
-    return judged.where(F.col("_reason").isNull()).drop("_reason", "value")
+def accepted(judged: DataFrame, time: str = "last_updated") -> DataFrame:
+    """Good rows as the raw table holds them: the time typed, and its day."""
+    return typed(judged.where(F.col("_reason").isNull()).drop("_reason", "value").withColumn(time, F.col("_time")).drop("_time"), time)
+
+
+def typed(raw: DataFrame, time: str = "last_updated") -> DataFrame:
+    """Add the day that the raw table is partitioned by to rows whose time is a timestamp."""
+    return raw.withColumn(EVENT_DAY, F.to_date(time))
 
 
 def rejected(judged: DataFrame) -> DataFrame:
-    return judged.where(F.col("_reason").isNotNull())
+    return judged.where(F.col("_reason").isNotNull()).drop("_time")
 
 
 def nest_message(raw: DataFrame, schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
@@ -97,11 +107,9 @@ def publish(messages: DataFrame, fmt: str = "text", path: str | None = None, **o
         writer.save()
 
 
-def ingest_payloads(payloads: DataFrame, stations: DataFrame) -> DataFrame:
-    """Landed API payloads to messages: the ``current`` object with the station's name.
-
-    ``payloads`` has the ``latitude`` and ``longitude`` that were asked for and the payload's
-    ``current`` struct; ``stations`` has ``province_name``, ``latitude``, ``longitude``.
-    """
-    named = payloads.join(stations.select("province_name", "latitude", "longitude"), ["latitude", "longitude"])
+def ingest_payloads(payloads: DataFrame, stations: DataFrame, key: str = "province_id") -> DataFrame:
+    """Landed API payloads to messages: the ``current`` object with the name of the station that was
+    asked for, found by its key. ``province_name`` is NULL where no station has the key, so such a
+    payload ends up among the rejects instead of vanishing."""
+    named = payloads.join(stations.select(key, "province_name"), key, "left")
     return named.select("province_name", "current.*")

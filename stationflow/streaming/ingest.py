@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.functions.scalar import event_time
-from stationflow.schemas import RAW_REQUIRED
+from stationflow.schemas import EVENT_DAY, RAW_REQUIRED
 from stationflow.sources.messages import accepted, judge, rejected
 from stationflow.sources.tables import append_batch
 
@@ -51,7 +51,7 @@ def stream_ingest(
     continuous: str | None = None,
     on_counts: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
-    """Messages -> flattened rows -> raw table, bad messages -> headered CSV.
+    """Messages -> flattened rows -> raw table by day, bad messages -> headered CSV.
 
     A replayed batch overwrites its own folder in both places, so a restart adds no duplicates.
     One bad message is set apart alone and the rest of its batch is loaded.
@@ -67,7 +67,7 @@ def stream_ingest(
         )
         judged.persist()
         try:
-            append_batch(accepted(judged), raw_path, name)
+            append_batch(accepted(judged), raw_path, name, [EVENT_DAY])
             bad = rejected(judged)
             if not bad.isEmpty():
                 dead_letter(bad, reject_path, name)

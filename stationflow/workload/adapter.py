@@ -26,7 +26,10 @@ from stationflow.operators.rollups import daily_rollup
 from stationflow.operators.staging import stage_districts, stage_provinces, stage_weather
 from stationflow.operators.windows import lag_features
 from stationflow.plans import marts, semantic
-from stationflow.session import durable
+from stationflow.schemas import EVENT_DAY, RAW_TABLE_SCHEMA
+from stationflow.session import durable, scratch_path
+from stationflow.sources.messages import typed
+from stationflow.sources.tables import append_batch, read_batches
 
 AS_OF = "2024-01-30"
 SPLIT = "2024-01-20"
@@ -116,16 +119,14 @@ def _select(shape, side) -> list[str]:
 
 
 def raw_rows(events: DataFrame) -> DataFrame:
+    """Observations as messages have them, with the time as text."""
     return events.selectExpr("*", f"{K} as k").selectExpr(*_select(RAW, _spark))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Over all cores if the scan has fewer partitions than that, as with the one small test file.
-
-    A table of many files has more, and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def typed_rows(events: DataFrame) -> DataFrame:
+    """Observations as the raw table has them, with the time typed and its day."""
+    shape = [(name, "cast(ts as timestamp_ntz)" if name == "last_updated" else expr) for name, expr in RAW]
+    return typed(events.selectExpr("*", f"{K} as k").selectExpr(*_select(shape, _spark)))
 
 
 class Tables(Mapping):
@@ -158,7 +159,14 @@ class Data:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return raw_rows(self.table("events"))
+        return typed_rows(self.table("events")).drop(EVENT_DAY)
+
+    @cached_property
+    def raw_table(self) -> DataFrame:
+        """The raw table as the ingest stores it, by batch and day."""
+        path = scratch_path(self.spark, "raw")
+        append_batch(typed_rows(self.table("events")), path, "all", [EVENT_DAY])
+        return read_batches(self.spark, path, RAW_TABLE_SCHEMA)
 
     @cached_property
     def raw_provinces(self) -> DataFrame:
@@ -248,6 +256,12 @@ class Data:
             }
         )
 
+    def landed(self) -> Data:
+        """The same tables on top of the stored raw table."""
+        landed = Data(self.spark, self.folder)
+        landed.raw = self.raw_table
+        return landed
+
     def stored(self) -> Data:
         """The same tables with the marts written first, so that many checks on them do not
         each repeat the rollup of all observations."""

@@ -8,7 +8,8 @@ from stationflow.operators import incremental as inc
 from stationflow.operators.rollups import DAILY_MEASURES, daily_rollup, region_rollup, rollup
 from stationflow.operators.windows import LAG_FAMILIES, lag_arrays, latest_per_key
 from stationflow.plans import marts
-from stationflow.session import scratch_path
+from stationflow.schemas import DAILY_FACT_SCHEMA, REGION_FACT_SCHEMA
+from stationflow.session import durable, scratch_path
 from stationflow.sources.tables import PartitionedTable, VersionedTable
 from stationflow.workload.adapter import SPLIT, Data, rounded, rounded_sql, sql
 from stationflow.workload.registry import query
@@ -54,20 +55,26 @@ def regional(d: Data) -> DataFrame:
     from lineitem join supplier on l_suppkey = s_suppkey group by all""",
 )
 def daily_rollup_shipments(d: Data) -> DataFrame:
-    """The rollup on other names: lines by the supplier's nation and day of shipment.
-
-    Nations are not unique per supplier, so the dimension is joined first.
-    """
-    suppliers = d.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("station"))
-    lines = d.table("lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-    measures = {
-        "avg_quantity": F.avg("l_quantity"),
+    """The rollup on other names: lines by the supplier's nation and day of shipment. Lines are
+    aggregated by supplier and day before the join, then by nation."""
+    parts = {
+        "quantity": F.sum("l_quantity"),
+        "quantities": F.count("l_quantity"),
         "max_discount": F.max("l_discount"),
         "min_discount": F.min("l_discount"),
-        "revenue": F.round(F.sum("l_extendedprice"), 2),
-        "lines": F.count("*"),
+        "price": F.sum("l_extendedprice"),
+        "n": F.count("*"),
     }
-    return rollup(lines, ["station"], "l_shipdate", measures, day="ship_day")
+    by_supplier = rollup(d.table("lineitem"), ["l_suppkey"], "l_shipdate", parts, day="ship_day")
+    suppliers = d.table("supplier").select("s_suppkey", F.col("s_nationkey").alias("station"))
+    by_station = by_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("station", "ship_day")
+    return by_station.agg(
+        F.try_divide(F.sum("quantity"), F.sum("quantities")).alias("avg_quantity"),
+        F.max("max_discount").alias("max_discount"),
+        F.min("min_discount").alias("min_discount"),
+        F.round(F.sum("price"), 2).alias("revenue"),
+        F.sum("n").alias("lines"),
+    )
 
 
 @query(
@@ -109,32 +116,29 @@ def dedup_by_key(d: Data) -> DataFrame:
 
 
 _HOLES = "select *, nullif(sum_precipitation, 0) as rain from daily"
+_MEASURED = ["avg_temperature", "max_temperature", "min_temperature", "rain", "chance_rain", "avg_humidity", "avg_wind_kph", "avg_wind_mph"]
 
 
 @query(
     "lag_arrays",
     sql(
-        f"""select province_id, weather_date, len(t) as temperatures, len(r) as rains, t[1] as max_0, t[4] as max_3,
-        round(r[1], 9) as rain_0, round(r[2], 9) as rain_1, round(r[4], 9) as rain_3 from (select province_id, weather_date,
-        list(max_temperature) over w as t, list_filter(list(rain) over w, lambda x : x is not null) as r from ({_HOLES})
-        window w as (partition by province_id order by weather_date desc rows between current row and 3 following))""",
+        "select province_id, weather_date, "
+        + ", ".join(f"cast(len(a_{m}) as bigint) as n_{m}, " + ", ".join(f"round(a_{m}[{i + 1}], 9) as {m}_{i}" for i in range(4)) for m in _MEASURED)
+        + " from (select province_id, weather_date, "
+        + ", ".join(f"list_filter(list(cast({m} as double)) over w, lambda x : x is not null) as a_{m}" for m in _MEASURED)
+        + f" from ({_HOLES}) window w as (partition by province_id order by weather_date desc rows between current row and 3 following))",
         "daily",
     ),
 )
 def arrays(d: Data) -> DataFrame:
-    rows = d.daily.withColumn("rain", F.nullif("sum_precipitation", F.lit(0.0)))
-    out = lag_arrays(rows, "province_id", "weather_date", {"t": "max_temperature", "r": "rain"})
-    return out.select(
-        "province_id",
-        "weather_date",
-        F.size("t").cast("long").alias("temperatures"),
-        F.size("r").cast("long").alias("rains"),
-        F.get("t", F.lit(0)).alias("max_0"),
-        F.get("t", F.lit(3)).alias("max_3"),
-        F.round(F.get("r", F.lit(0)), 9).alias("rain_0"),
-        F.round(F.get("r", F.lit(1)), 9).alias("rain_1"),
-        F.round(F.get("r", F.lit(3)), 9).alias("rain_3"),
-    )
+    """All eight measures, of which one has holes, with every element of their arrays."""
+    rows = d.daily.withColumn("rain", F.nullif("sum_precipitation", F.lit(0.0))).withColumn("chance_rain", F.col("chance_rain").cast("double"))
+    out = lag_arrays(rows, "province_id", "weather_date", {f"a_{m}": m for m in _MEASURED})
+    columns = []
+    for m in _MEASURED:
+        columns += [F.size(f"a_{m}").cast("long").alias(f"n_{m}")]
+        columns += [F.round(F.get(f"a_{m}", F.lit(i)), 9).alias(f"{m}_{i}") for i in range(4)]
+    return out.select("province_id", "weather_date", *columns)
 
 
 _LAGS = [f"{family}{i}" for family, _, _ in LAG_FAMILIES for i in (1, 2, 3)]
@@ -142,7 +146,8 @@ _LAGS = [f"{family}{i}" for family, _, _ in LAG_FAMILIES for i in (1, 2, 3)]
 
 @query("lag_features", sql(f"select province_id, region, weather_date, row_num, {rounded_sql(*_LAGS)} from lags", "lags"))
 def lags(d: Data) -> DataFrame:
-    return rounded(d.lags)
+    """On the stored raw table, of which it reads the last days' partitions."""
+    return rounded(d.landed().lags)
 
 
 @query(
@@ -173,14 +178,7 @@ def _old_provinces(d: Data) -> DataFrame:
         "longitude",
         F.when(left == 3, F.lit(None)).otherwise(F.col("region")).alias("region"),
     )
-    gone = d.provinces.limit(1).select(
-        F.lit(900).alias("province_id"),
-        F.lit("GONE").alias("province_name"),
-        F.lit("GONE").alias("province_name_vn"),
-        F.lit(9.0).alias("latitude"),
-        F.lit(103.0).alias("longitude"),
-        F.lit("NOWHERE").alias("region"),
-    )
+    gone = d.spark.createDataFrame([(900, "GONE", "GONE", 9.0, 103.0, "NOWHERE")], now.schema)
     stamp = F.lit("2024-01-01").cast("timestamp")
     return now.unionByName(gone).withColumn("created_at", stamp).withColumn("updated_at", stamp)
 
@@ -248,20 +246,55 @@ def upsert_dim(d: Data) -> DataFrame:
     )
 
 
+_OLD_DISTRICTS = """select district_id, province_id, case when district_id % 4 = 0 then district_name || ' old' else district_name
+end as district_name, case when district_id % 4 = 1 then 'x' else district_name_vn end as district_name_vn,
+latitude, longitude from districts where district_id % 7 <> 0"""
+
+
+@query(
+    "upsert_districts",
+    sql(
+        f"""select d.*, o.district_id is not null as created_before, o.district_id is not null
+        and (d.district_name <> o.district_name or d.district_name_vn <> o.district_name_vn) as refreshed
+        from districts d left join ({_OLD_DISTRICTS}) o on d.district_id = o.district_id""",
+        "districts",
+    ),
+)
+def upsert_districts(d: Data) -> DataFrame:
+    """The district dimension from an earlier state in which some names, local names and rows differ:
+    a changed local name counts, and known rows keep their creation time."""
+    stamp = F.lit("2024-01-01").cast("timestamp")
+    left = F.col("district_id") % 4
+    old = d.districts.where("district_id % 7 <> 0").withColumns(
+        {
+            "district_name": F.when(left == 0, F.concat("district_name", F.lit(" old"))).otherwise(F.col("district_name")),
+            "district_name_vn": F.when(left == 1, "x").otherwise(F.col("district_name_vn")),
+            "created_at": stamp,
+            "updated_at": stamp,
+        }
+    )
+    table = VersionedTable(d.spark, scratch_path(d.spark, "dim"))
+    table.replace(old)
+    merged = marts.refresh_dimension(d.districts, table, marts.DISTRICTS)
+    flags = {"created_before": F.col("created_at") == stamp, "refreshed": (F.col("created_at") == stamp) & (F.col("updated_at") > stamp)}
+    return merged.withColumns(flags).drop("created_at", "updated_at")
+
+
 @query(
     "upsert_fact",
     sql(
-        f"""select province_id, weather_date, max_temperature from daily where weather_date > date '{SPLIT}' - 3
-        union all select province_id, weather_date, max_temperature + 1000 from daily where weather_date <= date '{SPLIT}' - 3""",
+        f"""select {_DAILY} from daily where weather_date > date '{SPLIT}' - 3 union all
+        select {_DAILY.replace("round(max_temperature, 9)", "round(max_temperature + 1000, 9)")} from daily
+        where weather_date <= date '{SPLIT}' - 3""",
         "daily",
     ),
 )
 def upsert_fact(d: Data) -> DataFrame:
-    rows = d.daily.select("province_id", "weather_date", "max_temperature")
-    table = PartitionedTable(d.spark, scratch_path(d.spark, "fact"), ["weather_date"])
+    rows = d.daily
+    table = PartitionedTable(d.spark, scratch_path(d.spark, "fact"), ["weather_date"], rows.schema)
     table.overwrite(_before(rows).withColumn("max_temperature", F.col("max_temperature") + 1000))
     fresh = rows.where(F.col("weather_date") > F.date_sub(F.lit(SPLIT).cast("date"), 3))
-    return table.upsert(fresh, ["province_id", "weather_date"])
+    return rounded(table.upsert(fresh, ["province_id", "weather_date"]))
 
 
 _FACT_KEY = ["province_id", "weather_date"]
@@ -270,18 +303,19 @@ _FACT_KEY = ["province_id", "weather_date"]
 @query(
     "incremental_province",
     sql(
-        f"""select province_id, weather_date, max_temperature + case when weather_date <= date '{SPLIT}' then 1000 else 0 end
-        as max_temperature, true as is_new_row from daily""",
-        "daily",
+        f"""select {_DAILY.replace("round(max_temperature, 9)", f"round(max_temperature + case when weather_date <= date '{SPLIT}' then 1000 else 0 end, 9)")},
+        predicted_condition as condition, true as is_new_row from classified""",
+        "classified",
     ),
 )
 def incremental_province(d: Data) -> DataFrame:
-    """Days up to the split stay as they were stored, later days are added."""
-    table = PartitionedTable(d.spark, scratch_path(d.spark, "daily"), ["weather_date"])
-    stored = _before(d.classified).withColumn("max_temperature", F.col("max_temperature") + 1000)
+    """Days up to the split stay as they were stored, later days are added; of the stored raw table
+    the refresh reads the later days' partitions."""
+    landed = d.landed()
+    table = PartitionedTable(d.spark, scratch_path(d.spark, "daily"), ["weather_date"], DAILY_FACT_SCHEMA)
+    stored = _before(landed.classified).withColumn("max_temperature", F.col("max_temperature") + 1000)
     marts.refresh_daily_mart(stored, d.provinces, table)
-    out = marts.refresh_daily_mart(d.classified, d.provinces, table)
-    return out.select("province_id", "weather_date", "max_temperature", "is_new_row")
+    return rounded(marts.refresh_daily_mart(landed.classified, d.provinces, table).drop("updated_at"))
 
 
 @query("daily_mart", sql(f"select province_id, province_name, weather_date, region, predicted_condition as condition, chance_rain, {rounded_sql(*_DOUBLES)} from classified", "classified"))
@@ -289,29 +323,49 @@ def daily_mart(d: Data) -> DataFrame:
     return rounded(d.daily_mart.drop("updated_at", "is_new_row"))
 
 
+def _region_table(d: Data) -> PartitionedTable:
+    return PartitionedTable(d.spark, scratch_path(d.spark, "region"), ["weather_date"], REGION_FACT_SCHEMA)
+
+
 @query("region_mart", sql(f"select {_REGION} from regional", "regional"))
 def region_mart(d: Data) -> DataFrame:
-    table = PartitionedTable(d.spark, scratch_path(d.spark, "region"), ["weather_date"])
-    marts.refresh_region_mart(_before(d.daily), d.provinces, table)
-    return rounded(marts.refresh_region_mart(d.daily, d.provinces, table).drop("updated_at"))
+    table, daily = _region_table(d), d.landed().daily
+    marts.refresh_region_mart(_before(daily), d.provinces, table)
+    return rounded(marts.refresh_region_mart(daily, d.provinces, table).drop("updated_at"))
 
 
 def _emptied(d: Data) -> PartitionedTable:
-    table = PartitionedTable(d.spark, scratch_path(d.spark, "region"), [])
+    """An existing regional fact without rows."""
+    table = _region_table(d)
     table.overwrite(marts.region_mart_rows(d.daily, d.provinces).limit(0))
     return table
 
 
 @query("incremental_region_guarded", sql(f"select {_REGION} from regional", "regional"))
 def incremental_region_guarded(d: Data) -> DataFrame:
-    daily = inc.after_mark(d.daily, "weather_date", _emptied(d).max_of("weather_date"), guard_empty=True)
-    return rounded(region_rollup(daily, d.provinces))
+    """An empty fact takes all days up to the split, and in the next refresh the days after it."""
+    table = _emptied(d)
+    marts.refresh_region_mart(_before(d.daily), d.provinces, table, guard_empty=True)
+    return rounded(marts.refresh_region_mart(d.daily, d.provinces, table, guard_empty=True).drop("updated_at"))
 
 
-@query("incremental_region_unguarded_empty", sql("select region, weather_date from regional where weather_date > null", "regional"))
+@query(
+    "incremental_region_unguarded_empty",
+    sql(
+        f"""select 'empty' as state, {_REGION} from regional where weather_date > null
+        union all select 'seeded', {_REGION} from regional where weather_date >= date '{SPLIT}'""",
+        "regional",
+    ),
+)
 def incremental_region_unguarded_empty(d: Data) -> DataFrame:
-    daily = inc.after_mark(d.daily, "weather_date", _emptied(d).max_of("weather_date"), guard_empty=False)
-    return region_rollup(daily, d.provinces).select("region", "weather_date")
+    """An empty fact stays empty without the guard; once it holds a day, later days come in."""
+    table = _emptied(d)
+    empty = marts.refresh_region_mart(d.daily, d.provinces, table).withColumn("state", F.lit("empty"))
+    stayed = durable(empty, "region-empty")
+    one = d.daily.where(F.col("weather_date") == F.lit(SPLIT).cast("date"))
+    table.upsert(marts.region_mart_rows(one, d.provinces), ["region", "weather_date"])
+    seeded = marts.refresh_region_mart(d.daily, d.provinces, table).withColumn("state", F.lit("seeded"))
+    return rounded(stayed.unionByName(seeded).drop("updated_at"))
 
 
 @query(

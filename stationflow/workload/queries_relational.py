@@ -53,7 +53,8 @@ def not_null_filter(d: Data) -> DataFrame:
     sql(f"select province_id, weather_date, max_temperature from daily where weather_date >= date '{AS_OF}' - 4", "daily"),
 )
 def lookback_filter(d: Data) -> DataFrame:
-    return d.daily.where(s.within_lookback(F.col("weather_date"), AS_OF)).select("province_id", "weather_date", "max_temperature")
+    """On the stored raw table, of which it reads the last days' partitions."""
+    return d.landed().daily.where(s.within_lookback(F.col("weather_date"), AS_OF)).select("province_id", "weather_date", "max_temperature")
 
 
 @query(

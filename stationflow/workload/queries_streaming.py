@@ -6,70 +6,80 @@ from pyspark.sql import DataFrame, functions as F
 
 from stationflow.operators.rollups import observation_measures
 from stationflow.operators.staging import stage_weather
-from stationflow.schemas import MESSAGE_SCHEMA, RAW_SCHEMA
+from stationflow.schemas import EVENT_DAY, RAW_TABLE_SCHEMA
 from stationflow.session import scratch_path
 from stationflow.sources import messages as msg
-from stationflow.sources.tables import PartitionedTable, VersionedTable, read_batches
+from stationflow.sources.tables import PartitionedTable, read_batches
 from stationflow.streaming.ingest import dedup, run_to_end, start, stream_ingest
 from stationflow.streaming.serving import stream_daily, stream_latest
-from stationflow.workload.adapter import Data, rounded, rounded_sql, sql
-from stationflow.workload.queries_tables import _READING, _READING_COLUMNS, publish_raw
+from stationflow.workload.adapter import Data, raw_rows, rounded, rounded_sql, sql
+from stationflow.workload.queries_tables import BATCH_FILES, FILE_MESSAGES, _TYPED_READING, publish_raw
 from stationflow.workload.registry import query
 
-def _stream(d: Data, path: str, batches: int = 2) -> DataFrame:
-    """The landed files as a stream of about ``batches`` micro-batches."""
-    files = len(d.spark.read.text(path).inputFiles())
-    return msg.stream_messages(d.spark, "text", path, maxFilesPerTrigger=str(max(1, -(-files // batches))))
 
+def _stream(d: Data, path: str, files: int = BATCH_FILES) -> DataFrame:
+    """The landed files as a stream of micro-batches of so many files, however many there are."""
+    return msg.stream_messages(d.spark, "text", path, maxFilesPerTrigger=str(files))
 
-def _staged_stream(d: Data, path: str) -> DataFrame:
-    return stage_weather(msg.flatten_message(msg.decode(msg.drop_empty(_stream(d, path)), MESSAGE_SCHEMA)))
 
+def _staged_stream(d: Data, path: str, files: int = BATCH_FILES) -> DataFrame:
+    return stage_weather(msg.accepted(msg.judge(_stream(d, path, files))).drop(EVENT_DAY))
 
-@query("stream_ingest", sql(f"select {_READING} from raw", "raw"))
+
+@query("stream_ingest", sql(f"select {_TYPED_READING}, cast(cast(last_updated as timestamp) as date) as event_day from raw", "raw"))
 def ingest(d: Data) -> DataFrame:
     """Good messages land in the raw table in several batches; flawed ones do not."""
     raw, checkpoint = scratch_path(d.spark, "raw"), scratch_path(d.spark, "offsets")
-    stream = _stream(d, publish_raw(d, flawed=True))
+    stream = _stream(d, publish_raw(d, flawed=True), files=1)
     run_to_end(stream_ingest(stream, raw, scratch_path(d.spark, "rejects"), checkpoint))
-    return read_batches(d.spark, raw, RAW_SCHEMA).select(*_READING_COLUMNS)
+    return rounded(read_batches(d.spark, raw, RAW_TABLE_SCHEMA))
 
 
-@query("micro_batch", "select count(*) as processed, true as several from events")
+@query(
+    "micro_batch",
+    "select count(*) as processed, true as several, true as bounded, 0 as repeated from events",
+)
 def micro_batch(d: Data) -> DataFrame:
-    """Bounded batches until the input is used up; the counts are what the batches reported."""
+    """Bounded batches until the input is used up; the counts are what the batches reported. A
+    second run from the same checkpoint finds nothing more."""
     counted: dict[int, int] = {}
+    again: dict[int, int] = {}
+    path, checkpoint = scratch_path(d.spark, "topic"), scratch_path(d.spark, "offsets")
+    for half in (0, 1):
+        events = d.table("events").where(F.col("event_id") % 2 == half)
+        msg.publish(msg.nest_message(raw_rows(events)), path=path, maxRecordsPerFile=str(FILE_MESSAGES))
+    for into in (counted, again):
+        run_to_end(start(_stream(d, path, files=1), lambda batch, n, into=into: into.update({n: batch.count()}), checkpoint))
+    sizes = counted.values()
+    row = (sum(sizes), len(sizes) > 1, max(sizes) <= FILE_MESSAGES, sum(again.values()))
+    return d.spark.createDataFrame([row], "processed long, several boolean, bounded boolean, repeated int")
 
-    def count(batch: DataFrame, batch_id: int) -> None:
-        counted[batch_id] = batch.count()
 
-    stream = _stream(d, publish_raw(d), batches=4)
-    run_to_end(start(stream, count, scratch_path(d.spark, "offsets")))
-    rows = list(counted.items())
-    batches = d.spark.createDataFrame(rows, "batch int, bodies long")
-    return batches.agg(F.sum("bodies").alias("processed"), (F.count("*") > 1).alias("several"))
+_LATEST = """province_name string, weather_updated_at timestamp_ntz, weather_condition string, temperature_celsius double,
+precipitation_mm double, humidity_percent int, wind_speed_kph double, bucket int"""
 
 
 @query(
     "stream_latest",
     sql(
-        """select province_name, weather_updated_at, weather_condition, temperature_celsius from (select *, row_number() over
+        """select province_name, weather_updated_at, weather_condition, temperature_celsius, round(precipitation_mm, 9) as
+        precipitation_mm, humidity_percent, round(wind_speed_kph, 9) as wind_speed_kph from (select *, row_number() over
         (partition by province_name order by weather_updated_at desc, weather_condition, temperature_celsius desc) as pick
         from staged) where pick = 1""",
         "staged",
     ),
 )
 def latest(d: Data) -> DataFrame:
-    table = VersionedTable(d.spark, scratch_path(d.spark, "latest"))
-    rows = _staged_stream(d, publish_raw(d)).select(
-        "province_name", "weather_updated_at", "weather_condition", "temperature_celsius"
-    )
+    table = PartitionedTable(d.spark, scratch_path(d.spark, "latest"), ["bucket"], _LATEST)
+    columns = [f.name for f in table.schema.fields if f.name != "bucket"]
+    rows = _staged_stream(d, publish_raw(d, flawed=True), files=1).select(*columns)
     order = [F.desc("weather_updated_at"), F.asc("weather_condition"), F.desc("temperature_celsius")]
     run_to_end(stream_latest(rows, table, ["province_name"], order, scratch_path(d.spark, "offsets")))
-    return table.read()
+    return rounded(table.read().drop("bucket"))
 
 
-_MEASURES = ("avg_temperature", "max_temperature", "sum_precipitation", "avg_humidity", "avg_wind_kph")
+_MEASURES = ("avg_temperature", "max_temperature", "min_temperature", "sum_precipitation", "avg_humidity", "avg_wind_kph", "avg_wind_mph")
+_DAILY_STREAM = "province_name string, weather_date date, chance_rain int, " + ", ".join(f"{m} double" for m in _MEASURES)
 
 
 @query(
@@ -79,14 +89,15 @@ _MEASURES = ("avg_temperature", "max_temperature", "sum_precipitation", "avg_hum
         max(case when precipitation_mm > 0 then 1 else 0 end) as chance_rain,
         round(avg(temperature_celsius), 9) as avg_temperature, max(temperature_celsius) as max_temperature,
         round(sum(precipitation_mm), 9) as sum_precipitation, round(avg(humidity_percent), 9) as avg_humidity,
+        min(temperature_celsius) as min_temperature, round(avg(wind_speed_kph * 0.621371e0), 9) as avg_wind_mph,
         round(avg(wind_speed_kph), 9) as avg_wind_kph from staged group by all""",
         "staged",
     ),
 )
 def daily(d: Data) -> DataFrame:
     """The files are not in time order, so the watermark allows the whole period."""
-    table = PartitionedTable(d.spark, scratch_path(d.spark, "daily"), ["weather_date"])
-    rows = _staged_stream(d, publish_raw(d))
+    table = PartitionedTable(d.spark, scratch_path(d.spark, "daily"), ["weather_date"], _DAILY_STREAM)
+    rows = _staged_stream(d, publish_raw(d, flawed=True))
     checkpoint = scratch_path(d.spark, "offsets")
     query = stream_daily(
         rows, table, ["province_name"], "weather_updated_at", observation_measures(), checkpoint, delay="40 days"
@@ -97,7 +108,7 @@ def daily(d: Data) -> DataFrame:
 
 @query(
     "stream_dedup",
-    sql("select distinct province_name, weather_updated_at, temperature_celsius from staged", "staged"),
+    sql("select distinct province_name, weather_updated_at, weather_condition, temperature_celsius, humidity_percent from staged", "staged"),
 )
 def deduplicated(d: Data) -> DataFrame:
     """Every message is delivered twice; with the repeats dropped the batch result remains."""
@@ -109,4 +120,5 @@ def deduplicated(d: Data) -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{raw}/batch={batch_id}")
 
     run_to_end(start(once, write, scratch_path(d.spark, "offsets")))
-    return d.spark.read.parquet(raw).select("province_name", "weather_updated_at", "temperature_celsius")
+    columns = ["province_name", "weather_updated_at", "weather_condition", "temperature_celsius", "humidity_percent"]
+    return d.spark.read.parquet(raw).select(*columns)

@@ -6,37 +6,45 @@ from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from stationflow.functions.scalar import json_field
 from stationflow.operators.learning import OUTPUTS
-from stationflow.schemas import FORECAST_SCHEMA, MESSAGE_SCHEMA, RAW_SCHEMA
+from stationflow.schemas import EVENT_DAY, FORECAST_SCHEMA, MESSAGE_SCHEMA, RAW_SCHEMA, RAW_TABLE_SCHEMA
 from stationflow.session import scratch_path
 from stationflow.sources import messages as msg
 from stationflow.sources import tables
 from stationflow.sources.registry import Source, Sources
 from stationflow.streaming.ingest import dead_letter
-from stationflow.workload.adapter import Data, raw_rows, rounded, rounded_sql, spread, sql
+from stationflow.workload.adapter import Data, raw_rows, rounded, rounded_sql, sql, typed_rows
 from stationflow.workload.registry import query
 
-_READING = "province_name, last_updated, temp_c, condition_text, condition_code, precip_mm, humidity"
-_READING_COLUMNS = _READING.split(", ")
+# All 25 columns. JSON has fewer digits than a double may need, so readings are compared rounded.
+_DOUBLES = [f.name for f in RAW_SCHEMA.fields if f.dataType.typeName() == "double"]
+_READING = ", ".join(f"round({c}, 9) as {c}" if c in _DOUBLES else c for c in RAW_SCHEMA.fieldNames())
+_READING_COLUMNS = RAW_SCHEMA.fieldNames()
+_TYPED_READING = _READING.replace("last_updated", "cast(last_updated as timestamp) as last_updated")
+
+# Messages in a landed file, and files in a micro-batch: bounds that do not grow with the data.
+FILE_MESSAGES, BATCH_FILES = 20_000, 8
 
 
 def publish_raw(d: Data, flawed: bool = False) -> str:
     """Land the observations as messages; returns the folder.
 
     With ``flawed`` there is one more body per event of the kinds that go wrong: empty bodies,
-    cut-off text, missing fields.
+    cut-off text, missing fields, a time that is none.
     """
-    events = spread(d.table("events"))
+    events = d.table("events")
     path = scratch_path(d.spark, "topic")
-    msg.publish(msg.nest_message(raw_rows(events)), path=path)
+    msg.publish(msg.nest_message(raw_rows(events)), path=path, maxRecordsPerFile=str(FILE_MESSAGES))
     if flawed:
         number = F.col("event_id").cast("string")
+        poison = msg.nest_message(raw_rows(events.where("event_id % 4 = 1")).withColumn("last_updated", F.lit("yesterday")))
         flaw = (
             F.when(F.col("event_id") % 4 == 0, "null")
             .when(F.col("event_id") % 4 == 1, "{ }")
             .when(F.col("event_id") % 4 == 2, F.concat(F.lit('{"province_name": "cut off '), number))
             .otherwise(F.concat(F.lit('{"province_name": "P'), number, F.lit('", "temp_c": 1.5}')))
         )
-        msg.publish(events.select(flaw.alias("value")), path=path)
+        msg.publish(events.select(flaw.alias("value")), path=path, maxRecordsPerFile=str(FILE_MESSAGES))
+        msg.publish(poison, path=path, maxRecordsPerFile=str(FILE_MESSAGES))
     return path
 
 
@@ -46,13 +54,14 @@ def landed(d: Data, flawed: bool = False) -> DataFrame:
 
 @query("flatten_message", sql(f"select {_READING} from raw", "raw"))
 def flatten_message(d: Data) -> DataFrame:
-    return msg.flatten_message(msg.decode(landed(d))).select(*_READING_COLUMNS)
+    return rounded(msg.flatten_message(msg.decode(landed(d))).select(*_READING_COLUMNS))
 
 
 @query(
     "drop_empty",
-    """select 'message' as kind, count(*) as bodies from events union all select 'cut off', count(*) from events
-    where event_id % 4 = 2 union all select 'incomplete', count(*) from events where event_id % 4 = 3""",
+    """select 'message' as kind, count(*) + count(*) filter (where event_id % 4 = 1) as bodies from events
+    union all select 'cut off', count(*) from events where event_id % 4 = 2
+    union all select 'incomplete', count(*) from events where event_id % 4 = 3""",
 )
 def drop_empty(d: Data) -> DataFrame:
     kind = (
@@ -67,48 +76,48 @@ def drop_empty(d: Data) -> DataFrame:
     "sink_dead_letter",
     """select case when event_id % 4 = 2 then 'malformed' else 'last_updated,condition_text,humidity' end as reason,
     case when event_id % 4 = 2 then '{"province_name": "cut off ' || event_id
-    else '{"province_name": "P' || event_id || '", "temp_c": 1.5}' end as value from events where event_id % 4 >= 2""",
+    else '{"province_name": "P' || event_id || '", "temp_c": 1.5}' end as value from events where event_id % 4 >= 2
+    union all select 'unreadable last_updated', 'NATION_' || event_id % 26 from events where event_id % 4 = 1""",
 )
 def sink_dead_letter(d: Data) -> DataFrame:
     path = scratch_path(d.spark, "rejects")
     dead_letter(msg.rejected(msg.judge(landed(d, flawed=True))), path, "all")
     schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("value", T.StringType()), T.StructField("_reason", T.StringType())])
     stored = d.spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{path}/batch=all")
-    return stored.select(F.col("_reason").alias("reason"), "value")
+    unread = F.col("_reason") == "unreadable last_updated"  # of these bodies, which are long, the place will do
+    return stored.select(F.col("_reason").alias("reason"), F.when(unread, F.col("province_name")).otherwise(F.col("value")).alias("value"))
 
 
 @query(
     "ingest_landed_payloads",
     sql(
-        """select p.province_name, last_updated, temp_c, condition_text, condition_code, precip_mm, humidity
-        from raw r join provinces p on r.province_name = p.province_name""",
+        f"""select {_READING.replace("province_name", "p.province_name", 1)}
+        from raw r left join provinces p on r.province_name = p.province_name""",
         "raw",
         "provinces",
     ),
 )
 def ingest_landed_payloads(d: Data) -> DataFrame:
-    """Payloads as the API returns them are landed as JSON, then named by station."""
+    """Payloads as the API returns them are landed as JSON under the station that was asked for, then
+    named by it; those of a station that the dimension lacks stay, without a name."""
     path = scratch_path(d.spark, "payloads")
     current = [f for f in MESSAGE_SCHEMA.fields if f.name != "province_name"]
-    stations = d.provinces.select("province_name", "latitude", "longitude")
-    parsed = msg.decode(landed(d)).drop("value", "_corrupt").join(stations, "province_name")
-    parsed.select("latitude", "longitude", F.struct(*[f.name for f in current]).alias("current")).write.json(path)
-    schema = T.StructType(
-        [T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType()), T.StructField("current", T.StructType(current))]
-    )
-    named = msg.ingest_payloads(d.spark.read.schema(schema).json(path), stations)
-    return msg.flatten_message(named).select(*_READING_COLUMNS)
+    number = F.regexp_extract("province_name", r"(\d+)$", 1).cast("int").alias("province_id")
+    parsed = msg.decode(landed(d)).drop("value", "_corrupt")
+    parsed.select(number, F.struct(*[f.name for f in current]).alias("current")).write.json(path)
+    schema = T.StructType([T.StructField("province_id", T.IntegerType()), T.StructField("current", T.StructType(current))])
+    named = msg.ingest_payloads(d.spark.read.schema(schema).json(path), d.provinces)
+    return rounded(msg.flatten_message(named).select(*_READING_COLUMNS))
+
+
+_FIELDS = ("province_name", "last_updated", "condition_text", "condition_icon", "condition_code", "wind_degree", "wind_dir", "humidity", "cloud", "is_day")
 
 
-@query("publish_stream", sql("select province_name, last_updated, condition_text from raw", "raw"))
+@query("publish_stream", sql(f"select {', '.join(f'cast({c} as varchar) as {c}' for c in _FIELDS)} from raw", "raw"))
 def publish_stream(d: Data) -> DataFrame:
     """What was published, field by field as text, read back without the message schema."""
-    body = landed(d)
-    return body.select(
-        json_field(F.col("value"), "$.province_name").alias("province_name"),
-        json_field(F.col("value"), "$.last_updated").alias("last_updated"),
-        json_field(F.col("value"), "$.condition.text").alias("condition_text"),
-    )
+    place = {c: "$." + c.replace("condition_", "condition.") for c in _FIELDS}
+    return landed(d).select(*[json_field(F.col("value"), p).alias(c) for c, p in place.items()])
 
 
 @query(
@@ -118,10 +127,11 @@ def publish_stream(d: Data) -> DataFrame:
 def sink_append(d: Data) -> DataFrame:
     """Two batches, the first delivered twice: the replay leaves no duplicates."""
     path = scratch_path(d.spark, "raw")
-    first, second = d.raw.where("is_day = 1"), d.raw.where("is_day = 0")
-    for name, rows in (("0", first), ("1", second), ("0", first)):
-        tables.append_batch(rows, path, name)
-    stored = tables.read_batches(d.spark, path, RAW_SCHEMA)
+    rows = typed_rows(d.table("events"))
+    first, second = rows.where("is_day = 1"), rows.where("is_day = 0")
+    for name, batch in (("0", first), ("1", second), ("0", first)):
+        tables.append_batch(batch, path, name, [EVENT_DAY])
+    stored = tables.read_batches(d.spark, path, RAW_TABLE_SCHEMA)
     return stored.groupBy("province_name").agg(F.count("*").alias("readings"), F.max("temp_c").alias("hottest"))
 
 
@@ -184,22 +194,24 @@ def overwrite_reload(d: Data) -> DataFrame:
 @query(
     "vector_upsert",
     """select e.vec_id, 'label_' || label as namespace, case when label < 5 then 'new ' else 'old ' end || source as file_name,
-    len(embedding) as dimensions from embeddings e join documents d on e.vec_id = d.doc_id""",
+    len(embedding) as dimensions, round(list_sum(list_transform(embedding, lambda x: cast(x as double))), 6) as total,
+    round(embedding[1], 6) as first, round(embedding[64], 6) as last from embeddings e join documents d on e.vec_id = d.doc_id""",
 )
 def vector_upsert(d: Data) -> DataFrame:
     """Vectors with metadata under a namespace; half of the namespaces are ingested again."""
     named = d.table("embeddings").join(d.table("documents").select(F.col("doc_id").alias("vec_id"), "source"), "vec_id")
+    space = F.concat(F.lit("label_"), F.col("label").cast("string")).alias("namespace")
 
     def records(prefix: str) -> DataFrame:
-        return named.select(
-            "vec_id",
-            F.concat(F.lit("label_"), F.col("label").cast("string")).alias("namespace"),
-            "embedding",
-            F.concat(F.lit(prefix), F.col("source")).alias("file_name"),
-            "label",
-        )
-
-    table = tables.PartitionedTable(d.spark, scratch_path(d.spark, "vectors"), ["namespace"])
-    table.overwrite(records("old ").drop("label"))
-    out = table.upsert(records("new ").where("label < 5").drop("label"), ["namespace", "vec_id"])
-    return out.select("vec_id", "namespace", "file_name", F.size("embedding").cast("long").alias("dimensions"))
+        file_name = F.concat(F.lit(prefix), F.col("source")).alias("file_name")
+        return tables.bucketed(named.select("vec_id", space, "embedding", file_name, "label"), ["vec_id"])
+
+    schema = "vec_id long, namespace string, embedding array<float>, file_name string, bucket int"
+    table = tables.PartitionedTable(d.spark, scratch_path(d.spark, "vectors"), ["namespace", "bucket"], schema)
+    table.overwrite(records("old "))
+    out = table.upsert(records("new ").where("label < 5"), ["namespace", "bucket", "vec_id"])
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return out.select(
+        "vec_id", "namespace", "file_name", F.size("embedding").cast("long").alias("dimensions"), F.round(total, 6).alias("total"),
+        F.round(F.get("embedding", F.lit(0)), 6).alias("first"), F.round(F.get("embedding", F.lit(63)), 6).alias("last"),
+    )

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationflow.operators import learning as ml
+from stationflow.operators.windows import lag_features
 
 DAY = dt.date(2024, 1, 30)
 
@@ -57,12 +58,41 @@ def test_short_histories_are_named_not_forecast(spark):
     assert ml.skipped(features).first().missing == ["maxtemp_lag_2", "precip_lag_3"]
 
 
-def test_training_rows_use_the_three_days_before(spark):
-    days = [(1, "N", DAY - dt.timedelta(days=i), float(i)) for i in range(5)]
-    df = spark.createDataFrame(days, "province_id int, region string, weather_date date, v double")
+def _daily(spark, days=9, hole=None):
+    """The n-th day before DAY has n in every measure; ``hole``: a day without a maximum."""
+    rows = [(1, "N", DAY - dt.timedelta(days=i), float(i)) for i in range(days)]
+    df = spark.createDataFrame(rows, "province_id int, region string, weather_date date, v double")
     daily = df.withColumns({m: F.col("v") for _, _, m, _ in ml.FAMILIES}).withColumn("predicted_condition", F.lit("x"))
-    rows = ml.training_table(daily).orderBy("weather_date").collect()
-    assert [(r.avgtemp_c, r.avgt_c_lag_1, r.avgt_c_lag_3) for r in rows] == [(1.0, 2.0, 4.0), (0.0, 1.0, 3.0)]
+    return daily.withColumn("max_temperature", F.when(F.col("v") != hole, F.col("v"))) if hole is not None else daily
+
+
+def test_training_rows_use_the_days_before(spark):
+    rows = ml.training_table(_daily(spark, 5), aligned=True).orderBy("weather_date").collect()
+    assert [(r.avgtemp_c, r.avgt_c_lag_1, r.avgt_c_lag_3, r.maxtemp_lag_1) for r in rows] == [(1.0, 2.0, 4.0, 2.0), (0.0, 1.0, 3.0, 1.0)]
+    (row,) = ml.training_table(_daily(spark, 5)).collect()  # the other families start a day earlier
+    assert (row.avgtemp_c, row.avgt_c_lag_1, row.avgt_c_lag_3, row.maxtemp_lag_1, row.maxtemp_lag_3) == (0.0, 1.0, 3.0, 2.0, 4.0)
+
+
+@pytest.mark.parametrize("aligned", [False, True])
+@pytest.mark.parametrize("hole", [None, 5.0])
+def test_models_are_fitted_on_the_features_they_are_served(spark, aligned, hole):
+    """For a target day, the row fitted on equals what is served on the day before."""
+    daily = _daily(spark, 9, hole)
+    target, places = DAY - dt.timedelta(days=2), spark.createDataFrame([(1, "N")], "province_id int, region string")
+    before = daily.where(F.col("weather_date") < F.lit(target))
+    served = ml.feature_table(lag_features(before, places, target - dt.timedelta(days=1), aligned=aligned)).select(*ml.LAG_COLUMNS).first()
+    fitted = ml.training_table(daily, aligned=aligned).where(F.col("weather_date") == F.lit(target)).select(*ml.LAG_COLUMNS).first()
+    if fitted is None:  # a row that lacks a lag is neither fitted on nor served
+        assert None in tuple(served)
+    else:
+        assert tuple(fitted) == tuple(served)
+
+
+def test_forecast_is_evaluated_on_the_days_that_came(spark):
+    forecast = spark.createDataFrame([(1, DAY, "x"), (1, DAY + dt.timedelta(days=1), "x")], "province_id int, predicted_date date, predicted_condition string")
+    forecast = forecast.withColumns({out: F.lit(3.0) for out in ml.OUTPUTS})
+    found = {(r.target, r.metric): r.value for r in ml.evaluate_forecast(forecast, _daily(spark, 2)).collect()}
+    assert found["maxtemp_c", "rmse"] == found["maxtemp_c", "mae"] == 3.0 and found["condition", "accuracy"] == 1.0
 
 
 def test_unseen_region_is_an_error(spark):

@@ -1,14 +1,21 @@
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
 
-from stationflow.schemas import RAW_COLUMNS, RAW_SCHEMA
+from stationflow.functions.scalar import within_lookback
+from stationflow.operators.incremental import after_mark
+from stationflow.operators.learning import classify_daily
+from stationflow.operators.rollups import daily_rollup
+from stationflow.operators.windows import lag_features
+from stationflow.plans.marts import refresh_daily_mart
+from stationflow.schemas import DAILY_FACT_SCHEMA, EVENT_DAY, RAW_COLUMNS, RAW_TABLE_SCHEMA
 from stationflow.sources import messages as msg
 from stationflow.sources.tables import read_batches
 from stationflow.streaming.ingest import dedup, run_to_end, stream_ingest
 from stationflow.streaming.serving import stream_daily, stream_latest
 from stationflow.operators.staging import stage_weather
-from stationflow.sources.tables import PartitionedTable, VersionedTable
+from stationflow.sources.tables import PartitionedTable
 
 FULL = {
     "province_name": "A", "last_updated": "2024-01-01 10:15", "temp_c": 1.5, "temp_f": 34.7, "is_day": 1,
@@ -43,7 +50,22 @@ def test_bad_messages_are_rejected_one_by_one(spark):
         "condition_text", "last_updated,humidity", "malformed"
     ]
     good = msg.accepted(judged).collect()
-    assert len(good) == 1 and good[0].condition_code == 1003 and msg.accepted(judged).columns == RAW_COLUMNS
+    assert len(good) == 1 and good[0].condition_code == 1003 and msg.accepted(judged).columns == [*RAW_COLUMNS, EVENT_DAY]
+
+
+def test_a_time_that_cannot_be_read_is_rejected(spark):
+    judged = msg.judge(bodies(spark, [body(), body(last_updated="yesterday"), body(last_updated="2024-13-01", humidity=None)]))
+    assert sorted(r._reason for r in msg.rejected(judged).collect()) == ["humidity,unreadable last_updated", "unreadable last_updated"]
+    good = msg.accepted(judged)
+    assert good.schema == RAW_TABLE_SCHEMA and str(good.first().event_day) == "2024-01-01"
+    assert stage_weather(good).count() == 1  # staging never raises on what was accepted
+
+
+def test_payloads_are_named_by_the_station_asked_for(spark):
+    current = "struct(1.5D as temp_c) as current"
+    payloads = spark.createDataFrame([(1,), (2,), (9,)], "province_id int").selectExpr("province_id", current)
+    stations = spark.createDataFrame([(1, "A"), (2, "B")], "province_id int, province_name string")
+    assert {r.province_name for r in msg.ingest_payloads(payloads, stations).collect()} == {"A", "B", None}
 
 
 def test_nesting_is_the_reverse_of_flattening(spark):
@@ -70,7 +92,7 @@ def _ingest(spark, tmp_path, counts):
     stream = msg.stream_messages(spark, "text", str(tmp_path / "in"), maxFilesPerTrigger="1")
     raw, rejects, checkpoint = (str(tmp_path / p) for p in ("raw", "rejects", "offsets"))
     run_to_end(stream_ingest(stream, raw, rejects, checkpoint, on_counts=lambda b, c: counts.append((b, c))))
-    return read_batches(spark, raw, RAW_SCHEMA)
+    return read_batches(spark, raw, RAW_TABLE_SCHEMA)
 
 
 def test_ingest_resumes_without_duplicates(spark, tmp_path):
@@ -86,8 +108,33 @@ def test_ingest_resumes_without_duplicates(spark, tmp_path):
     assert letters and letters[0].read_text().splitlines()[0].startswith("province_name,last_updated,temp_c")
 
 
+def test_what_reads_the_raw_table_reads_the_days_it_needs(spark, tmp_path):
+    """On the very table that the ingest writes."""
+    days = [body(last_updated=f"2024-01-{d:02d} 10:00") for d in range(1, 31)]
+    _land(tmp_path / "in", "a.json", days[:20])
+    _land(tmp_path / "in", "b.json", days[20:])
+    raw = _ingest(spark, tmp_path, [])
+    provinces = spark.createDataFrame([(1, "A", "a", 1.0, 1.0, "N")], "province_id int, province_name string, province_name_vn string, latitude double, longitude double, region string")
+    daily = daily_rollup(stage_weather(raw), provinces)
+
+    def pruned(df, after):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+        assert any(after in f and "event_day" in f for f in filters), plan
+
+    pruned(daily.where(within_lookback(F.col("weather_date"), "2024-01-30")), ">= 2024-01-26")
+    pruned(lag_features(daily, provinces, "2024-01-30"), ">= 2024-01-26")
+    pruned(after_mark(classify_daily(daily), "weather_date", dt.date(2024, 1, 25)), "> 2024-01-25")
+    table = PartitionedTable(spark, str(tmp_path / "fact"), ["weather_date"], DAILY_FACT_SCHEMA)
+    refresh_daily_mart(classify_daily(daily).where("weather_date <= '2024-01-25'"), provinces, table)
+    assert refresh_daily_mart(classify_daily(daily), provinces, table).count() == 30
+    files = daily.where(F.col("weather_date") > "2024-01-25")
+    assert files.count() == 5
+
+
 def test_latest_is_replaced_only_by_newer(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"))
+    schema = "province_name string, weather_updated_at timestamp_ntz, temperature_celsius double, bucket int"
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["bucket"], schema)
 
     def run():
         stream = msg.stream_messages(spark, "text", str(tmp_path / "in"), maxFilesPerTrigger="1")
@@ -100,10 +147,15 @@ def test_latest_is_replaced_only_by_newer(spark, tmp_path):
     assert run() == {("A", 1.0), ("B", 5.0)}
     _land(tmp_path / "in", "b.json", [body(temp_c=2.0, last_updated="2024-01-02 10:00"), body(province_name="B", temp_c=9.0, last_updated="2023-12-31 10:00")])
     assert run() == {("A", 2.0), ("B", 5.0)}
+    (bucket,) = {r.bucket for r in table.read().where("province_name = 'B'").collect()}
+    kept = sorted(p.name for p in (tmp_path / "t" / f"bucket={bucket}").iterdir())
+    _land(tmp_path / "in", "c.json", [body(temp_c=3.0, last_updated="2024-01-03 10:00")])
+    assert run() == {("A", 3.0), ("B", 5.0)}
+    assert kept == sorted(p.name for p in (tmp_path / "t" / f"bucket={bucket}").iterdir())  # not rewritten
 
 
 def test_daily_stream_drops_rows_behind_the_watermark(spark, tmp_path):
-    table = PartitionedTable(spark, str(tmp_path / "t"), ["weather_date"])
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["weather_date"], "province_name string, n long, weather_date date")
 
     def run():
         stream = msg.stream_messages(spark, "text", str(tmp_path / "in"), maxFilesPerTrigger="1")

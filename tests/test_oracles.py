@@ -28,7 +28,7 @@ def test_entry_gives_rows(spark):
 
 
 def test_forests_forecast_seven_days(spark):
-    rows = QUERIES["forecast_rf"](spark, "/root/testdata/sf0.01").collect()
+    rows = QUERIES["forecast_rf_values"](spark, "/root/testdata/sf0.01").collect()
     days = {}
     for row in rows:
         days.setdefault(row["province_id"], set()).add(row["predicted_date"])
@@ -37,5 +37,5 @@ def test_forests_forecast_seven_days(spark):
 
 
 def test_evaluation_names_every_target(spark):
-    rows = QUERIES["evaluate_forecaster"](spark, "/root/testdata/sf0.01").collect()
+    rows = QUERIES["evaluate_forecaster_values"](spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == 25 and all(r["value"] is not None for r in rows)

@@ -25,7 +25,7 @@ def test_average_temperature_starts_at_the_newest_day(spark):
     assert (row.maxtemp1, row.maxtemp2, row.maxtemp3) == (99, 98, 97)
     assert (row.region, row.weather_date) == ("North", DAY)
     aligned = lag_features(_daily(spark, [(1, a, 0.0) for a in range(5)]), _provinces(spark), DAY, aligned=True).first()
-    assert (aligned.avgtemp1, aligned.avgtemp3) == (99, 97)
+    assert (aligned.avgtemp1, aligned.avgtemp3, aligned.maxtemp1, aligned.maxtemp3) == (100, 98, 100, 98)
 
 
 def test_null_measure_moves_later_lags_up(spark):
