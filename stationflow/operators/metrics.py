@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -203,11 +204,18 @@ def time_spine(spark: SparkSession, start: str = "2020-01-01", days: int = 5000)
 def fill_days(metric: DataFrame, spine: DataFrame, day: str, keys: DataFrame | None = None) -> DataFrame:
     """A metric by day with a row for every spine day, for each row of ``keys`` if given.
 
-    ``keys`` is a short list of distinct group values; each gets its own copy of the spine by
-    an exploded array of days, so no join without keys is needed.
+    Days of the metric that the spine lacks, and a NULL day, stay as they are: the spine adds rows
+    and takes none away. ``keys`` is a short list of distinct group values; each gets its own copy
+    of the spine by an exploded array of days, so no join without keys is needed.
     """
     if keys is None:
-        return spine.withColumnRenamed("date_day", day).join(metric, day, "left")
+        return spine.withColumnRenamed("date_day", day).join(metric, day, "full")
     bounds = spine.agg(F.min("date_day").alias("_a"), F.max("date_day").alias("_b")).first()
     days = F.explode(F.sequence(F.lit(bounds["_a"]), F.lit(bounds["_b"]))).alias(day)
-    return keys.select("*", days).join(metric, [*keys.columns, day], "left")
+    on = [*keys.columns, day]
+    spread = keys.select("*", days)
+    held = metric.withColumnsRenamed({c: f"_m_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in on])
+    joined = spread.withColumn("_spread", F.lit(True)).join(held, same, "full")
+    own = [F.when(F.col("_spread").isNotNull(), F.col(c)).otherwise(F.col(f"_m_{c}")).alias(c) for c in on]
+    return joined.select(*own, *[c for c in metric.columns if c not in on])

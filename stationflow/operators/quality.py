@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -110,7 +111,28 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
     return reports[0]
 
 
-def failing_rows(df: DataFrame, checks: Sequence[Check], out: str = "failed") -> DataFrame:
-    """Rows that break a row-level check, with the names of the checks they break."""
-    names = ", ".join(f"case when {violates(c)} then '{c.kind}:{c.label}' end" for c in checks)
-    return df.withColumn(out, F.expr(f"array_compact(array({names}))")).where(" or ".join(violates(c) for c in checks))
+def failing_rows(df: DataFrame, checks: Sequence[Check], out: str = "failed", tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Rows that break a check, with the names of the checks they break.
+
+    Row-level checks are conditions on the row. A repeated value or combination marks all rows that
+    hold it, an orphan all rows of the key: both are found as one row per value (counted first, so a
+    hot value is one row) and joined back. ``tables`` has the parents of relationship checks.
+    """
+    name = lambda c: f"{c.kind}:{c.label}"
+    marks = []
+    for i, check in enumerate(checks):
+        if check.kind in ("not_null", "accepted_range"):
+            marks.append(F.when(F.expr(violates(check)), F.lit(name(check))))
+            continue
+        if check.kind == "relationship":
+            bad = orphans(df, tables[check.parent], check.columns[0], check.parent_column).select(F.col("key").alias(f"_{i}_0"))
+        else:
+            bad = repeated(df, check.columns, check.kind == "unique").select(*[F.col(c).alias(f"_{i}_{j}") for j, c in enumerate(check.columns)])
+        bad = bad.withColumn(f"_{i}", F.lit(True))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{i}_{j}")) for j, c in enumerate(check.columns)])
+        df = df.join(bad, same, "left").drop(*[f"_{i}_{j}" for j in range(len(check.columns))])
+        marks.append(F.when(F.col(f"_{i}"), F.lit(name(check))))
+    marked = df.withColumn(out, F.array_compact(F.array(*marks))).drop(*[f"_{i}" for i in range(len(checks))])
+    if all(c.kind in ("not_null", "accepted_range") for c in checks):
+        return marked.where(" or ".join(violates(c) for c in checks))
+    return marked.where(F.size(out) > 0)

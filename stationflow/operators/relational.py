@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stationflow.functions.scalar import as_date
+from stationflow.session import durable
 
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -33,8 +35,10 @@ def attach(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inn
     return fact.join(dim, list(keys), how)
 
 
-def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of an ungrouped aggregate (always exactly one row) to every row."""
+def with_scalar(df: DataFrame, source: DataFrame, **aggregates: Column) -> DataFrame:
+    """Attach ungrouped aggregates of ``source`` to every row. The aggregation, which gives exactly one
+    row, is done here, so nothing larger can be broadcast."""
+    one_row = source.agg(*[column.alias(name) for name, column in aggregates.items()])
     return df.crossJoin(F.broadcast(one_row))
 
 
@@ -82,13 +86,18 @@ def lookup(
 def preview(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 3) -> DataFrame:
     """The first ``n`` rows per key with ``row`` and how many rows were left out.
 
-    Two cheap halves instead of a count over a window: the top-n is cut per map task before
-    the shuffle, the count is a partial aggregate, and their join has at most ``n`` rows a key.
+    The input is written once and read for two cheap halves instead of a count over a window: the
+    top-n is cut per map task before the shuffle, the count is a partial aggregate, and their join
+    has at most ``n`` rows a key.
     """
+    rows = durable(df, "preview")
     window = Window.partitionBy(*keys).orderBy(*order)
-    top = df.withColumn("row", F.row_number().over(window)).where(F.col("row") <= n)
-    total = df.groupBy(*keys).agg(F.count("*").alias("total"))
-    return top.join(total, list(keys)).withColumn("remaining", F.greatest(F.col("total") - n, F.lit(0))).drop("total")
+    top = rows.withColumn("row", F.row_number().over(window)).where(F.col("row") <= n)
+    total = rows.groupBy(*keys).agg(F.count("*").alias("total"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
+    total = total.withColumnsRenamed({k: f"_t_{k}" for k in keys})
+    joined = top.join(total, same).withColumn("remaining", F.greatest(F.col("total") - n, F.lit(0)))
+    return joined.drop("total", *[f"_t_{k}" for k in keys])
 
 
 def format_rows(df: DataFrame, columns: Sequence[str], out: str = "lines") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,11 +12,11 @@ from stationflow.functions.scalar import text_or
 from stationflow.functions.text import fixed_chunks
 from stationflow.operators.rollups import distinct_text, ordered_text
 
-FALLBACK_PROMPT = "You are a helpful assistant. Answer based on your general knowledge."
+# What stands in for the context of a question that matches nothing, unless the caller has its own.
+NO_CONTEXT = "No stored passage matches this question."
 
-# Queries up to this many bytes of vectors travel to every task; beyond it both sides are blocked.
-MAX_SENT_QUERY_BYTES = 32 << 20
-BLOCK_ROWS = 4096
+# Vectors and queries in a tile: one task multiplies them and holds their scores, 32 MiB.
+TILE_VECTORS, TILE_QUERIES = 4096, 1024
 SCORE_DIGITS = 9
 
 
@@ -47,14 +47,14 @@ def chunk_records(docs: DataFrame, doc: str, file_name: str, category: str, text
     )
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
-    """Per query row, the positions of its ``k`` best by score, then id."""
+def _best(scores: np.ndarray, order: np.ndarray, k: int) -> list[np.ndarray]:
+    """Per query row, the positions of its ``k`` best by score, then ``order``."""
     if scores.shape[1] > 4 * k:
         cut = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
         candidates = [np.flatnonzero(row >= c) for row, c in zip(scores, cut)]
     else:
         candidates = [np.arange(scores.shape[1])] * len(scores)
-    return [c[np.lexsort((ids[c], -scores[i, c]))[:k]] for i, c in enumerate(candidates)]
+    return [c[np.lexsort((order[c], -scores[i, c]))[:k]] for i, c in enumerate(candidates)]
 
 
 def _unit(vectors) -> np.ndarray:
@@ -63,95 +63,76 @@ def _unit(vectors) -> np.ndarray:
     return matrix / np.where(norms == 0, 1, norms)
 
 
-def _score_block(qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors, k: int) -> pd.DataFrame:
-    scores = np.round(queries @ _unit(vectors).T, SCORE_DIGITS)
-    best = _best(scores, ids, k)
-    return pd.DataFrame(
-        {
-            "query_id": np.repeat(qids, [len(b) for b in best]),
-            "vec_id": np.concatenate([ids[b] for b in best]),
-            "score": np.concatenate([scores[i, b] for i, b in enumerate(best)]),
-        }
+def _tile(k: int):
+    def score(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        found = {"query_id": [], "vec_id": [], "score": []}
+        if len(queries) and len(vectors):
+            ids, qids = vectors["vec_id"].to_numpy(), queries["query_id"].to_numpy()
+            order = np.unique(ids, return_inverse=True)[1]
+            scores = np.round(_unit(queries["embedding"]) @ _unit(vectors["embedding"]).T, SCORE_DIGITS)
+            for i, best in enumerate(_best(scores, order, k)):
+                found["query_id"] += [qids[i]] * len(best)
+                found["vec_id"] += ids[best].tolist()
+                found["score"] += scores[i, best].tolist()
+        kinds = {"query_id": object, "vec_id": object, "score": float}  # ids as they are, whatever their type
+        return pd.DataFrame({c: pd.Series(v, dtype=kinds[c]) for c, v in found.items()})
+
+    return score
+
+
+def _whole(vector: str) -> Column:
+    """Whether a vector is there and has all its components."""
+    column = F.col(vector)
+    return column.isNotNull() & F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x))
+
+
+def unsearchable(vectors: DataFrame, dimensions: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """Vectors that a search with queries of ``dimensions`` cannot return, with the reason."""
+    reason = (
+        F.when(F.col(key).isNull(), "no id")
+        .when(F.col(vector).isNull(), "no vector")
+        .when(~_whole(vector), "missing component")
+        .when(F.size(vector) != dimensions, "other dimensions")
     )
-
-
-def _cut(scored: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = scored.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-    return ordered.groupby("query_id", sort=False).head(k)
-
-
-TOPK_SCHEMA = "query_id long, vec_id long, score double"
+    return vectors.select(key, reason.alias("reason")).where(reason.isNotNull())
 
 
 def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 2, namespace: str | None = None) -> DataFrame:
     """The exact ``k`` nearest vectors by cosine for each query, with their rank.
 
     ``queries(query_id, embedding)`` against ``vectors(vec_id, embedding)``, of one namespace if
-    given. Each task multiplies batches of vectors by the queries and passes on only its own
-    ``k`` best per query, so the pairs never exist as rows. Equal scores go by id.
+    given; ids are of any type. Both sides are cut into tiles by hash, and each task multiplies one
+    tile of vectors by one of queries and passes on ``k`` rows per query, so the pairs never exist as
+    rows and memory does not depend on how many there are. Equal scores go by id. Vectors are
+    compared with queries of their own dimensions; those that are NULL or lack a component, and
+    rows without an id, are left out, and ``unsearchable`` names them.
     """
     if namespace is not None:
         vectors = vectors.where(F.col("namespace") == namespace)
-    vectors, queries = vectors.select("vec_id", "embedding"), queries.select("query_id", "embedding")
-    sent = _queries_to_send(queries)
-    partial = _scored_by_batch(vectors, sent, k) if sent is not None else _scored_by_block(queries, vectors, k)
+    sides = {"vec_id": vectors, "query_id": queries}
+    rows = {key: df.select(key, "embedding").where(F.col(key).isNotNull() & _whole("embedding")) for key, df in sides.items()}
+    tiles = {key: max(1, -(-df.count() // size)) for (key, df), size in zip(rows.items(), (TILE_VECTORS, TILE_QUERIES))}
+
+    def tiled(key: str, other: str) -> DataFrame:
+        tile = F.pmod(F.xxhash64(key, "embedding"), F.lit(tiles[key])).cast("int").alias(f"{key}_tile")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(tiles[other] - 1))).alias(f"{other}_tile")
+        return rows[key].select(key, "embedding", F.size("embedding").alias("_dims"), tile, copies)
+
+    keys = ["vec_id_tile", "query_id_tile", "_dims"]
+    kinds = {key: df.schema[key].dataType.simpleString() for key, df in rows.items()}
+    asked, held = tiled("query_id", "vec_id").groupBy(*keys), tiled("vec_id", "query_id").groupBy(*keys)
+    found = asked.cogroup(held).applyInPandas(_tile(k), f"query_id {kinds['query_id']}, vec_id {kinds['vec_id']}, score double")
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return partial.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
-
-
-def _queries_to_send(queries: DataFrame) -> pd.DataFrame | None:
-    """The queries, if their vectors together stay below the bound, which is checked first."""
-    size = queries.agg(F.sum(F.size("embedding") * 8).alias("bytes")).first()["bytes"] or 0
-    return queries.toPandas() if size <= MAX_SENT_QUERY_BYTES else None
-
-
-def _scored_by_batch(vectors: DataFrame, queries: pd.DataFrame, k: int) -> DataFrame:
-    if queries.empty:
-        return vectors.sparkSession.createDataFrame([], TOPK_SCHEMA)
-    qids = queries["query_id"].to_numpy()
-    shared = vectors.sparkSession.sparkContext.broadcast((qids, _unit(queries["embedding"])))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, matrix = shared.value
-        best = None
-        for batch in batches:
-            if len(batch):
-                found = _score_block(query_ids, matrix, batch["vec_id"].to_numpy(), batch["embedding"], k)
-                best = found if best is None else _cut(pd.concat([best, found]), k)
-        if best is not None:
-            yield best
-
-    return vectors.mapInPandas(score, TOPK_SCHEMA)
-
-
-def _scored_by_block(queries: DataFrame, vectors: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Many queries: cut both sides into blocks of bounded size and score each pair of blocks."""
-    vector_blocks = max(1, -(-vectors.count() // block_rows))
-    query_blocks = max(1, -(-queries.count() // block_rows))
-
-    def blocked(df: DataFrame, key: str, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        block = F.pmod(F.xxhash64(key), F.lit(own_blocks)).cast("int").alias(own)
-        copies = F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other)
-        return df.select("*", block, copies)
-
-    q = blocked(queries, "query_id", "qb", query_blocks, "vb", vector_blocks)
-    v = blocked(vectors, "vec_id", "vb", vector_blocks, "qb", query_blocks)
-
-    def score(qs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
-        if qs.empty or vs.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids = vs["vec_id"].to_numpy()
-        return _score_block(qs["query_id"].to_numpy(), _unit(qs["embedding"]), ids, vs["embedding"], k)
-
-    return q.groupBy("qb", "vb").cogroup(v.groupBy("qb", "vb")).applyInPandas(score, TOPK_SCHEMA)
+    return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def assemble_context(queries: DataFrame, matches: DataFrame) -> DataFrame:
+def assemble_context(queries: DataFrame, matches: DataFrame, fallback: str = NO_CONTEXT) -> DataFrame:
     """Per query the prompt context, source lines and file note of its matches.
 
     ``matches`` has ``query_id, rank, chunk_text, file_name, topic`` with at most k rows per
-    query. A query without matches gets the fallback prompt and empty notes.
+    query. A query without matches gets ``fallback`` and empty notes.
     """
+    # The format of a passage and of a source line.
     file_name, topic = text_or(F.col("file_name"), "Unknown file"), text_or(F.col("topic"), "General")
     chunk = F.trim(F.coalesce("chunk_text", F.lit("")))
     named = matches.select(
@@ -168,18 +149,20 @@ def assemble_context(queries: DataFrame, matches: DataFrame) -> DataFrame:
     )
     return queries.join(contexts, "query_id", "left").select(
         *queries.columns,
-        F.coalesce("context", F.lit(FALLBACK_PROMPT)).alias("context"),
+        F.coalesce("context", F.lit(fallback)).alias("context"),
         F.coalesce("sources", F.lit("")).alias("sources"),
         F.coalesce("files", F.lit("")).alias("files"),
     )
 
 
 def conversation_history(messages: DataFrame) -> DataFrame:
-    """Turns without system messages in order, by a range-partitioned sort.
+    """Turns without system messages, the rows of a conversation in order.
 
-    Rows rather than one array per conversation, so a long conversation is spread over tasks.
+    Rows are dealt out by conversation and sorted within tasks: an order over all conversations,
+    which would take a sampling pass, is of no use to a reader of one. Rows rather than arrays, so
+    a long conversation is sorted on disk if need be.
     """
-    return messages.where(F.col("role") != "system").orderBy("conv_id", "turn")
+    return messages.where(F.col("role") != "system").repartition("conv_id").sortWithinPartitions("conv_id", "turn")
 
 
 def conversation_list(messages: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stationflow.functions.scalar import as_date
 from stationflow.functions.text import first_date, word_runs, words
+from stationflow.operators.relational import preview
 
 FACT_COLUMNS = ["avg_temperature", "max_temperature", "min_temperature", "sum_precipitation", "avg_humidity", "condition"]
 
@@ -19,22 +20,25 @@ def extract_places(
 
     Names are matched as runs of whole words by an equi-join, so that ``N_1`` is not found inside
     ``N_10`` and no question is compared with every place. Ties go to the first name in order.
-    Only the runs that are names go on, as keys without the question's text.
+    The questions, which are short, are read once: their columns go along with the runs.
     """
     gazetteer = places.select(F.array_join(words(F.col(name)), " ").alias("run"), F.col(name).alias("place")).distinct()
     longest = gazetteer.agg(F.max(F.size(F.split("run", " ")))).first()[0] or 1
-    runs = questions.select(key, F.explode(word_runs(F.col("question"), longest)).alias("run"))
-    rank = F.struct((-F.length("place")).alias("len"), F.col("place"))
-    found = runs.join(gazetteer, "run").groupBy(key).agg(F.min(rank)["place"].alias("place"))
-    return questions.join(found, key, "left")
+    runs = questions.select("*", F.explode_outer(word_runs(F.col("question"), longest)).alias("_run"))
+    named = runs.join(gazetteer.withColumnRenamed("run", "_run"), "_run", "left")
+    rank = F.when(F.col("place").isNotNull(), F.struct((-F.length("place")).alias("len"), F.col("place")))
+    return named.groupBy(*questions.columns).agg(F.min(rank)["place"].alias("place"))
+
+
+# Words that put a question without a date into the past or the future.
+PAST_WORDS, FUTURE_WORDS = r"(?i)\b(was|were|past|yesterday|history)\b", r"(?i)\b(will|forecast|tomorrow|next)\b"
 
 
 def with_kind(questions: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    """Without a date a question is about now; a date decides between past and forecast."""
-    day = first_date(F.col("question"))
-    kind = (
-        F.when(day.isNull(), "current").when(day <= as_date(as_of), "past").otherwise("forecast")
-    )
+    """A date decides between past and forecast; without one its words do, else it is about now."""
+    text, day = F.col("question"), first_date(F.col("question"))
+    undated = F.when(text.rlike(PAST_WORDS), "past").when(text.rlike(FUTURE_WORDS), "forecast").otherwise("current")
+    kind = F.when(day.isNull(), undated).when(day <= as_date(as_of), "past").otherwise("forecast")
     return questions.withColumn("day", day).withColumn("kind", kind)
 
 
@@ -69,20 +73,24 @@ def answers(current: DataFrame, past: DataFrame, forecast: DataFrame, provinces:
     return now.unionByName(history).unionByName(ahead)
 
 
-def answer_questions(asked: DataFrame, facts: DataFrame) -> DataFrame:
-    """One join of all questions with the facts; a question without an answer stays, flagged.
+def answer_questions(asked: DataFrame, facts: DataFrame, first: int = 3) -> DataFrame:
+    """All questions joined with the facts; a question without an answer stays, flagged.
 
-    The facts are unique by (kind, place, day), so a question asked very often only makes its
-    own side of the join skewed, which adaptive execution splits.
+    A question about now or about a day has one row. One about the past or the future without a day
+    has the ``first`` days that are known of the place, and in ``remaining`` how many more there are.
+    ``answer_day`` is the fact's day, ``row`` numbers a question's rows.
+
+    The facts, small beside the questions, are unique by (kind, place, day). Questions without a place
+    have no answer and don't take part in the join. A question asked very often makes its own side
+    skewed, which adaptive execution splits; both sides are shuffled by (kind, place, day).
     """
-    keyed = facts.withColumnsRenamed({"kind": "f_kind", "place": "f_place", "day": "f_day"}).withColumn("_found", F.lit(True))
-    match = (
-        (F.col("kind") == F.col("f_kind"))
-        & (F.lower("place") == F.lower("f_place"))
-        & F.col("day").eqNullSafe(F.col("f_day"))
-    )
-    return (
-        asked.join(keyed, match, "left")
-        .withColumn("not_found", F.col("_found").isNull())
-        .drop("f_kind", "f_place", "f_day", "_found")
-    )
+    placed, nowhere = asked.where("place is not null"), asked.where("place is null")
+    undated = F.col("day").isNull() & (F.col("kind") != "current")
+    facts = facts.withColumnsRenamed({"kind": "f_kind", "place": "f_place", "day": "answer_day"})
+    dated = facts.withColumn("row", F.lit(1)).withColumn("remaining", F.lit(0).cast("long"))
+    known = preview(facts.where("answer_day is not null"), ["f_kind", "f_place"], [F.asc("answer_day")], first)
+    place = (F.col("kind") == F.col("f_kind")) & (F.lower("place") == F.lower("f_place"))
+    found = placed.where(~undated).join(dated, place & F.col("day").eqNullSafe(F.col("answer_day")), "left")
+    several = placed.where(undated).join(known, place, "left")
+    answered = found.unionByName(several).withColumn("not_found", F.col("row").isNull()).drop("f_kind", "f_place")
+    return answered.unionByName(nowhere.withColumn("not_found", F.lit(True)), allowMissingColumns=True)

@@ -93,6 +93,8 @@ DISTRICTS = [
 QUESTION = (
     "case when c_acctbal < 0 then 'will it rain tomorrow?'"
     " when c_custkey % 4 = 0 then concat('What is the weather in ', lower(n_name), ' now?')"
+    " when c_custkey % 8 = 1 then concat('How was it in ', n_name, ' in the past?')"
+    " when c_custkey % 8 = 5 then concat('Forecast for ', n_name, '?')"
     " else concat('Weather in ', n_name, ' on ', {day}, ' please') end"
 )
 ASKED_DAY = ("date_add(date '2024-01-10', cast(c_custkey % 30 as int))", "(date '2024-01-10' + cast(c_custkey % 30 as int))")
@@ -268,6 +270,7 @@ class Data:
         stored = Data(self.spark, self.folder)
         stored.daily = durable(self.daily, "daily")
         stored.current = durable(self.current, "current")
+        stored.predictions = durable(stored.predictions, "predictions")
         return stored
 
     @cached_property

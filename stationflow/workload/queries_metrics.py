@@ -132,10 +132,15 @@ def current_summary(d: Data) -> DataFrame:
 _SPINE = "select date '2020-01-01' + cast(i as int) as date_day from range(5000) t(i)"
 
 
-@query("time_spine", f"select date_day, count(ts) as events from ({_SPINE}) left join events on cast(ts as date) = date_day group by all")
+@query(
+    "time_spine",
+    f"""select coalesce(s.date_day, e.day) as date_day, coalesce(n, 0) as events from ({_SPINE}) s full join
+    (select cast(ts as date) as day, count(*) as n from events group by all) e on e.day = s.date_day""",
+)
 def spine(d: Data) -> DataFrame:
+    """Days with their events; days of events outside the spine stay."""
     per_day = d.table("events").groupBy(F.to_date("ts").alias("date_day")).agg(F.count("*").alias("events"))
-    return time_spine(d.spark).join(per_day, "date_day", "left").fillna(0, ["events"])
+    return fill_days(per_day, time_spine(d.spark), "date_day").fillna(0, ["events"])
 
 
 @query(

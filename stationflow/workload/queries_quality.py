@@ -89,6 +89,30 @@ def failing(d: Data) -> DataFrame:
     return rows.select("province_name", "weather_updated_at", "temperature_celsius", F.array_join("failed", ";").alias("failed"))
 
 
+_KEY_CHECKS = [
+    *quality.unique("lineitem", "l_orderkey"),
+    *quality.unique_combination("lineitem", "l_suppkey", "l_shipdate"),
+    *quality.relationship("lineitem", "l_suppkey", "known", "s_suppkey"),
+    *quality.not_null("lineitem", "l_orderkey"),
+    *quality.accepted_range("lineitem", "l_quantity", 5, 45),
+]
+
+
+@query(
+    "dq_failing_rows_by_key",
+    """select l_orderkey, l_linenumber, l_suppkey, failed from (select *, concat_ws(';',
+    case when count(*) over (partition by l_orderkey) > 1 then 'unique:l_orderkey' end,
+    case when count(*) over (partition by l_suppkey, l_shipdate) > 1 then 'unique_combination:l_suppkey,l_shipdate' end,
+    case when l_suppkey not in (select s_suppkey from supplier where s_suppkey % 3 <> 0) then 'relationship:l_suppkey' end,
+    case when l_quantity < 5 or l_quantity > 45 then 'accepted_range:l_quantity' end) as failed from lineitem) where failed <> ''""",
+)
+def failing_by_key(d: Data) -> DataFrame:
+    """Rows that break a uniqueness, a combination, a relationship, beside row-level checks."""
+    known = d.table("supplier").where(F.col("s_suppkey") % 3 != 0)
+    rows = quality.failing_rows(d.table("lineitem"), _KEY_CHECKS, tables={"known": known})
+    return rows.select("l_orderkey", "l_linenumber", "l_suppkey", F.array_join("failed", ";").alias("failed"))
+
+
 _LINE_CHECKS = [
     *quality.not_null("lineitem", "l_orderkey", "l_suppkey", "l_shipdate"),
     *quality.accepted_range("lineitem", "l_quantity", 5, 45),

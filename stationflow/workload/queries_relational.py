@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stationflow.functions import scalar as s
 from stationflow.operators import relational as rel
 from stationflow.operators.incremental import new_rows
 from stationflow.operators.rollups import distinct_text, ordered_text
+from stationflow.session import durable
 from stationflow.workload.adapter import AS_OF, SPLIT, Data, rounded, rounded_sql, sql
 from stationflow.workload.registry import query
 
@@ -153,8 +154,7 @@ def join_left_composite(d: Data) -> DataFrame:
     ),
 )
 def join_cross_scalar(d: Data) -> DataFrame:
-    last = d.daily.agg(F.max("weather_date").alias("last_day"))
-    rows = rel.with_scalar(d.daily.select("province_id", "weather_date"), last)
+    rows = rel.with_scalar(d.daily.select("province_id", "weather_date"), d.daily, last_day=F.max("weather_date"))
     return rows.withColumn("age", F.datediff("last_day", "weather_date").cast("long"))
 
 
@@ -288,9 +288,9 @@ def distinct_rows(d: Data) -> DataFrame:
     "select cast(ts as date) as weather_date, event_type, count(*) as readings from events group by weather_date, event_type",
 )
 def group_by_alias(d: Data) -> DataFrame:
-    d.table("events").createOrReplaceTempView("events_by_alias")
     return d.spark.sql(
-        "SELECT date(ts) AS weather_date, event_type, count(*) AS readings FROM events_by_alias GROUP BY weather_date, event_type"
+        "SELECT date(ts) AS weather_date, event_type, count(*) AS readings FROM {events} GROUP BY weather_date, event_type",
+        events=d.table("events"),
     )
 
 
@@ -299,7 +299,9 @@ def group_by_alias(d: Data) -> DataFrame:
     "select lang, string_agg(source, ', ' order by source) as sources from (select distinct lang, source from documents) group by lang",
 )
 def distinct_sorted_concat(d: Data) -> DataFrame:
-    return d.table("documents").groupBy("lang").agg(distinct_text(F.col("source")).alias("sources"))
+    """Repeats go before a language's sources meet in one task."""
+    pairs = d.table("documents").select("lang", "source").distinct()
+    return pairs.groupBy("lang").agg(distinct_text(F.col("source")).alias("sources"))
 
 
 @query(
@@ -315,10 +317,23 @@ def group_concat_ordered(d: Data) -> DataFrame:
     return d.classified.groupBy("province_id").agg(ordered_text(F.col("weather_date"), line).alias("diary"))
 
 
-@query("order_by", sql(f"select region, weather_date, {rounded_sql('avg_temperature', 'sum_precipitation')} from regional order by region, weather_date", "regional"))
+@query(
+    "order_by",
+    sql(
+        f"""select region, weather_date, {rounded_sql('avg_temperature', 'sum_precipitation')}, row_number() over
+        (order by region, weather_date) - 1 as place from regional""",
+        "regional",
+    ),
+)
 def order_by(d: Data) -> DataFrame:
+    """Sorted rows with the place they came in, read off the sorted partitions."""
     rows = d.region_mart.select("region", "weather_date", "avg_temperature", "sum_precipitation")
-    return rounded(rows).orderBy("region", "weather_date")
+    ordered = durable(rounded(rows).orderBy("region", "weather_date").withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", 33).alias("_part")
+    sizes = ordered.groupBy(part).agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    placed = ordered.withColumn("_part", part).join(before, "_part")
+    return placed.withColumn("place", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_at", "_before")
 
 
 @query(

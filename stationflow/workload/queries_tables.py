@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from stationflow.functions.scalar import json_field
@@ -175,7 +177,7 @@ def named_sources(d: Data) -> DataFrame:
 )
 def materialize_table(d: Data) -> DataFrame:
     """A view over the rollup, rebuilt as a table partitioned by day."""
-    view = tables.materialize_view(d.daily, "daily_view")
+    view = tables.materialize_view(d.daily, f"daily_view_{uuid.uuid4().hex}")  # a name of its own
     rows = view.select("province_id", "weather_date", "chance_rain", "avg_temperature", "sum_precipitation")
     return rounded(tables.materialize_table(rows, scratch_path(d.spark, "daily"), ["weather_date"]))
 

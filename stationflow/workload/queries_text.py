@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from stationflow.functions import text
 from stationflow.operators import relational as rel
 from stationflow.operators import retrieval as ret
+from stationflow.operators.rollups import ordered_text
 from stationflow.plans import questions as qa
+from stationflow.session import durable, scratch_path
+from stationflow.sources.tables import PartitionedTable, bucketed
 from stationflow.workload.adapter import AS_OF, Data, sql
 from stationflow.workload.registry import query
 
@@ -28,11 +31,35 @@ def chunk_fixed(d: Data) -> DataFrame:
     return chunks.withColumn("chunk_no", F.col("chunk_no").cast("long"))
 
 
-@query("chunk_recursive")
-def chunk_recursive(d: Data) -> DataFrame:
+@query("chunk_recursive_rows")
+def chunk_recursive_rows(d: Data) -> DataFrame:
     return ret.chunk_table(d.table("documents"), text.recursive_chunks()(F.col("text")), ["doc_id"])
 
 
+@query(
+    "chunk_recursive",
+    r"""select doc_id, length(t) as chars, t <> '' as has_chunks, true as fitting, true as inside, true as starts, true as ends, true as covering
+    from (select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') as t from documents where text is not null)""",
+)
+def chunk_recursive(d: Data) -> DataFrame:
+    """What must hold of a document's recursive chunks: at most 1000 characters each, pieces of the
+    text, the first at its start and the last at its end, and together no fewer characters."""
+    stripped = F.regexp_replace("text", r"^\s+|\s+$", "")
+    rows = d.table("documents").where("text is not null").select("doc_id", stripped.alias("t"), text.recursive_chunks()(F.col("text")).alias("c"))
+    some, solid = F.size("c") > 0, lambda x: F.length(F.regexp_replace(x, r"\s", ""))
+    total = F.aggregate("c", F.lit(0), lambda a, x: a + solid(x))
+    return rows.select(
+        "doc_id",
+        F.length("t").cast("long").alias("chars"),
+        some.alias("has_chunks"),
+        F.forall("c", lambda x: (F.length(x) <= 1000) & (F.length(x) > 0)).alias("fitting"),
+        F.forall("c", lambda x: F.contains(F.col("t"), x)).alias("inside"),
+        (~some | F.startswith(F.col("t"), F.get("c", F.lit(0)))).alias("starts"),
+        (~some | F.endswith(F.col("t"), F.get("c", F.size("c") - 1))).alias("ends"),
+        (total >= solid(F.col("t"))).alias("covering"),
+    )
+
+
 @query(
     "chunk_records",
     f"""select 'chunk-' || sha256(concat(doc_id, chr(1), chunk_no, chr(1), chunk_text)) as id, doc_id, chunk_no, chunk_text,
@@ -81,7 +108,7 @@ def vector_topk(d: Data) -> DataFrame:
 
 @query(
     "assemble_context",
-    f"""select query_id, coalesce(context, '{ret.FALLBACK_PROMPT}') as context, coalesce(sources, '') as sources,
+    f"""select query_id, coalesce(context, '{ret.NO_CONTEXT}') as context, coalesce(sources, '') as sources,
     coalesce(files, '') as files from (select distinct cast(label as bigint) as query_id from embeddings
     union all select -1) q left join (select n.query_id,
     string_agg('[' || source || ', topic: ' || lang || ']' || chr(10) || trim(text, ' '), chr(10) || chr(10) order by rank) as context,
@@ -104,6 +131,42 @@ def assemble_context(d: Data) -> DataFrame:
     return ret.assemble_context(asked.unionByName(none), found.join(docs, "vec_id"))
 
 
+_RECORDS = f"""select 'chunk-' || sha256(concat(c.doc_id, chr(1), chunk_no, chr(1), chunk_text)) as id, chunk_text, source as file_name,
+case c.doc_id % 3 when 0 then '007' when 1 then '010' else '7' end as namespace,
+list_transform(embedding, lambda x, i: cast(x as double) * (1 + (chunk_no * i) % 5)) as embedding
+from ({_CHUNKS}) c join embeddings e on c.doc_id = e.vec_id"""
+_NEAREST_CHUNKS = f"""select query_id, id, score, chunk_text, file_name, rank from (select *, cast(row_number() over
+(partition by query_id order by score desc, id) as int) as rank from (select query_id, id, chunk_text, file_name,
+round(list_cosine_similarity(q.embedding, r.embedding), 9) as score from ({_CENTRES}) q cross join ({_RECORDS}) r
+where namespace = '007')) where rank <= 2"""
+
+
+@query(
+    "retrieve_chunks",
+    f"""select cast(query_id as bigint) as query_id, string_agg(id, ' ' order by rank) as ids,
+    string_agg('[' || file_name || ', topic: General]' || chr(10) || trim(chunk_text, ' '), chr(10) || chr(10) order by rank) as context,
+    array_to_string(list_sort(list_distinct(list(file_name))), ', ') as files from ({_NEAREST_CHUNKS}) group by query_id""",
+)
+def retrieve_chunks(d: Data) -> DataFrame:
+    """Documents to chunks with derived ids, chunks under a namespace in a stored table, some of them
+    ingested twice, the nearest of one namespace, and their context."""
+    records = ret.chunk_records(d.table("documents"), "doc_id", "source", "uploaded_pdf")
+    vectors = d.table("embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    scaled = F.transform("embedding", lambda x, i: x.cast("double") * (1 + (F.col("chunk_no") * (i + 1)) % 5))
+    space = F.when(F.col("doc_id") % 3 == 0, "007").when(F.col("doc_id") % 3 == 1, "010").otherwise("7")
+    rows = records.join(vectors, "doc_id").select("id", space.alias("namespace"), scaled.alias("embedding"), "metadata")
+    schema = "id string, namespace string, embedding array<double>, metadata struct<chunk_text:string,category:string,file_name:string>, bucket int"
+    table = PartitionedTable(d.spark, scratch_path(d.spark, "vectors"), ["namespace", "bucket"], schema)
+    table.overwrite(bucketed(rows.where("namespace <> '7'"), ["id"]))
+    stored = table.upsert(bucketed(rows.where("namespace <> '010'"), ["id"]), ["namespace", "bucket", "id"])
+    centres = _centres(d)
+    found = ret.vector_topk(centres, stored.withColumnRenamed("id", "vec_id"), k=2, namespace="007")
+    texts = stored.where("namespace = '007'").select(F.col("id").alias("vec_id"), "metadata.chunk_text", "metadata.file_name")
+    matches = durable(found.join(texts, "vec_id").withColumn("topic", F.lit(None).cast("string")), "matches")
+    ids = matches.groupBy("query_id").agg(ordered_text(F.col("rank"), F.col("vec_id"), " ").alias("ids"))
+    return ret.assemble_context(centres.select("query_id"), matches).join(ids, "query_id").select("query_id", "ids", "context", "files")
+
+
 @query(
     "date_pattern_extract",
     sql(
@@ -130,21 +193,30 @@ def place_extract(d: Data) -> DataFrame:
     return qa.extract_places(d.questions, d.provinces)
 
 
+_FACTS = """select 'past' as kind, province_name as place, weather_date as answer_day, predicted_condition as condition, max_temperature
+from classified union all select 'forecast', province_name, predicted_date, predicted_condition, max_temperature_c
+from forecast join provinces using (province_id)"""
+
+
 @query(
     "answer_questions",
     sql(
-        rf"""select a.question_id, a.kind, a.place, a.day, f.sum_precipitation is null as not_found, f.condition,
+        rf"""select a.question_id, a.kind, a.place, a.day, f.answer_day, f.row, f.remaining, f.row is null as not_found, f.condition,
         round(f.max_temperature, 9) as max_temperature from (select question_id, place, day,
-        case when day is null then 'current' when day <= date '{AS_OF}' then 'past' else 'forecast' end as kind
+        case when day is null then case when regexp_matches(question, '(?i)\b(was|were|past|yesterday|history)\b') then 'past'
+        when regexp_matches(question, '(?i)\b(will|forecast|tomorrow|next)\b') then 'forecast' else 'current' end
+        when day <= date '{AS_OF}' then 'past' else 'forecast' end as kind
         from (select *, cast(coalesce(try_strptime(nullif(regexp_extract(question, '\d\d/\d\d/\d\d\d\d'), ''), '%d/%m/%Y'),
         try_strptime(nullif(regexp_extract(question, '\d\d\d\d-\d\d-\d\d'), ''), '%Y-%m-%d'),
         try_strptime(nullif(regexp_extract(question, '\d\d-\d\d-\d\d\d\d'), ''), '%d-%m-%Y')) as date) as day from ({_PLACED}))) a
-        left join (select 'current' as kind, province_name as place, null::date as day, precipitation_mm as sum_precipitation,
-        weather_condition as condition, temperature_celsius as max_temperature from current_rows
-        union all select 'past', province_name, weather_date, sum_precipitation, predicted_condition, max_temperature from classified
-        union all select 'forecast', province_name, predicted_date, total_precip_mm, predicted_condition, max_temperature_c
-        from forecast join provinces using (province_id)) f
-        on a.kind = f.kind and a.place = f.place and a.day is not distinct from f.day""",
+        left join (
+        select *, null::date as asked, 1 as row, cast(0 as bigint) as remaining from (select 'current' as kind, province_name as place,
+        null::date as answer_day, weather_condition as condition, temperature_celsius as max_temperature from current_rows)
+        union all select *, answer_day, 1, 0 from ({_FACTS})
+        union all select kind, place, answer_day, condition, max_temperature, null::date, row, greatest(total - 3, 0) from (select *,
+        cast(row_number() over (partition by kind, place order by answer_day) as int) as row, count(*) over (partition by kind, place) as total
+        from ({_FACTS})) where row <= 3) f
+        on a.kind = f.kind and a.place = f.place and a.day is not distinct from f.asked""",
         "questions",
         "current_rows",
         "classified",
@@ -153,18 +225,28 @@ def place_extract(d: Data) -> DataFrame:
     ),
 )
 def answer_questions(d: Data) -> DataFrame:
-    """Every question against the current, past or forecast table it is about."""
+    """Every question against the stored current, past or forecast table it is about."""
+    d = d.stored()
     asked = qa.with_kind(qa.extract_places(d.questions, d.provinces), AS_OF)
     past = d.daily_mart.drop("province_name")
-    found = qa.answer_questions(asked, qa.answers(d.current.drop("province_name"), past, d.forecast, d.provinces))
-    return found.select(
-        "question_id", "kind", "place", "day", "not_found", "condition", F.round("max_temperature", 9).alias("max_temperature")
-    )
+    facts = durable(qa.answers(d.current.drop("province_name"), past, d.forecast, d.provinces), "facts")
+    return qa.answer_questions(asked, facts).select(
+        "question_id", "kind", "place", "day", "answer_day", "row", "remaining", "not_found", "condition",
+        F.round("max_temperature", 9).alias("max_temperature"),
+    )
 
 
-@query("conversation_history", "select conv_id, turn, role, text from conversations where role <> 'system'")
+@query(
+    "conversation_history",
+    """select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn) - 1 as place from conversations
+    where role <> 'system'""",
+)
 def conversation_history(d: Data) -> DataFrame:
-    return ret.conversation_history(d.table("conversations"))
+    """Turns with the place they came in, read off the order of the rows."""
+    at = F.monotonically_increasing_id()
+    rows = durable(ret.conversation_history(d.table("conversations")).select("conv_id", "turn", "role", "text").withColumn("_at", at), "history")
+    start = rows.groupBy("conv_id").agg(F.min("_at").alias("_start"))
+    return rows.join(start, "conv_id").withColumn("place", F.col("_at") - F.col("_start")).drop("_at", "_start")
 
 
 @query(

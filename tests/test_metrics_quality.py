@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from stationflow.operators import quality as dq
 from stationflow.operators.metrics import Dimension, Entity, Measure, Metric, SemanticLayer, SemanticModel, fill_days, time_spine
+from stationflow.operators.relational import preview
 from stationflow.plans import contracts, semantic
 
 
@@ -63,7 +65,22 @@ def test_spine_bounds_and_fill(spark, layer):
         "2020-01-01", "2033-09-08"
     ]
     filled = fill_days(layer.query(["total"], ["d"]), time_spine(spark, "2024-01-01", 3), "d")
-    assert {(str(d), v) for d, v in rows(filled)} == {("2024-01-01", 13.0), ("2024-01-02", None), ("2024-01-03", None)}
+    assert {(str(d), v) for d, v in rows(filled)} == {
+        ("2024-01-01", 13.0), ("2024-01-02", None), ("2024-01-03", None), ("2024-02-01", 3.0)
+    }
+
+
+def test_days_outside_the_spine_stay(spark, layer):
+    spine = time_spine(spark, "2024-01-01", 2)
+    assert {(str(d), v) for d, v in rows(fill_days(layer.query(["total"], ["d"]), spine, "d"))} == {
+        ("2024-01-01", 13.0), ("2024-01-02", None), ("2024-02-01", 3.0)
+    }
+    metric = spark.createDataFrame([("N", None, 1.0), ("N", "2024-01-02", 2.0), ("Z", "2031-01-01", 3.0)], "k string, d string, v double")
+    metric = metric.selectExpr("k", "cast(d as date) as d", "v")
+    filled = fill_days(metric, spine, "d", spark.createDataFrame([("N",), (None,)], "k string"))
+    assert {(k, str(d), v) for k, d, v in rows(filled)} == {
+        ("N", "2024-01-01", None), ("N", "2024-01-02", 2.0), (None, "2024-01-01", None), (None, "2024-01-02", None), ("N", "None", 1.0), ("Z", "2031-01-01", 3.0)
+    }
 
 
 def test_sixteen_metrics_and_seventy_four_checks():
@@ -87,6 +104,25 @@ def test_unique_and_relationship_counts(spark):
     assert out == {"unique": 3, "unique_combination": 2, "relationship": 2}
 
 
+def test_failing_rows_of_every_kind(spark):
+    child = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (2, 2), (None, 2), (None, 2), (9, 3)], "k int, j int")
+    parent = spark.createDataFrame([(1,), (2,)], "k int")
+    checks = dq.unique("c", "k") + dq.unique_combination("c", "k", "j") + dq.relationship("c", "k", "p", "k") + dq.not_null("c", "k")
+    out = sorted((str(r.k), r.j, r.failed) for r in dq.failing_rows(child, checks, tables={"p": parent}).collect())
+    twice, combination = "unique:k", "unique_combination:k,j"
+    assert out == [
+        ("1", 1, [twice, combination]), ("1", 1, [twice, combination]), ("2", 1, [twice]), ("2", 2, [twice]), ("9", 3, ["relationship:k"]),
+        ("None", 2, [combination, "not_null:k"]), ("None", 2, [combination, "not_null:k"]),
+    ]
+
+
+def test_a_preview_reads_its_input_once(spark, tmp_path):
+    spark.range(10).selectExpr("id % 2 as k", "id").write.parquet(str(tmp_path / "t"))
+    shown = preview(spark.read.parquet(str(tmp_path / "t")), ["k"], [F.asc("id")], 3)
+    assert str(tmp_path) not in shown._jdf.queryExecution().executedPlan().toString()  # both halves read the stored rows
+    assert {(r.k, r.id, r.row, r.remaining) for r in shown.collect()} == {(k, k + 2 * i, i + 1, 2) for k in (0, 1) for i in range(3)}
+
+
 def test_row_checks_take_one_pass(spark, tmp_path):
     spark.range(10).selectExpr("id as a", "id as b", "id as c").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))

@@ -84,7 +84,7 @@ def _brute(queries, vectors, k):
     return out
 
 
-def test_topk_equals_brute_force_both_ways(spark):
+def test_topk_equals_brute_force_in_any_tiling(spark, monkeypatch):
     rng = np.random.default_rng(3)
     base = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)]
     vectors = base + [(1000 + i, v) for i, v in base[:40]]  # exact copies tie, so ids decide
@@ -92,15 +92,22 @@ def test_topk_equals_brute_force_both_ways(spark):
     q = spark.createDataFrame(queries, "query_id long, embedding array<double>")
     v = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(5)
     expected = _brute(queries, vectors, 3)
-    got = {(r.query_id, r.vec_id, r["rank"]) for r in ret.vector_topk(q, v, 3).collect()}
-    assert got == expected
-    blocked = ret._scored_by_block(q, v, 3, block_rows=64)
-    assert blocked.count() <= 26 * 3 * 6 * 1  # k per query and pair of blocks, not all pairs
-    limit, ret.MAX_SENT_QUERY_BYTES = ret.MAX_SENT_QUERY_BYTES, 0
-    try:
+    for tile in (4096, 64):
+        monkeypatch.setattr(ret, "TILE_VECTORS", tile)
+        monkeypatch.setattr(ret, "TILE_QUERIES", tile // 8)
         assert {(r.query_id, r.vec_id, r["rank"]) for r in ret.vector_topk(q, v, 3).collect()} == expected
-    finally:
-        ret.MAX_SENT_QUERY_BYTES = limit
+
+
+def test_topk_with_text_ids_missing_and_ragged_vectors(spark):
+    rows = [("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", None), ("d", [1.0, None]), ("e", [1.0]), (None, [1.0, 0.0]), ("f", [0.0, 1.0]), ("g", [float("nan"), 1.0])]
+    v = spark.createDataFrame(rows, "vec_id string, embedding array<double>")
+    q = spark.createDataFrame([("q", [1.0, 0.0]), ("none", None)], "query_id string, embedding array<double>")
+    got = ret.vector_topk(q, v, 5).collect()
+    assert sorted((r["rank"], r.vec_id, r.query_id) for r in got) == [(1, "a", "q"), (2, "b", "q"), (3, "f", "q")]
+    assert {(r.vec_id, r.reason) for r in ret.unsearchable(v, 2).collect()} == {
+        ("c", "no vector"), ("d", "missing component"), ("e", "other dimensions"), (None, "no id"), ("g", "missing component")
+    }
+    assert ret.vector_topk(q, v.limit(0), 5).count() == ret.vector_topk(q.limit(0), v, 5).count() == 0
 
 
 def test_topk_of_a_namespace(spark):
@@ -118,10 +125,56 @@ def test_context_defaults_and_fallback(spark):
     assert out[1].context == "[f.pdf, topic: t]\nfirst\n\n[Unknown file, topic: General]\nsecond"
     assert out[1].sources == "- Unknown file (topic: General)\n- f.pdf (topic: t)"
     assert out[1].files == "Unknown file, f.pdf"
-    assert out[2].context == ret.FALLBACK_PROMPT and out[2].files == ""
+    assert out[2].context == ret.NO_CONTEXT and out[2].files == ""
+    own = ret.assemble_context(spark.createDataFrame([(2,)], "query_id long"), matches, fallback="ask again")
+    assert own.first().context == "ask again"
 
 
 def test_ingesting_chunks_again_gives_the_same_ids(spark):
     docs = spark.createDataFrame([(1, "x" * 2500, "a.pdf")], "doc_id int, text string, source string")
     ids = lambda: [r.id for r in ret.chunk_records(docs, "doc_id", "source", "uploaded_pdf").collect()]
     assert ids() == ids() and len(set(ids())) == 3
+
+
+PLACES = [("A",), ("B",)]
+FACT = "kind string, place string, day date, condition string"
+
+
+def _asked(spark, questions):
+    places = spark.createDataFrame(PLACES, "province_name string")
+    frame = spark.createDataFrame(list(enumerate(questions)), "question_id int, question string")
+    return qa.with_kind(qa.extract_places(frame, places), "2024-01-30")
+
+
+def test_words_decide_when_there_is_no_date(spark):
+    asked = ["weather in A?", "How was A?", "Forecast for A", "A on 2024-01-01, will it rain?", "A on 2024-02-01", "wasabi in A"]
+    assert [r.kind for r in sorted(_asked(spark, asked).collect())] == ["current", "past", "forecast", "past", "forecast", "current"]
+
+
+def test_undated_questions_have_the_first_rows_and_how_many_more(spark):
+    days = [("past", "A", f"2024-01-0{d}", f"p{d}") for d in range(1, 6)] + [("forecast", "A", "2024-02-01", "f"), ("current", "A", None, "now")]
+    facts = spark.createDataFrame(days, FACT.replace("date", "string")).withColumn("day", F.col("day").cast("date"))
+    asked = ["How was A?", "Forecast for A?", "A now", "A on 2024-01-04", "A on 2024-01-20", "How was B?", "How was it?", "How was a?"]
+    rows = qa.answer_questions(_asked(spark, asked), facts).collect()
+    got = sorted((r.question_id, r.row, r.condition, r.remaining, r.not_found) for r in rows if r.question_id not in (4, 5, 6))
+    assert got == [
+        (0, 1, "p1", 2, False), (0, 2, "p2", 2, False), (0, 3, "p3", 2, False), (1, 1, "f", 0, False), (2, 1, "now", 0, False),
+        (3, 1, "p4", 0, False), (7, 1, "p1", 2, False), (7, 2, "p2", 2, False), (7, 3, "p3", 2, False),
+    ]
+    assert all(r.not_found and r.row is None for r in rows if r.question_id in (4, 5, 6)) and len(rows) == 12
+
+
+def test_questions_are_read_once_for_their_places(spark, tmp_path):
+    spark.createDataFrame([(1, "A now")], "question_id int, question string").write.parquet(str(tmp_path / "q"))
+    found = qa.extract_places(spark.read.parquet(str(tmp_path / "q")), spark.createDataFrame(PLACES, "province_name string"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_history_needs_no_global_sort(spark):
+    rows = [(c, t, "user", f"{c}{t}") for c in range(5) for t in (3, 1, 2)] + [(0, 0, "system", "s")]
+    history = ret.conversation_history(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string"))
+    assert "rangepartitioning" not in history._jdf.queryExecution().executedPlan().toString()
+    turns = {}
+    for r in history.collect():
+        turns.setdefault(r.conv_id, []).append(r.turn)
+    assert turns == {c: [1, 2, 3] for c in range(5)}
