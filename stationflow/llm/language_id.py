@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stationflow.llm.common import U64, mix, steps, utf8, wider
+from stationflow.llm.common import U64, mix, steps, unit, utf8, wider
 
 #: Lengths, in bytes, of the subwords; a word's ends count as one byte each.
 GRAMS = (2, 3, 4, 5)
@@ -78,11 +78,14 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def labelled_sample(docs: DataFrame, doc_id: Column, text: Column, lang: Column, per_language: int, seed: int) -> DataFrame:
     """At most ``per_language`` rows of each language, by a hash of the id; rows without a text or
-    language are left out. Each task keeps its own first rows of a language before the shuffle."""
+    language are left out. By their languages' counts, only about four times as many rows as are
+    wanted leave their tasks, however large the table."""
     rows = docs.select(text.alias("text"), lang.alias("lang"), F.xxhash64(F.lit(seed), doc_id).alias("_h"), F.xxhash64(text).alias("_t"))
     rows = rows.where("text is not null and lang is not null")
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "_t"))
-    return rows.withColumn("_n", first).where(F.col("_n") <= per_language).select("text", "lang")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("_all"))  # a row for each language of the model
+    near = unit(F.col("_h"), F.col("_t")) * F.col("_all") < 4 * per_language
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(unit(F.col("_h"), F.col("_t")), "_h", "_t"))
+    return rows.join(F.broadcast(counts), "lang").where(near).withColumn("_n", first).where(F.col("_n") <= per_language).select("text", "lang")
 
 
 def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rate: float = 0.5, batch: int = 32, seed: int = 5, accept: float = 0.999, margin: float = 0.7) -> LanguageModel:

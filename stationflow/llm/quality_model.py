@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stationflow.llm.common import SPACES, U64, hashed_words, let, mix, steps, utf8, wider, words
+from stationflow.llm.common import SPACES, U64, hashed_words, let, mix, steps, unit, utf8, wider, words
 from stationflow.llm.quality_rules import STOP_WORDS
 
 BUCKET_BITS = 14
@@ -180,8 +180,10 @@ def fit_on(docs: DataFrame, doc_id: Column, text: Column, sample: int = 4000, se
     """The label model sees the votes on all texts; the scorer is fitted on ``sample`` of them, by a
     hash of the id, which go to the driver with their posterior labels."""
     model = label_model(votes(docs, doc_id, text))
-    drawn = docs.select(text.alias("text"), F.xxhash64(F.lit(seed), doc_id).alias("_h"), F.xxhash64(text).alias("_t"))
-    drawn = drawn.where("text is not null").orderBy("_h", "_t").limit(sample)
+    drawn = docs.select(text.alias("text"), F.xxhash64(F.lit(seed), doc_id).alias("_h"), F.xxhash64(text).alias("_t")).where("text is not null")
+    # Only about twice as many rows as are wanted leave their tasks, however large the table.
+    chance = unit(F.col("_h"), F.col("_t"))
+    drawn = drawn.where(chance * drawn.count() < 2 * sample).orderBy(chance, "_h", "_t").limit(sample)
     rows = votes(drawn, F.col("text"), F.col("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     cast = np.array([r["votes"] for r in rows], int).reshape(len(rows), len(LABELLERS))

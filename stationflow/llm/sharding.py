@@ -52,7 +52,11 @@ def balanced_shards(
         "shard-rows",
     )
     race = -F.log(unit(F.lit(2), F.col("_tie"))) / F.col("size")
-    drawn = rows.select("_key", race.alias("race")).orderBy("race").limit(ranges * draws)
+    # A row is among the first with a chance in proportion to its size; by the total, only about four
+    # times as many rows as are wanted leave their tasks.
+    total = rows.agg(F.sum("size")).first()[0] or 1
+    drawn = rows.select("_key", race.alias("race")).where(F.col("race") * float(total) < 4 * ranges * draws)
+    drawn = drawn.orderBy("race").limit(ranges * draws)
     keys = sorted(r[0] for r in drawn.where("_key is not null").select("_key").collect())
     splitters = sorted(set(keys[draws::draws]))
 
