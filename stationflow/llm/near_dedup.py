@@ -18,6 +18,12 @@ REGISTERS = BANDS * ROWS
 #: Of the 96 one-bit registers two texts with similarity 0.8 differ in 9.6 (deviation 2.9); beyond
 #: six deviations a pair is not verified.
 MOST_BITS = 27
+#: 64-bit words of the odd sketch: bit h of it says whether an odd number of the text's shingles hash
+#: to h. Two sketches differ in at most as many bits as the sets differ in shingles, so it never
+#: rules out a pair that is similar enough.
+SKETCH = [f"o{i}" for i in range(8)]
+#: What is known of a text beside its bands.
+BITS = ["n", "s1", "s2", *SKETCH]
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -86,8 +92,8 @@ def _words_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
     """A row for each row of docs: ``doc_id, k1, k2`` (128 bits of the lower-cased word sequence;
-    null for a null text), ``n`` (different shingles), ``s1, s2`` (a bit of each register) and
-    ``bands`` (hashes of groups of registers)."""
+    null for a null text), ``n`` (different shingles), ``s1, s2`` (a bit of each register), the odd
+    sketch and ``bands`` (hashes of groups of registers)."""
     rows = docs.select(doc_id.alias("doc_id"), text.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -101,16 +107,38 @@ def signatures(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
                 bits = np.zeros((texts, 128), np.uint8)
                 bits[:, :REGISTERS] = (signature & U64(1)).astype(np.uint8)
                 bits = np.packbits(bits, axis=1).view(np.int64)
+                places = owner * (64 * len(SKETCH)) + (found & U64(64 * len(SKETCH) - 1)).astype(np.int64)
+                odd = (np.bincount(places, minlength=texts * 64 * len(SKETCH)) & 1).astype(np.uint8)
+                odd = np.packbits(odd.reshape(texts, -1), axis=1).view(np.int64)
                 with np.errstate(over="ignore"):
                     bands = (signature.reshape(texts, BANDS, ROWS) * powers(ROWS + 1)[1:]).sum(axis=2, dtype=U64)
                     bands = mix(bands + np.arange(1, BANDS + 1, dtype=U64) * _STEP).view(np.int64)[n > 0]
                 ends = np.concatenate([[0], np.cumsum((n > 0) * BANDS)])
                 hidden = np.asarray(missing.cast(pa.uint8())).astype(bool)
                 arrays = [part.column(0), *(pa.array(k.view(np.int64), mask=hidden) for k in keys), pa.array(n)]
-                arrays += [pa.array(bits[:, 0].copy()), pa.array(bits[:, 1].copy()), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bands.ravel()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "k1", "k2", "n", "s1", "s2", "bands"])
+                arrays += [pa.array(bits[:, 0].copy()), pa.array(bits[:, 1].copy()), *(pa.array(o.copy()) for o in odd.T)]
+                arrays += [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bands.ravel()))]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "k1", "k2", *BITS, "bands"])
 
-    return rows.mapInArrow(signed, f"doc_id {kind}, k1 long, k2 long, n long, s1 long, s2 long, bands array<long>")
+    return rows.mapInArrow(signed, f"doc_id {kind}, k1 long, k2 long, {', '.join(f'{c} long' for c in BITS)}, bands array<long>")
+
+
+def _told(bits: DataFrame, side: str) -> DataFrame:
+    """The nodes as one side, a or b, of a pair."""
+    return bits.withColumnsRenamed({"node": side} | {c: c + side for c in BITS})
+
+
+def _differ(names: list[str]) -> Column:
+    """In how many bits the two sides of a pair differ."""
+    return sum((F.bit_count(F.col(f"{c}a").bitwiseXOR(F.col(f"{c}b"))) for c in names[1:]), F.bit_count(F.col(f"{names[0]}a").bitwiseXOR(F.col(f"{names[0]}b"))))
+
+
+def _may_be_similar(least: float) -> Column:
+    """False only for pairs whose similarity is less than ``least``, by the numbers of shingles and the
+    odd sketches, or by six deviations of the register bits. J >= t means that the sets differ in at
+    most (1 - t) / (1 + t) of their sizes' sum."""
+    both = F.col("na") + F.col("nb")
+    return (_differ(SKETCH) <= (1 - least) / (1 + least) * both + 1e-9) & (_differ(["s1", "s2"]) <= MOST_BITS)
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: Column, text: Column, least: float) -> DataFrame:
@@ -143,7 +171,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: Column
                 x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
                 x, y = (x, y) if len(x) < len(y) else (y, x)
                 common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
-                keep.append(common >= least * (len(x) + len(y) - common))
+                keep.append(common + 1e-9 >= least * (len(x) + len(y) - common))
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
 
@@ -159,33 +187,26 @@ def near_duplicates(docs: DataFrame, doc_id: Column, text: Column, least: float
     ProbMinHash signature are candidates: a pair at 0.8 is missed with a probability of 3e-6, at
     0.9 of 1e-11. In a bucket every node is first compared with the smallest, of several such
     the likeliest, so a large group of copies costs one comparison a node. Then, in buckets whose
-    nodes aren't in one class by now, every pair of different classes whose register bits are near
-    is verified: all that is left out is pairs inside a class. Verification is exact, by the sets of
-    the whole texts; there is no cap on buckets or partners.
+    nodes aren't in one class by now, every pair of different classes is taken that the odd sketch
+    doesn't rule out; pairs inside a class need no look. Verification is exact, by the sets of the
+    whole texts; there is no cap on buckets or partners.
 
     A null text is in a class of its own. Texts without words are copies of each other; texts of one
     to four words have one shingle. Rows that share a doc_id have a class by their own text. No
     rows give no rows."""
     signed = durable(signatures(docs, doc_id, text), "near-signatures")
     nodes = signed.where("k1 is not null").groupBy("k1", "k2")
-    nodes = nodes.agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in ("n", "s1", "s2", "bands")])
+    nodes = nodes.agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in (*BITS, "bands")])
     nodes = durable(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    bits = nodes.select("node", "n", "s1", "s2")
+    bits = nodes.select("node", *BITS)
 
     members = nodes.select("node", F.explode("bands").alias("band"))
     heads = members.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
     members = durable(members.join(heads, "band").select("band", "node", "head"), "near-members")
 
-    def near(pairs: DataFrame) -> DataFrame:
-        """Those whose register bits, and numbers of shingles, allow the similarity."""
-        for side in "ab":
-            pairs = pairs.join(bits.select(*[F.col(c).alias(c if c == "node" else c + side) for c in bits.columns]).withColumnRenamed("node", side), side)
-        apart = F.bit_count(F.col("s1a").bitwiseXOR(F.col("s1b"))) + F.bit_count(F.col("s2a").bitwiseXOR(F.col("s2b")))
-        sized = F.least("na", "nb") >= least * F.greatest("na", "nb")
-        return pairs.withColumn("apart", apart).where((F.col("apart") <= MOST_BITS) & sized).select("a", "b", "apart")
-
     stars = members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).dropDuplicates()
-    best = near(stars).groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+    stars = stars.join(_told(bits, "a"), "a").join(_told(bits, "b"), "b").where(_may_be_similar(least))
+    best = stars.groupBy("a").agg(F.min(F.struct(_differ([*SKETCH, "s1", "s2"]).alias("apart"), "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     links = _similar(durable(best, "near-pairs"), nodes, docs, doc_id, text, least)
     roots = components(links)
 
@@ -193,13 +214,10 @@ def near_duplicates(docs: DataFrame, doc_id: Column, text: Column, least: float
     known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = known.where("node = head").select("band", F.col("root").alias("main"))
     minor = known.join(heads, "band").where("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
-    minor = minor.join(bits.withColumnsRenamed({"node": "a", "n": "na", "s1": "s1a", "s2": "s2a"}), "a")
     mixed = known.join(minor.select("band").dropDuplicates(), "band", "left_semi")
-    mixed = mixed.select("band", F.col("node").alias("b"), F.col("root").alias("rb")).join(bits.withColumnsRenamed({"node": "b", "n": "nb", "s1": "s1b", "s2": "s2b"}), "b")
-    apart = F.bit_count(F.col("s1a").bitwiseXOR(F.col("s1b"))) + F.bit_count(F.col("s2a").bitwiseXOR(F.col("s2b")))
-    minor, mixed = minor.alias("x"), mixed.alias("y")
-    holds = (F.col("x.band") == F.col("y.band")) & (F.col("ra") != F.col("rb")) & (apart <= MOST_BITS)
-    holds = holds & (F.least("na", "nb") >= least * F.greatest("na", "nb"))
+    mixed = mixed.select("band", F.col("node").alias("b"), F.col("root").alias("rb"))
+    minor, mixed = minor.join(_told(bits, "a"), "a").alias("x"), mixed.join(_told(bits, "b"), "b").alias("y")
+    holds = (F.col("x.band") == F.col("y.band")) & (F.col("ra") != F.col("rb")) & _may_be_similar(least)
     pairs = minor.join(mixed, holds).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).dropDuplicates()
     tried = best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     pairs = durable(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
