@@ -21,7 +21,7 @@ MOST_BITS = 27
 #: 64-bit words of the odd sketch: bit h of it says whether an odd number of the text's shingles hash
 #: to h. Two sketches differ in at most as many bits as the sets differ in shingles, so it never
 #: rules out a pair that is similar enough.
-SKETCH = [f"o{i}" for i in range(8)]
+SKETCH = [f"o{i}" for i in range(16)]
 #: What is known of a text beside its bands.
 BITS = ["n", "s1", "s2", *SKETCH]
 _STEP = U64(0x9E3779B97F4A7C15)
@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, doc_id: Column, text: Column, least: float
 
     Copies with the same words are one node from the start. Nodes that agree in a band of the
     ProbMinHash signature are candidates: a pair at 0.8 is missed with a probability of 3e-6, at
-    0.9 of 1e-11. In a bucket every node is first compared with the smallest, of several such
+    0.9 of 1e-11. In a bucket every node is first compared with the head of it, of several heads
     the likeliest, so a large group of copies costs one comparison a node. Then, in buckets whose
     nodes aren't in one class by now, every pair of different classes is taken that the odd sketch
     doesn't rule out; pairs inside a class need no look. Verification is exact, by the sets of the
@@ -200,9 +200,14 @@ def near_duplicates(docs: DataFrame, doc_id: Column, text: Column, least: float
     nodes = durable(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     bits = nodes.select("node", *BITS)
 
+    # The head of a bucket is its node with the most company in all its buckets: among copies with
+    # more and fewer edits one with few, which the others are likeliest similar to.
     members = nodes.select("node", F.explode("bands").alias("band"))
-    heads = members.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
-    members = durable(members.join(heads, "band").select("band", "node", "head"), "near-members")
+    sizes = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    members = durable(members.join(sizes, "band"), "near-members")
+    company = members.groupBy("node").agg(F.sum("size").alias("company"))
+    heads = members.join(company, "node").groupBy("band").agg(F.max(F.struct("company", "node")).alias("head"))
+    members = durable(members.join(heads, "band").select("band", "node", F.col("head.node").alias("head")), "near-members")
 
     stars = members.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).dropDuplicates()
     stars = stars.join(_told(bits, "a"), "a").join(_told(bits, "b"), "b").where(_may_be_similar(least))
