@@ -15,6 +15,8 @@ from stationflow.llm.common import SPACES, U64, hashed_words, let, mix, steps, u
 from stationflow.llm.quality_rules import STOP_WORDS
 
 BUCKET_BITS = 14
+#: Neutral features that count in every mean: a short text stays near the base rate.
+NEUTRAL = 8
 ODD = "#*$%&|<>{}=\\~^_"
 
 
@@ -148,13 +150,13 @@ def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 @dataclass(frozen=True)
 class Scorer:
-    """A linear scorer of the mean of hashed features."""
+    """A linear scorer of the mean of hashed features and some neutral ones."""
 
     weights: np.ndarray
     bias: float
 
     def score(self, buckets: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
-        number = np.maximum(np.bincount(owner, minlength=texts), 1)
+        number = np.bincount(owner, minlength=texts) + NEUTRAL
         return 1 / (1 + np.exp(-np.clip(np.bincount(owner, self.weights[buckets], minlength=texts) / number + self.bias, -50, 50)))
 
 
@@ -166,7 +168,7 @@ def fit_scorer(texts: list[str], target: np.ndarray, epochs: int = 40, rate: flo
     for epoch in range(epochs if rows else 0):
         for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 64)):
             ids = np.concatenate([rows[i][0] for i in part])
-            share = np.concatenate([rows[i][1] / max(1, rows[i][1].sum()) for i in part])
+            share = np.concatenate([rows[i][1] / (rows[i][1].sum() + NEUTRAL) for i in part])
             of = np.repeat(np.arange(len(part)), [len(rows[i][0]) for i in part])
             error = 1 / (1 + np.exp(-(np.bincount(of, weights[ids] * share, minlength=len(part)) + bias))) - target[part]
             slope = np.bincount(ids, share * error[of], minlength=len(weights)) / len(part)

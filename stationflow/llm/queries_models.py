@@ -14,7 +14,7 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model, scorer = quality_model.fit_on(docs, F.col("doc_id"), F.col("text"))
     scored = quality_model.score_quality(docs, "text", scorer)
-    return scored.select("doc_id", "quality_score", (F.col("quality_score") >= 0.5).alias("good"))
+    return scored.select("doc_id", "quality_score", (F.col("quality_score") >= 0.5).alias("kept"))
 
 
 def held_out() -> Column:

@@ -67,8 +67,8 @@ def test_expectation_maximisation_finds_accuracies():
 def test_quality_agrees_with_labels_it_never_saw(spark):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     rows = QUERIES["op6_quality_classifier"](spark, FOLDER).join(labels, "doc_id").collect()
-    assert np.mean([r["good"] for r in rows if r["quality"] == 1]) > 0.98
-    assert np.mean([not r["good"] for r in rows if r["quality"] == 0]) > 0.95
+    assert np.mean([r["kept"] for r in rows if r["quality"] == 1]) > 0.98
+    assert np.mean([not r["kept"] for r in rows if r["quality"] == 0]) > 0.95
 
 
 @pytest.mark.parametrize("kind", ["odd", "more"])
