@@ -167,11 +167,11 @@ def join_cross_scalar(d: Data) -> DataFrame:
     ),
 )
 def scalar_subquery(d: Data) -> DataFrame:
-    d.daily.createOrReplaceTempView("daily_rollup")
     return d.spark.sql(
-        """SELECT province_id, weather_date, max_temperature FROM daily_rollup
-        WHERE (SELECT max(weather_date) FROM daily_rollup) IS NULL
-        OR weather_date = (SELECT max(weather_date) FROM daily_rollup)"""
+        """SELECT province_id, weather_date, max_temperature FROM {daily}
+        WHERE (SELECT max(weather_date) FROM {daily}) IS NULL
+        OR weather_date = (SELECT max(weather_date) FROM {daily})""",
+        daily=d.daily,
     )
 
 
