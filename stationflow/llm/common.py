@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # The white space of the contracts, as regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 #: Bytes of text that a task looks at in one numpy step.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
+
+#: Rows and bytes that Spark hands to a Python worker at once.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 U64 = np.uint64
 
@@ -46,6 +50,17 @@ def wider(schema: T.StructType, **more: str) -> T.StructType:
     return out
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batches, which JVM and Python worker hold a copy of each, to BATCHES;
+    a text that is longer is a batch of its own."""
+    conf = df.sparkSession.conf
+    for key, most in BATCHES.items():
+        now = int(re.sub(r"\D", "", conf.get(key)) or 0)
+        if now <= 0 or now > most:
+            conf.set(key, str(most))
+    return df
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     with np.errstate(over="ignore"):

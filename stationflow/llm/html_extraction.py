@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from stationflow.llm.common import wider
+from stationflow.llm.common import in_small_batches, wider
 
 #: Elements that break the text into blocks; all others are inline.
 BLOCKS = frozenset(
@@ -315,4 +315,4 @@ def extract(pages: DataFrame, html: str, model: TreeModel, out: str = "text") ->
             arrays = [*batch.columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return rows.mapInArrow(extracted, wider(rows.schema, **{out: "string", "n_chars": "long"}))
+    return in_small_batches(rows).mapInArrow(extracted, wider(rows.schema, **{out: "string", "n_chars": "long"}))

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stationflow.llm.common import U64, mix, steps, unit, utf8, wider
+from stationflow.llm.common import U64, in_small_batches, mix, steps, unit, utf8, wider
 
 #: Lengths, in bytes, of the subwords; a word's ends count as one byte each.
 GRAMS = (2, 3, 4, 5)
@@ -162,7 +162,7 @@ def identify(docs: DataFrame, text: str, model: LanguageModel, prefix: str = "la
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            for part in steps(batch, names[place], 1 << 20):
+            for part in steps(batch, names[place], 1 << 18):
                 column = pc.fill_null(part.column(place), "")
                 letters = np.asarray(pc.match_substring_regex(column, r"\p{L}").cast(pa.uint8())).astype(bool) & bool(known.languages)
                 buckets, owner = subwords(*utf8(pc.utf8_lower(column.cast(pa.large_string()))))
@@ -172,4 +172,4 @@ def identify(docs: DataFrame, text: str, model: LanguageModel, prefix: str = "la
                 arrays = [*part.columns, named, pa.array(top), pa.array(~letters | (top < known.least))]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return rows.mapInArrow(predicted, wider(rows.schema, **dict(zip(added, ("string", "double", "boolean")))))
+    return in_small_batches(rows).mapInArrow(predicted, wider(rows.schema, **dict(zip(added, ("string", "double", "boolean")))))

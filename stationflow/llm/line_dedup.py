@@ -12,7 +12,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stationflow.llm.common import SPACES, U64, mix, wider
+from stationflow.llm.common import SPACES, U64, in_small_batches, mix, wider
 from stationflow.session import durable
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -231,4 +231,4 @@ class LineIndex:
                 arrays = out + [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, [*columns, "n_lines", "n_dropped"])
 
-        return rows.mapInArrow(cleaned, schema)
+        return in_small_batches(rows).mapInArrow(cleaned, schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stationflow.llm.common import U64, hashed_words, mix, powers, steps, utf8
+from stationflow.llm.common import U64, hashed_words, in_small_batches, mix, powers, steps, utf8
 from stationflow.llm.components import components
 from stationflow.session import durable
 
@@ -120,7 +120,7 @@ def signatures(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
                 arrays += [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bands.ravel()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "k1", "k2", *BITS, "bands"])
 
-    return rows.mapInArrow(signed, f"doc_id {kind}, k1 long, k2 long, {', '.join(f'{c} long' for c in BITS)}, bands array<long>")
+    return in_small_batches(rows).mapInArrow(signed, f"doc_id {kind}, k1 long, k2 long, {', '.join(f'{c} long' for c in BITS)}, bands array<long>")
 
 
 def _told(bits: DataFrame, side: str) -> DataFrame:
@@ -158,7 +158,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: Column
                 arrays = [pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(each, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["k1", "k2", "grams"])
 
-    grams = rows.mapInArrow(sets, "k1 long, k2 long, grams binary")
+    grams = in_small_batches(rows).mapInArrow(sets, "k1 long, k2 long, grams binary")
     grams = wanted.select("node", "k1", "k2").join(grams, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "grams")
     grams = durable(grams, "near-grams")
     both = pairs.join(grams.withColumnsRenamed({"node": "a", "grams": "x"}), "a")
@@ -175,7 +175,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: Column
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
 
-    return durable(both.mapInArrow(verified, "a long, b long"), "near-links")
+    return durable(in_small_batches(both).mapInArrow(verified, "a long, b long"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: Column, text: Column, least: float = 0.8) -> DataFrame:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stationflow.llm.common import steps
+from stationflow.llm.common import in_small_batches, steps
 from stationflow.session import durable
 
 #: Words whose ids a task remembers. At so many it starts anew, but takes over from the last so many
@@ -125,7 +125,7 @@ def token_pieces(docs: DataFrame, doc_id: Column, text: Column, tokenizer: str,
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return rows.mapInArrow(pieces, schema)
+    return in_small_batches(rows).mapInArrow(pieces, schema)
 
 
 def best_two_fit(counts: np.ndarray, size: int) -> list[tuple[int, list[int]]]:
@@ -238,4 +238,4 @@ def pack(pieces: DataFrame, length: int = 2048, rows_per_bucket: int = 20_000) -
             columns = batch.columns[:-2] + [pa.array(sequence[at] + ((n << 40) + rank - key[at])), pa.array(offset[at])]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return ranked.mapInArrow(seated, ranked.schema)
+    return in_small_batches(ranked).mapInArrow(seated, ranked.schema)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stationflow.llm.common import SPACES, U64, hashed_words, let, mix, steps, unit, utf8, wider, words
+from stationflow.llm.common import SPACES, U64, hashed_words, in_small_batches, let, mix, steps, unit, utf8, wider, words
 from stationflow.llm.quality_rules import STOP_WORDS
 
 BUCKET_BITS = 14
@@ -206,4 +206,4 @@ def score_quality(docs: DataFrame, text: str, scorer: Scorer, out: str = "qualit
                 scores = shared.value.score(*features(*utf8(column)), part.num_rows)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names)
 
-    return rows.mapInArrow(scored, wider(rows.schema, **{out: "double"}))
+    return in_small_batches(rows).mapInArrow(scored, wider(rows.schema, **{out: "double"}))
