@@ -10,8 +10,8 @@ from stationflow.session import durable
 
 #: Rounds of the permutation; each moves a place to its partner by one pseudorandom bit.
 ROUNDS = 12
-#: Draws that one task row expands into.
-CHUNK = 1 << 14
+#: Draws that one row expands into, and about how many a task makes.
+CHUNK, DRAWS_PER_TASK = 1 << 12, 1 << 17
 
 
 def permuted(place: Column, n: Column, *key: Column, inverse: bool = False) -> Column:
@@ -129,8 +129,10 @@ def mix_sources(
 
     # Slots of the mix: which block of which source, and how many of its words.
     chunked = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_draws") - 1, F.lit(CHUNK).cast("long")))
+    drawn = sources.agg(F.max("_all")).first()[0] or 0
     draws = sources.where("_draws > 0").withColumn("_from", chunked)
-    draws = draws.repartition(F.col("_src"), F.col("_from"))
+    # So many partitions as the rows to come need: what Spark sees are the few rows they expand from.
+    draws = draws.repartition(max(1, -(-drawn // DRAWS_PER_TASK)), F.col("_src"), F.col("_from"))
     draws = draws.withColumn("_draw", F.explode(F.sequence("_from", F.least(F.col("_from") + CHUNK, F.col("_draws")) - 1)))
     draws = draws.withColumn("epoch", F.floor(F.col("_draw") / F.col("_blocks"))).withColumn("_at", F.col("_draw") % F.col("_blocks"))
     draws = draws.withColumn("block", permuted(F.col("_at"), F.col("_blocks"), F.lit(seed), F.col("_src"), F.col("epoch")))
@@ -145,7 +147,8 @@ def mix_sources(
     parts = placed.where("size > 0").select("_src", "_start", "size", F.explode(F.sequence(first, last)).alias("block"))
     begin = F.greatest(F.col("_start"), F.col("block") * block)
     end = F.least(F.col("_start") + F.col("size"), F.col("block") * block + F.col("_use"))
-    spans = slots.join(parts, ["_src", "block"]).withColumn("length", end - begin).where("length > 0")
+    # The slots are many more rows than Spark can tell beforehand: neither side is to be broadcast.
+    spans = slots.join(parts.hint("merge"), ["_src", "block"]).withColumn("length", end - begin).where("length > 0")
     spans = spans.select(
         F.floor(F.col("_g") / slots_per_shard).cast("int").alias("shard"), (F.col("_g") % slots_per_shard).alias("slot"),
         "epoch", "block", "_src", "_start", (begin - F.col("_start")).alias("first"), "length",
