@@ -81,7 +81,7 @@ def measures(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     count = lambda kept: F.size(kept).cast("long")
     without = lambda t, chars: F.length(F.translate(t, chars, ""))
-    plain = lambda w: F.array_contains(F.array(*[F.lit(s) for s in sorted(set(STOP_WORDS))]), w)
+    plain = lambda w: w.isin(*sorted(set(STOP_WORDS)))
 
     def of(found: Column, lines: Column) -> Column:
         return F.struct(
