@@ -50,7 +50,7 @@ def measured(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     number = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("double")
     fewer = lambda chars: (F.length(text) - F.length(F.translate(text, chars, ""))).cast("double")
-    stops = F.array(*[F.lit(w) for w in sorted(set(STOP_WORDS))])
+    stops = sorted(set(STOP_WORDS))
 
     def of(found: Column) -> Column:
         return F.struct(
@@ -61,7 +61,7 @@ def measured(text: Column) -> Column:
             number(r"\p{Lu}").alias("n_capitals"),
             F.size(F.array_distinct(found)).cast("double").alias("n_different"),
             F.size(F.filter(found, lambda w: F.length(F.translate(w, ODD, "")) < F.length(w))).cast("double").alias("n_odd"),
-            F.size(F.filter(found, lambda w: F.array_contains(stops, w))).cast("double").alias("n_stop_words"),
+            F.size(F.filter(found, lambda w: w.isin(*stops))).cast("double").alias("n_stop_words"),
             F.size(F.filter(found, lambda w: w.endswith(".") | w.endswith("?"))).cast("double").alias("n_ends"),
             F.size(F.filter(found, lambda w, k: F.get(found, k + 1) == w)).cast("double").alias("n_runs"),
         )
