@@ -15,9 +15,6 @@ from stationflow.session import durable
 
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-#: Of the 96 one-bit registers two texts with similarity 0.8 differ in 9.6 (deviation 2.9); beyond
-#: six deviations a pair is not verified.
-MOST_BITS = 27
 #: 64-bit words of the odd sketch: bit h of it says whether an odd number of the text's shingles hash
 #: to h. Two sketches differ in at most as many bits as the sets differ in shingles, so it never
 #: rules out a pair that is similar enough.
@@ -86,6 +83,13 @@ def prob_minhash(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, text
     return winner.reshape(texts, registers)
 
 
+def _bands(signature: np.ndarray) -> np.ndarray:
+    """A hash of each band of each text."""
+    with np.errstate(over="ignore"):
+        sums = (signature.reshape(-1, BANDS, ROWS) * powers(ROWS + 1)[1:]).sum(axis=2, dtype=U64)
+        return mix(sums + np.arange(1, BANDS + 1, dtype=U64) * _STEP).view(np.int64)
+
+
 def _words_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return utf8(pc.utf8_lower(part.column(1).cast(pa.large_string())))
 
@@ -93,7 +97,11 @@ def _words_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def signatures(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
     """A row for each row of docs: ``doc_id, k1, k2`` (128 bits of the lower-cased word sequence;
     null for a null text), ``n`` (different shingles), ``s1, s2`` (a bit of each register), the odd
-    sketch and ``bands`` (hashes of groups of registers)."""
+    sketch and ``bands`` (hashes of groups of registers).
+
+    The registers are those of equal weights, in which two texts agree with the probability of their
+    sets' Jaccard similarity, whatever either repeats. A text that repeats some shingles more than
+    others also has the bands of its weights, which are the same as the others if weights are equal."""
     rows = docs.select(doc_id.alias("doc_id"), text.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
@@ -103,21 +111,27 @@ def signatures(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
                 texts, missing = part.num_rows, part.column(1).is_null()
                 found, owner, keys = shingles(*_words_of(part))
                 found, owner, weight = weighted(found, owner)
-                signature, n = prob_minhash(found, owner, weight, texts), np.bincount(owner, minlength=texts)
+                signature, n = prob_minhash(found, owner, np.ones(len(found)), texts), np.bincount(owner, minlength=texts)
+                heaviest = np.zeros(texts)
+                np.maximum.at(heaviest, owner, weight)
+                uneven = np.bincount(owner, weight < heaviest[owner], minlength=texts) > 0
+                some, heavy = uneven[owner], np.flatnonzero(uneven)
+                leaning = prob_minhash(found[some], (np.cumsum(uneven) - 1)[owner[some]], weight[some], len(heavy))
                 bits = np.zeros((texts, 128), np.uint8)
                 bits[:, :REGISTERS] = (signature & U64(1)).astype(np.uint8)
                 bits = np.packbits(bits, axis=1).view(np.int64)
                 places = owner * (64 * len(SKETCH)) + (found & U64(64 * len(SKETCH) - 1)).astype(np.int64)
                 odd = (np.bincount(places, minlength=texts * 64 * len(SKETCH)) & 1).astype(np.uint8)
                 odd = np.packbits(odd.reshape(texts, -1), axis=1).view(np.int64)
-                with np.errstate(over="ignore"):
-                    bands = (signature.reshape(texts, BANDS, ROWS) * powers(ROWS + 1)[1:]).sum(axis=2, dtype=U64)
-                    bands = mix(bands + np.arange(1, BANDS + 1, dtype=U64) * _STEP).view(np.int64)[n > 0]
-                ends = np.concatenate([[0], np.cumsum((n > 0) * BANDS)])
+                bands, more = _bands(signature), _bands(leaning)
+                new = more != bands[heavy]
+                of = np.concatenate([np.repeat(np.flatnonzero(n), BANDS), np.repeat(heavy, BANDS)[new.ravel()]])
+                bands = np.concatenate([bands[n > 0].ravel(), more[new]])[np.argsort(of, kind="stable")]
+                ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=texts))])
                 hidden = np.asarray(missing.cast(pa.uint8())).astype(bool)
                 arrays = [part.column(0), *(pa.array(k.view(np.int64), mask=hidden) for k in keys), pa.array(n)]
                 arrays += [pa.array(bits[:, 0].copy()), pa.array(bits[:, 1].copy()), *(pa.array(o.copy()) for o in odd.T)]
-                arrays += [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bands.ravel()))]
+                arrays += [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(bands))]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "k1", "k2", *BITS, "bands"])
 
     return in_small_batches(rows).mapInArrow(signed, f"doc_id {kind}, k1 long, k2 long, {', '.join(f'{c} long' for c in BITS)}, bands array<long>")
@@ -135,10 +149,10 @@ def _differ(names: list[str]) -> Column:
 
 def _may_be_similar(least: float) -> Column:
     """False only for pairs whose similarity is less than ``least``, by the numbers of shingles and the
-    odd sketches, or by six deviations of the register bits. J >= t means that the sets differ in at
-    most (1 - t) / (1 + t) of their sizes' sum."""
-    both = F.col("na") + F.col("nb")
-    return (_differ(SKETCH) <= (1 - least) / (1 + least) * both + 1e-9) & (_differ(["s1", "s2"]) <= MOST_BITS)
+    odd sketches. J >= t means that the sets differ in at most (1 - t) / (1 + t) of their sizes' sum,
+    and so do their sizes."""
+    most = (1 - least) / (1 + least) * (F.col("na") + F.col("nb")) + 1e-9
+    return (F.abs(F.col("na") - F.col("nb")) <= most) & (_differ(SKETCH) <= most)
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: Column, text: Column, least: float) -> DataFrame:
@@ -184,8 +198,9 @@ def near_duplicates(docs: DataFrame, doc_id: Column, text: Column, least: float
     or more; a class is what links connect; class_id is its smallest doc_id.
 
     Copies with the same words are one node from the start. Nodes that agree in a band of the
-    ProbMinHash signature are candidates: a pair at 0.8 is missed with a probability of 3e-6, at
-    0.9 of 1e-11. In a bucket every node is first compared with the head of it, of several heads
+    ProbMinHash signature are candidates. The bands of equal weights alone miss a pair whose sets are
+    0.8 similar with a probability of 3e-6, at 0.9 of 1e-11, whatever lines either text repeats; the
+    bands of the counts' weights only add candidates. In a bucket every node is first compared with the head of it, of several heads
     the likeliest, so a large group of copies costs one comparison a node. Then, in buckets whose
     nodes aren't in one class by now, every pair of different classes is taken that the odd sketch
     doesn't rule out; pairs inside a class need no look. Verification is exact, by the sets of the

@@ -72,6 +72,22 @@ def test_classes_equal_brute_force(spark, copies):
     assert got == brute(copies)
 
 
+def test_a_line_repeated_in_one_text_only(spark):
+    """Sets that are 0.8 to 0.9 similar, though the weights of the counts are far apart."""
+    rng, rows = random.Random(9), []
+    for g in range(60):
+        words, line, times = [(150, 20, 1000), (200, 30, 2000), (120, 10, 300)][g % 3]
+        base = [f"r{g}x{i}" for i in range(words)]
+        extra = [f"l{g}x{rng.randrange(10**6)}" for _ in range(line)]
+        rows += [" ".join(base), " ".join(base + extra * times)]
+    rows = list(enumerate(rows))
+    similar = [len(grams(a) & grams(b)) / len(grams(a) | grams(b)) for (_, a), (_, b) in zip(rows[::2], rows[1::2])]
+    assert 0.8 <= min(similar) and max(similar) < 0.9
+    docs = spark.createDataFrame(rows, "id long, body string")
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(docs, F.col("id"), F.col("body")).collect()}
+    assert got == brute(rows) == {i: i - i % 2 for i, _ in rows}
+
+
 def test_small_corpus_equals_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
