@@ -134,3 +134,17 @@ def test_a_hot_source_and_group_of_copies(spark):
         sizes[r[3]] += len(WORD.findall(r[1]))
     target = brute_targets(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes))})
     assert all(abs(by_source[s] - t) <= 1 for s, t in target.items())
+
+
+def test_near_dedup_sees_through_a_repeated_line(spark):
+    """One of two near-duplicates repeats a line; line dedup, which needs three documents, leaves it."""
+    rows = []
+    for g in range(40):
+        base = "\n".join(" ".join(f"w{g}x{i}" for i in range(at, at + 15)) for at in range(0, 150, 15))
+        line = " ".join(f"again{g}x{i}" for i in range(20))
+        rows += [(2 * g, base), (2 * g + 1, base + f"\n{line}" * 1000)]
+    rows = [(i, text, "en", "s", len(text)) for i, text in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    lines = durable(pipeline.line_dedup(spark, docs, ""), "test-lines")
+    assert {r["doc_id"]: r["text"] for r in lines.collect()} == {r[0]: r[1] for r in rows}
+    assert sorted(r["doc_id"] for r in pipeline.near_dedup(spark, lines, "").collect()) == list(range(0, 80, 2))
