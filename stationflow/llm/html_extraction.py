@@ -12,7 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape
 from math import exp, log, log1p
 
 import numpy as np
@@ -37,30 +37,93 @@ SCOPES = frozenset("html body main article section div ul ol dl table td th bloc
 TOKEN = re.compile(r"[a-z]+")
 
 
-def whole_markup(html: str) -> str:
-    """The page without a comment or tag that its end cuts off."""
-    comment = html.rfind("<!--")
-    if comment >= 0 and html.find("-->", comment) < 0:
-        html = html[:comment]
-    tag = html.rfind("<")
-    cut = tag > html.rfind(">") and (html[tag + 1 : tag + 2].isalpha() or html[tag + 1 : tag + 2] in ("/", "!", "?"))
-    return html[:tag] if cut else html
-
-
-class PageTree(HTMLParser):
+_TAG = re.compile(r"</?([a-zA-Z][^ \t\n\f\r/>]*)")
+_ATTRIBUTE = re.compile(
+    r"""[ \t\n\f\r/]*([^ \t\n\f\r/>][^ \t\n\f\r/>=]*)"""
+    r"""(?:[ \t\n\f\r]*=[ \t\n\f\r]*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^ \t\n\f\r>"'][^ \t\n\f\r>]*)?))?"""
+)
+_GAP = re.compile(r"[ \t\n\f\r/]*")
+_AT_ONCE, _COMMENT_END = re.compile(r"-?>"), re.compile(r"--!?>")
+#: Elements whose content is no markup, and what matters in it.
+_RAW = {name: re.compile(rf"</{name}(?=[ \t\n\f\r/>])", re.I) for name in ("style", "title", "textarea")}
+_RAW["script"] = re.compile(r"<!(?=--)|-->|</?script(?=[ \t\n\f\r/>])", re.I)
+
+
+def raw_end(html: str, name: str, at: int) -> int:
+    """Where the end tag of a raw element stands, or the page's end. Only in a script that opens a
+    comment and then another script does the next end tag belong to the inner one."""
+    comment = inner = False
+    for mark in _RAW[name].finditer(html, at):
+        found = mark.group().lower()
+        if found == "<!":
+            comment = True
+        elif found == "-->":
+            comment = inner = False
+        elif found == "<script":
+            inner = comment
+        elif inner:
+            inner = False
+        else:
+            return mark.start()
+    return len(html)
+
+
+class PageTree:
     """The nodes of one page in page order, parents first: ``parent``, ``features``, ``runs`` (text,
     or None for an element) and ``marks`` (the value of data-main, for labelled pages)."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.parent, self.features, self.runs, self.marks = [-1], [("tag=root",)], [None], [None]
         self.open, self.tags = [0], ["root"]
         self.hidden, self.linked = "", 0
         self.text, self.link_chars = [], 0
-        self.feed(whole_markup(html))
-        self.close()
+        self.read(html)
         self.flush()
 
+    def read(self, html: str) -> None:
+        """Tell text from markup as browsers do. A comment or tag that the page's end cuts off is
+        dropped, if it stands in ordinary content: in a script, style, title, textarea or quoted
+        attribute nothing opens a comment or tag."""
+        at, end = 0, len(html)
+        while at < end:
+            start = html.find("<", at)
+            start = end if start < 0 else start
+            if start > at:
+                self.handle_data(unescape(html[at:start]))
+            at, kind = start, html[start + 1 : start + 2]
+            tag = _TAG.match(html, at)
+            if tag:
+                at = self.read_tag(html, tag)
+            elif html.startswith("<!--", at):
+                close = _AT_ONCE.match(html, at + 4) or _COMMENT_END.search(html, at + 4)
+                at = close.end() if close else end
+            elif kind and kind in "/!?":
+                at = html.find(">", at) + 1 or end
+            elif at < end:
+                self.handle_data("<")
+                at += 1
+
+    def read_tag(self, html: str, tag: re.Match) -> int:
+        """Handle one tag and return where what follows it starts."""
+        name, at, attrs = tag.group(1).lower(), tag.end(), []
+        while found := _ATTRIBUTE.match(html, at):
+            value = next((v for v in found.groups()[1:] if v is not None), None)
+            attrs.append((found.group(1).lower(), value and unescape(value)))
+            at = found.end()
+        gap = _GAP.match(html, at)
+        at = gap.end()
+        if at == len(html):
+            return at
+        if html[tag.start() + 1] == "/":
+            self.handle_endtag(name)
+        elif gap.group().endswith("/"):
+            self.handle_startendtag(name, attrs)
+        else:
+            self.handle_starttag(name, attrs)
+            if name in _RAW:
+                return raw_end(html, name, at + 1)
+        return at + 1
+
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
@@ -303,7 +366,7 @@ def extract(pages: DataFrame, html: str, model: TreeModel, out: str = "text") ->
     """Add ``out``, the main text of the whole html, and ``n_chars``, its code points. A null html is
     empty; a page without content has an empty text. One narrow pass; other columns stay, but for
     those of the same names, which are replaced. Broken markup is read as browsers do: open
-    elements are closed where they must be, an unfinished tag at the end is dropped."""
+    elements are closed where they must be, an unfinished tag or comment at the end is dropped."""
     rows = pages.select(*[c for c in pages.columns if c not in (out, "n_chars")])
     place, names = rows.columns.index(html), [*rows.columns, out, "n_chars"]
     shared = pages.sparkSession.sparkContext.broadcast(model)  # some hundred numbers

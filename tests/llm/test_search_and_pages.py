@@ -119,6 +119,33 @@ def test_cut_off_page(model):
     assert h.main_text("<body><article><p>Some words that end here.</p><div cla", model) == "Some words that end here."
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<script><!-- track(); </script>",
+        "<script>var s = '<!--';</script>",
+        "<script><!-- document.write('<script>x()</script>'); --></script>",
+        "<style><!-- p {} </style>",
+        "<textarea><!-- </textarea>",
+        "<title>a <!-- b</title>",
+        '<div title="<!-- x"></div>',
+        "<div title='a <b'></div>",
+        "<!-- closed by --!>",
+        "<!-->",
+        "<!--->",
+        "<!-- a > b -- c -->",
+    ],
+)
+def test_what_only_looks_like_an_open_comment(model, before):
+    assert h.main_text(PAGE % f"{before}<article>{ARTICLE}</article>", model) == TEXT
+
+
+@pytest.mark.parametrize("cut", ["<!-- a > b", "<!-- <p>a</p>", "<p class='a > b", '<p class="a', "<p", "</p", "<!doc", "<script>a <p>b</p>", "<script><!-- a </scr"])
+def test_what_the_end_cuts_off(model, cut):
+    page = PAGE % f"<article>{ARTICLE}</article>"
+    assert h.main_text(page[: page.index("</ul></article>")] + cut, model) == TEXT
+
+
 def test_pages_of_the_tables(spark, tmp_path):
     def truth(html):
         inside = re.sub(r"<[^>]*$", "", html.split("<article>")[1].split("</article>")[0])
