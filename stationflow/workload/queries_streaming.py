@@ -26,6 +26,12 @@ def _staged_stream(d: Data, path: str, files: int = BATCH_FILES) -> DataFrame:
     return stage_weather(msg.accepted(msg.judge(_stream(d, path, files))).drop(EVENT_DAY))
 
 
+def _whole_period(d: Data) -> str:
+    """A watermark's delay that no observation is later than, in whatever order the files come."""
+    first, last = d.table("events").agg(F.min("ts"), F.max("ts")).first()
+    return f"{(last - first).days + 2 if first else 1} days"
+
+
 @query("stream_ingest", sql(f"select {_TYPED_READING}, cast(cast(last_updated as timestamp) as date) as event_day from raw", "raw"))
 def ingest(d: Data) -> DataFrame:
     """Good messages land in the raw table in several batches; flawed ones do not."""
@@ -100,7 +106,7 @@ def daily(d: Data) -> DataFrame:
     rows = _staged_stream(d, publish_raw(d, flawed=True))
     checkpoint = scratch_path(d.spark, "offsets")
     query = stream_daily(
-        rows, table, ["province_name"], "weather_updated_at", observation_measures(), checkpoint, delay="40 days"
+        rows, table, ["province_name"], "weather_updated_at", observation_measures(), checkpoint, delay=_whole_period(d)
     )
     run_to_end(query)
     return rounded(table.read().select("province_name", "weather_date", "chance_rain", *_MEASURES))
@@ -114,7 +120,7 @@ def deduplicated(d: Data) -> DataFrame:
     """Every message is delivered twice; with the repeats dropped the batch result remains."""
     path, raw = publish_raw(d), scratch_path(d.spark, "raw")
     msg.publish(msg.read_messages(d.spark, path), path=path)
-    once = dedup(_staged_stream(d, path), ["province_name", "weather_updated_at"], "weather_updated_at", "40 days")
+    once = dedup(_staged_stream(d, path), ["province_name", "weather_updated_at"], "weather_updated_at", _whole_period(d))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{raw}/batch={batch_id}")
