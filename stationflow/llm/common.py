@@ -70,9 +70,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def steps(batch: pa.RecordBatch, column: str = "text", budget: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``budget`` text bytes; a longer text is a slice of its own."""
+    """The batch in slices of about ``budget`` bytes of texts, or of lists of 32-bit numbers; a longer
+    one is a slice of its own."""
     column = batch.column(batch.schema.get_field_index(column))
-    sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
+    sizes = pc.multiply(pc.list_value_length(column), 4) if pa.types.is_list(column.type) else pc.binary_length(column)
+    sizes = np.asarray(pc.fill_null(sizes, 0), dtype=np.int64)
     start = 0
     for end in np.flatnonzero(np.diff(np.cumsum(sizes) // budget, append=-1)) + 1 if len(sizes) else []:
         yield batch.slice(start, end - start)
@@ -125,3 +127,22 @@ def hashed_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
         terms[~inside[starts[0] :]] = 0
         found = np.add.reduceat(terms, starts - starts[0])
         return mix(found + (ends - starts).astype(U64)), before
+
+
+def appended(docs: DataFrame, out: str, kind: str, compute: Callable[..., pa.Array], *inputs: Column) -> DataFrame:
+    """``docs`` with a column ``out`` of type ``kind``, computed from the input columns in steps of
+    about STEP_BYTES of the first one. Other columns pass through; one called ``out`` is replaced."""
+    kept = [c for c in docs.columns if c != out]
+    names = [f"_input{i}" for i in range(len(inputs))]
+    while set(names) & set(kept):
+        names = [f"_{n}" for n in names]
+    rows = docs.select(*[F.col("`" + c.replace("`", "``") + "`") for c in kept], *[column.alias(n) for column, n in zip(inputs, names)])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch, names[0]):
+                columns = part.columns
+                yield pa.RecordBatch.from_arrays([*columns[: len(kept)], compute(*columns[len(kept) :])], [*kept, out])
+
+    schema = T.StructType([*rows.schema.fields[: len(kept)], T.StructField(out, T.DataType.fromDDL(kind))])
+    return in_small_batches(rows).mapInArrow(work, schema)
