@@ -1,4 +1,4 @@
-"""Tables kept up to date from the stream: the latest row per key and the daily rollup."""
+"""The daily rollup, kept up to date from the stream."""
 
 from __future__ import annotations
 
@@ -8,37 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.functions.scalar import event_time, utc_day
-from stationflow.operators.windows import latest_per_key
-from stationflow.sources.tables import PartitionedTable, bucketed
+from stationflow.sources.tables import PartitionedTable
 from stationflow.streaming.ingest import start
 
 
-def newest(snapshot: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The newest row per key of a snapshot and a batch."""
-    return latest_per_key(snapshot.unionByName(batch.select(*snapshot.columns)), keys, order)
-
-
-def stream_latest(
-    rows: DataFrame,
-    table: PartitionedTable,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    checkpoint: str,
-    continuous: str | None = None,
-    buckets: int = 16,
-) -> StreamingQuery:
-    """Keep one row per key, replaced only by a newer one; a replayed batch changes nothing.
-
-    The table is partitioned by ``bucket``, a hash of the key, and a trigger rewrites the buckets
-    that it has rows for."""
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        picked = bucketed(latest_per_key(batch, keys, order), keys, buckets)
-        table.update(picked, lambda known, fresh: newest(known, fresh, keys, order))
-
-    return start(rows, refresh, checkpoint, continuous)
-
-
 def stream_daily(
     rows: DataFrame,
     table: PartitionedTable,

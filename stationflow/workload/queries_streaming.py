@@ -9,9 +9,11 @@ from stationflow.operators.staging import stage_weather
 from stationflow.schemas import EVENT_DAY, RAW_TABLE_SCHEMA
 from stationflow.session import scratch_path
 from stationflow.sources import messages as msg
+from stationflow.sources.changelog import ChangeLog
 from stationflow.sources.tables import PartitionedTable, read_batches
 from stationflow.streaming.ingest import dedup, run_to_end, start, stream_ingest
-from stationflow.streaming.serving import stream_daily, stream_latest
+from stationflow.streaming.latest import stream_latest
+from stationflow.streaming.serving import stream_daily
 from stationflow.workload.adapter import Data, raw_rows, rounded, rounded_sql, sql
 from stationflow.workload.queries_tables import BATCH_FILES, FILE_MESSAGES, _TYPED_READING, publish_raw
 from stationflow.workload.registry import query
@@ -36,7 +38,7 @@ def _whole_period(d: Data) -> str:
 def ingest(d: Data) -> DataFrame:
     """Good messages land in the raw table in several batches; flawed ones do not."""
     raw, checkpoint = scratch_path(d.spark, "raw"), scratch_path(d.spark, "offsets")
-    stream = _stream(d, publish_raw(d, flawed=True), files=1)
+    stream = _stream(d, publish_raw(d, flawed=True))
     run_to_end(stream_ingest(stream, raw, scratch_path(d.spark, "rejects"), checkpoint))
     return rounded(read_batches(d.spark, raw, RAW_TABLE_SCHEMA))
 
@@ -62,7 +64,7 @@ def micro_batch(d: Data) -> DataFrame:
 
 
 _LATEST = """province_name string, weather_updated_at timestamp_ntz, weather_condition string, temperature_celsius double,
-precipitation_mm double, humidity_percent int, wind_speed_kph double, bucket int"""
+precipitation_mm double, humidity_percent int, wind_speed_kph double"""
 
 
 @query(
@@ -76,12 +78,12 @@ precipitation_mm double, humidity_percent int, wind_speed_kph double, bucket int
     ),
 )
 def latest(d: Data) -> DataFrame:
-    table = PartitionedTable(d.spark, scratch_path(d.spark, "latest"), ["bucket"], _LATEST)
-    columns = [f.name for f in table.schema.fields if f.name != "bucket"]
-    rows = _staged_stream(d, publish_raw(d, flawed=True), files=1).select(*columns)
-    order = [F.desc("weather_updated_at"), F.asc("weather_condition"), F.desc("temperature_celsius")]
-    run_to_end(stream_latest(rows, table, ["province_name"], order, scratch_path(d.spark, "offsets")))
-    return rounded(table.read().drop("bucket"))
+    """Several triggers; the snapshot is what the changes of all of them amount to."""
+    log = ChangeLog(d.spark, scratch_path(d.spark, "latest"), ["province_name"], _LATEST)
+    rows = _staged_stream(d, publish_raw(d, flawed=True))
+    order = [("weather_updated_at", True), ("weather_condition", False), ("temperature_celsius", True)]
+    run_to_end(stream_latest(rows, log, order, scratch_path(d.spark, "offsets")))
+    return rounded(log.read())
 
 
 _MEASURES = ("avg_temperature", "max_temperature", "min_temperature", "sum_precipitation", "avg_humidity", "avg_wind_kph", "avg_wind_mph")

@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
-from stationflow.functions.scalar import json_field
 from stationflow.operators.learning import OUTPUTS
 from stationflow.schemas import EVENT_DAY, FORECAST_SCHEMA, MESSAGE_SCHEMA, RAW_SCHEMA, RAW_TABLE_SCHEMA
 from stationflow.session import scratch_path
@@ -112,14 +111,21 @@ def ingest_landed_payloads(d: Data) -> DataFrame:
     return rounded(msg.flatten_message(named).select(*_READING_COLUMNS))
 
 
-_FIELDS = ("province_name", "last_updated", "condition_text", "condition_icon", "condition_code", "wind_degree", "wind_dir", "humidity", "cloud", "is_day")
+_NESTED = [f.name for f in MESSAGE_SCHEMA.fields if isinstance(f.dataType, T.StructType)]
+# As in _READING, what JSON has fewer digits of is compared rounded, the rest as the text it is.
+_TEXTS = ", ".join(f"round({c}, 9) as {c}" if c in _DOUBLES else f"cast({c} as varchar) as {c}" for c in _READING_COLUMNS)
 
 
-@query("publish_stream", sql(f"select {', '.join(f'cast({c} as varchar) as {c}' for c in _FIELDS)} from raw", "raw"))
+@query("publish_stream", sql(f"select {_TEXTS} from raw", "raw"))
 def publish_stream(d: Data) -> DataFrame:
-    """What was published, field by field as text, read back without the message schema."""
-    place = {c: "$." + c.replace("condition_", "condition.") for c in _FIELDS}
-    return landed(d).select(*[json_field(F.col("value"), p).alias(c) for c, p in place.items()])
+    """All fields of what was published, as text, read back without the message schema: one pass over
+    a body's top fields and one over each nested object."""
+    top = [f.name for f in MESSAGE_SCHEMA.fields]
+    fields = landed(d).select(F.json_tuple("value", *top).alias(*top))
+    for parent in _NESTED:
+        inner = [f.name for f in MESSAGE_SCHEMA[parent].dataType.fields]
+        fields = fields.select("*", F.json_tuple(parent, *inner).alias(*[f"{parent}_{c}" for c in inner])).drop(parent)
+    return rounded(fields.select(*[F.col(c).cast("double").alias(c) if c in _DOUBLES else F.col(c) for c in _READING_COLUMNS]))
 
 
 @query(

@@ -13,7 +13,7 @@ from stationflow.schemas import DAILY_FACT_SCHEMA, EVENT_DAY, RAW_COLUMNS, RAW_T
 from stationflow.sources import messages as msg
 from stationflow.sources.tables import read_batches
 from stationflow.streaming.ingest import dedup, run_to_end, stream_ingest
-from stationflow.streaming.serving import stream_daily, stream_latest
+from stationflow.streaming.serving import stream_daily
 from stationflow.operators.staging import stage_weather
 from stationflow.sources.tables import PartitionedTable
 
@@ -132,28 +132,6 @@ def test_what_reads_the_raw_table_reads_the_days_it_needs(spark, tmp_path):
     assert files.count() == 5
 
 
-def test_latest_is_replaced_only_by_newer(spark, tmp_path):
-    schema = "province_name string, weather_updated_at timestamp_ntz, temperature_celsius double, bucket int"
-    table = PartitionedTable(spark, str(tmp_path / "t"), ["bucket"], schema)
-
-    def run():
-        stream = msg.stream_messages(spark, "text", str(tmp_path / "in"), maxFilesPerTrigger="1")
-        rows = stage_weather(msg.flatten_message(msg.decode(stream))).select("province_name", "weather_updated_at", "temperature_celsius")
-        order = [F.desc("weather_updated_at"), F.desc("temperature_celsius")]
-        run_to_end(stream_latest(rows, table, ["province_name"], order, str(tmp_path / "offsets")))
-        return {(r.province_name, r.temperature_celsius) for r in table.read().collect()}
-
-    _land(tmp_path / "in", "a.json", [body(temp_c=1.0), body(province_name="B", temp_c=5.0)])
-    assert run() == {("A", 1.0), ("B", 5.0)}
-    _land(tmp_path / "in", "b.json", [body(temp_c=2.0, last_updated="2024-01-02 10:00"), body(province_name="B", temp_c=9.0, last_updated="2023-12-31 10:00")])
-    assert run() == {("A", 2.0), ("B", 5.0)}
-    (bucket,) = {r.bucket for r in table.read().where("province_name = 'B'").collect()}
-    kept = sorted(p.name for p in (tmp_path / "t" / f"bucket={bucket}").iterdir())
-    _land(tmp_path / "in", "c.json", [body(temp_c=3.0, last_updated="2024-01-03 10:00")])
-    assert run() == {("A", 3.0), ("B", 5.0)}
-    assert kept == sorted(p.name for p in (tmp_path / "t" / f"bucket={bucket}").iterdir())  # not rewritten
-
-
 def test_daily_stream_drops_rows_behind_the_watermark(spark, tmp_path):
     table = PartitionedTable(spark, str(tmp_path / "t"), ["weather_date"], "province_name string, n long, weather_date date")
 
