@@ -1,24 +1,19 @@
-"""Chunk tables, exact vector top-k, context assembly, conversations."""
+"""Chunk tables, context assembly, conversations; vector search is in ``vectors``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.functions.scalar import text_or
 from stationflow.functions.text import fixed_chunks
 from stationflow.operators.rollups import distinct_text, ordered_text
+from stationflow.operators.vectors import unsearchable, vector_topk  # noqa: F401
 
 # What stands in for the context of a question that matches nothing, unless the caller has its own.
 NO_CONTEXT = "No stored passage matches this question."
 
-# Vectors and queries in a tile: one task multiplies them and holds their scores, 32 MiB.
-TILE_VECTORS, TILE_QUERIES = 4096, 1024
-SCORE_DIGITS = 9
-
 
 def concat_pages(pages: DataFrame, doc: str = "doc_id", page: str = "page_no", text: str = "text") -> DataFrame:
     """Page texts of a document joined without a separator; a NULL page adds nothing.
@@ -47,85 +42,6 @@ def chunk_records(docs: DataFrame, doc: str, file_name: str, category: str, text
     )
 
 
-def _best(scores: np.ndarray, order: np.ndarray, k: int) -> list[np.ndarray]:
-    """Per query row, the positions of its ``k`` best by score, then ``order``."""
-    if scores.shape[1] > 4 * k:
-        cut = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-        candidates = [np.flatnonzero(row >= c) for row, c in zip(scores, cut)]
-    else:
-        candidates = [np.arange(scores.shape[1])] * len(scores)
-    return [c[np.lexsort((order[c], -scores[i, c]))[:k]] for i, c in enumerate(candidates)]
-
-
-def _unit(vectors) -> np.ndarray:
-    matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return matrix / np.where(norms == 0, 1, norms)
-
-
-def _tile(k: int):
-    def score(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-        found = {"query_id": [], "vec_id": [], "score": []}
-        if len(queries) and len(vectors):
-            ids, qids = vectors["vec_id"].to_numpy(), queries["query_id"].to_numpy()
-            order = np.unique(ids, return_inverse=True)[1]
-            scores = np.round(_unit(queries["embedding"]) @ _unit(vectors["embedding"]).T, SCORE_DIGITS)
-            for i, best in enumerate(_best(scores, order, k)):
-                found["query_id"] += [qids[i]] * len(best)
-                found["vec_id"] += ids[best].tolist()
-                found["score"] += scores[i, best].tolist()
-        kinds = {"query_id": object, "vec_id": object, "score": float}  # ids as they are, whatever their type
-        return pd.DataFrame({c: pd.Series(v, dtype=kinds[c]) for c, v in found.items()})
-
-    return score
-
-
-def _whole(vector: str) -> Column:
-    """Whether a vector is there and has all its components."""
-    column = F.col(vector)
-    return column.isNotNull() & F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x))
-
-
-def unsearchable(vectors: DataFrame, dimensions: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Vectors that a search with queries of ``dimensions`` cannot return, with the reason."""
-    reason = (
-        F.when(F.col(key).isNull(), "no id")
-        .when(F.col(vector).isNull(), "no vector")
-        .when(~_whole(vector), "missing component")
-        .when(F.size(vector) != dimensions, "other dimensions")
-    )
-    return vectors.select(key, reason.alias("reason")).where(reason.isNotNull())
-
-
-def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 2, namespace: str | None = None) -> DataFrame:
-    """The exact ``k`` nearest vectors by cosine for each query, with their rank.
-
-    ``queries(query_id, embedding)`` against ``vectors(vec_id, embedding)``, of one namespace if
-    given; ids are of any type. Both sides are cut into tiles by hash, and each task multiplies one
-    tile of vectors by one of queries and passes on ``k`` rows per query, so the pairs never exist as
-    rows and memory does not depend on how many there are. Equal scores go by id. Vectors are
-    compared with queries of their own dimensions; those that are NULL or lack a component, and
-    rows without an id, are left out, and ``unsearchable`` names them.
-    """
-    if namespace is not None:
-        vectors = vectors.where(F.col("namespace") == namespace)
-    sides = {"vec_id": vectors, "query_id": queries}
-    rows = {key: df.select(key, "embedding").where(F.col(key).isNotNull() & _whole("embedding")) for key, df in sides.items()}
-    tiles = {key: max(1, -(-df.count() // size)) for (key, df), size in zip(rows.items(), (TILE_VECTORS, TILE_QUERIES))}
-
-    def tiled(key: str, other: str) -> DataFrame:
-        tile = F.pmod(F.xxhash64(key, "embedding"), F.lit(tiles[key])).cast("int").alias(f"{key}_tile")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(tiles[other] - 1))).alias(f"{other}_tile")
-        return rows[key].select(key, "embedding", F.size("embedding").alias("_dims"), tile, copies)
-
-    keys = ["vec_id_tile", "query_id_tile", "_dims"]
-    kinds = {key: df.schema[key].dataType.simpleString() for key, df in rows.items()}
-    asked, held = tiled("query_id", "vec_id").groupBy(*keys), tiled("vec_id", "query_id").groupBy(*keys)
-    found = asked.cogroup(held).applyInPandas(_tile(k), f"query_id {kinds['query_id']}, vec_id {kinds['vec_id']}, score double")
-    window = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return found.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
-
-
 def assemble_context(queries: DataFrame, matches: DataFrame, fallback: str = NO_CONTEXT) -> DataFrame:
     """Per query the prompt context, source lines and file note of its matches.
 

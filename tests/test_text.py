@@ -5,7 +5,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from stationflow.functions import text
-from stationflow.operators import retrieval as ret
+from stationflow.operators import retrieval as ret, vectors as vec
 from stationflow.plans import questions as qa
 
 
@@ -93,8 +93,8 @@ def test_topk_equals_brute_force_in_any_tiling(spark, monkeypatch):
     v = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(5)
     expected = _brute(queries, vectors, 3)
     for tile in (4096, 64):
-        monkeypatch.setattr(ret, "TILE_VECTORS", tile)
-        monkeypatch.setattr(ret, "TILE_QUERIES", tile // 8)
+        monkeypatch.setattr(vec, "TILE_VECTORS", tile)
+        monkeypatch.setattr(vec, "TILE_QUERIES", tile // 8)
         assert {(r.query_id, r.vec_id, r["rank"]) for r in ret.vector_topk(q, v, 3).collect()} == expected
 
 
