@@ -175,8 +175,9 @@ def training_table(daily: DataFrame, key: str = "province_id", day: str = "weath
 # Forecast
 
 
-def recursive_forecast(features: DataFrame, step: Step, horizon: int = 7) -> DataFrame:
-    """Forecast ``horizon`` days for all stations at once, feeding each day into the next.
+def recursive_forecast(features: DataFrame, step: Step, horizon: int = 7, origins: bool = False) -> DataFrame:
+    """Forecast ``horizon`` days for all stations at once, feeding each day into the next. With
+    ``origins`` the rows also say from which day and how far ahead: ``origin_date, horizon``.
 
     ``step`` adds the eight outputs and ``predicted_condition`` to rows with ``region_enc`` and
     the lags. The loop runs over days only. A day's record goes into an array on the row and the
@@ -203,6 +204,7 @@ def recursive_forecast(features: DataFrame, step: Step, horizon: int = 7) -> Dat
     return state.selectExpr(*keys, "inline_outer(days)").selectExpr(
         "province_id",
         "region",
+        *(["weather_date as origin_date", "day as horizon"] if origins else []),
         "date_add(weather_date, day) as predicted_date",
         *OUTPUTS,
         "predicted_condition",
@@ -340,3 +342,43 @@ def evaluate_forecast(forecast: DataFrame, daily: DataFrame, day: str = "weather
     measures = [F.col(measure).cast("double").alias(f"true_{out}") for _, _, measure, out in FAMILIES]
     truth = daily.select("province_id", F.col(day).alias("predicted_date"), F.col("predicted_condition").alias("condition"), *measures)
     return _scores(forecast.join(truth, ["province_id", "predicted_date"]))
+
+
+# Rolling origins
+
+
+def origin_features(daily: DataFrame, key: str = "province_id", day: str = "weather_date", aligned: bool = False) -> DataFrame:
+    """Every station-day that has all lags, with the features that would have been served on it."""
+    window = Window.partitionBy(key).orderBy(day).rowsBetween(-3, Window.currentRow)
+    first = {family: 0 if aligned else start for family, _, start in LAG_FAMILIES}
+    arrays = [F.reverse(F.collect_list(F.col(measure).cast("double")).over(window)).alias(f"_{stem}") for stem, _, measure, _ in FAMILIES]
+    rows = daily.select(key, "region", day, *arrays)
+    lagged = [F.get(f"_{stem}", F.lit(first[family] + i - 1)).alias(f"{stem}_{i}") for stem, family, _, _ in FAMILIES for i in range(1, LAGS + 1)]
+    return complete(rows.select(key, "region", day, *lagged))
+
+
+def backtest(features: DataFrame, step: Step, daily: DataFrame, horizon: int = 7, day: str = "weather_date") -> DataFrame:
+    """``(target, horizon, pairs, rmse, mae, naive_rmse, naive_mae)``: how far off a forecast is, by how
+    far it looks ahead, beside the naive forecast that all stays as it was on the origin's day.
+
+    ``features`` are encoded ``origin_features``: each row is an origin, and the recursion runs once
+    over all of them. A forecast counts where the day it is for was observed; both forecasts are
+    judged on the same pairs. A condition is off by 1 if it is another one, so its ``mae`` is the
+    share of misses. Two equi-joins on station and day, one aggregation to a row per day ahead."""
+    truth = [F.col(measure).cast("double").alias(f"true_{out}") for _, _, measure, out in FAMILIES]
+    truth = daily.select("province_id", F.col(day).alias("_day"), F.col("predicted_condition").alias("true_condition"), *truth)
+    base = truth.withColumnsRenamed({c: c.replace("true_", "naive_") for c in truth.columns if c.startswith("true_")})
+    made = recursive_forecast(features, step, horizon, origins=True)
+    pairs = made.join(truth.withColumnRenamed("_day", "predicted_date"), ["province_id", "predicted_date"])
+    pairs = pairs.join(base.withColumnRenamed("_day", "origin_date"), ["province_id", "origin_date"])
+    targets, figures = [*OUTPUTS, "condition"], []
+    for target in targets:
+        if target == "condition":
+            off = [(F.col(c) != F.col("true_condition")).cast("double") for c in ("predicted_condition", "naive_condition")]
+        else:
+            off = [F.col(c) - F.col(f"true_{target}") for c in (target, f"naive_{target}")]
+        figures.append((F.count(off[0]), *[f for error in off for f in (F.sqrt(F.avg(error * error)), F.avg(F.abs(error)))]))
+    names = ["pairs", "rmse", "mae", "naive_rmse", "naive_mae"]
+    totals = pairs.groupBy("horizon").agg(*[f.alias(f"{n}{i}") for i, fs in enumerate(figures) for n, f in zip(names, fs)])
+    rows = [F.struct(F.lit(t).alias("target"), "horizon", *[F.col(f"{n}{i}").alias(n) for n in names]) for i, t in enumerate(targets)]
+    return totals.select(F.inline(F.array(*rows)))

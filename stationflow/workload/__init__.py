@@ -1,6 +1,7 @@
 """Registered queries over the driver's tables."""
 
 from stationflow.workload import (  # noqa: F401
+    queries_forest,
     queries_learning,
     queries_marts,
     queries_metrics,
