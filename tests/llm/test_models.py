@@ -42,14 +42,94 @@ def test_language_sample_is_bounded(spark):
     assert {r["count"] for r in rows} == {7} and len(rows) == 4
 
 
-def test_foreign_text_scores_lower(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    model = language_id.fit_on(docs, F.col("doc_id"), F.col("text"), F.col("lang"), per_language=100)
-    strange = spark.createDataFrame([("zqx jkv wwx qqz " * 20,), ("日本語 の 文章 です",)], "text string")
-    known = docs.select("text").where("length(text) > 200").limit(20)
-    low = [r["lang_score"] for r in language_id.identify(strange, "text", model).collect()]
-    high = [r["lang_score"] for r in language_id.identify(known, "text", model).collect()]
-    assert max(low) < min(high)
+# Text of no learned language, with letters.
+FOREIGN = {
+    "russian": "Это обычный русский текст о погоде и о людях которые живут в городе",
+    "greek": "Αυτό είναι ένα απλό ελληνικό κείμενο για τον καιρό",
+    "dutch": "Dit is een gewone Nederlandse tekst over het weer en de mensen die in de stad wonen en werken",
+    "italian": "Questa è una semplice frase italiana sul tempo e sulle persone che vivono in città",
+    "polish": "To jest zwykły polski tekst o pogodzie i ludziach którzy mieszkają w mieście",
+    "japanese": "日本語 の 文章 です これ は 普通 の 文",
+    "gibberish": "zqx jkv wwx qqz " * 20,
+    "keys": "asdf ghjk qwer zxcv",
+    "one long word": "x" * 3000,
+}
+
+
+@pytest.fixture(scope="module")
+def language_model(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0")
+    return language_id.fit_on(docs, F.col("doc_id"), F.col("text"), F.col("lang"))
+
+
+def test_foreign_text_is_rejected(spark, language_model):
+    strange = spark.createDataFrame(list(FOREIGN.items()), "kind string, text string")
+    found = {r["kind"]: r["lang_rejected"] for r in language_id.identify(strange, "text", language_model).collect()}
+    assert found == {kind: True for kind in FOREIGN}
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0 and lang is not null")
+    held = language_id.identify(docs, "text", language_model).where("lang_pred <> 'und'")
+    assert held.agg(F.avg(F.col("lang_rejected").cast("int"))).first()[0] < 0.01
+
+
+def test_short_texts_get_the_benefit_of_the_doubt(spark, language_model):
+    short = spark.createDataFrame([("x",), ("the",), ("of",), ("le",), ("in the",)], "text string")
+    found = language_id.identify(short, "text", language_model)
+    assert found.agg(F.max(F.col("lang_rejected").cast("int"))).first()[0] == 0
+
+
+def test_calibration_is_inside_its_bounds(language_model):
+    assert language_id.TEMPERATURES[1] < language_model.temperature < language_id.TEMPERATURES[-2]
+    assert 0 < language_model.least <= 0.5 and language_model.kept >= 0.99 and language_model.caught > 0.9
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 40])
+def test_every_size_is_calibrated(n):
+    """No size at which nothing is rejected: even a handful of texts sets gibberish apart."""
+    english = "the weather in the city is fine and the people walk along the river with their friends".split()
+    german = "das wetter in der stadt ist gut und die leute gehen mit ihren freunden am fluss entlang".split()
+    rng = np.random.default_rng(n)
+    pick = lambda words: " ".join(rng.permutation(words))
+    texts, langs = [pick(german if i % 2 else english) for i in range(n)], ["de" if i % 2 else "en" for i in range(n)]
+    model = language_id.fit(texts, langs)
+    assert model.least > 0 and language_id.TEMPERATURES[0] <= model.temperature
+    data = language_id.utf8(language_id.pa.array(["zqx jkv wwx qqz " * 20, pick(english)], language_id.pa.large_string()))
+    chance = model.chance(model.judged(*language_id.subwords(*data), 2)[2])
+    assert chance[0] < model.least and (n < 8 or chance[1] >= model.least)
+
+
+def plain_scores(model, text):
+    """Prediction, score and evidence by the definition, one subword at a time."""
+    data = bytes(b if 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 else 32 for b in (text.lower() + " ").encode())
+    rows, longer = [], []
+    for n in language_id.GRAMS:
+        for i in range(len(data) - n + 1):
+            gram = data[i : i + n]
+            if 32 in gram[1:-1] or gram in (b"  ",):
+                continue
+            code = n
+            for b in gram:
+                code = (code << 8 | b) % 2**64
+            h = int(language_id.mix(np.array([code], np.uint64))[0]) >> (64 - language_id.SEEN_BITS)
+            rows.append(model.table[h >> 3])
+            longer += [h] if n >= language_id.LONG_GRAM else []
+    logits = (sum(rows, np.zeros(len(model.languages))) / (len(rows) + 8) + model.bias) / model.temperature
+    scores = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum()
+    best = int(scores.argmax())
+    seen = sum(int(model.seen[0, h]) >> best & 1 for h in longer)
+    return model.languages[best], scores[best], (seen + 6) / (len(longer) + 8)
+
+
+def test_scores_equal_a_plain_recomputation(spark, language_model):
+    texts = [r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").where("length(text) between 1 and 800").orderBy("doc_id").limit(25).collect()]
+    texts += ["é", "a-b c", "  x  ", FOREIGN["russian"], FOREIGN["dutch"]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for r in language_id.identify(df, "text", language_model).collect():
+        lang, score, covered = plain_scores(language_model, r["text"])
+        odds = np.log(max(score, 1e-9)) - np.log(max(1 - score, 1e-9))
+        chance = 1 / (1 + np.exp(-np.array([1.0, covered, odds]) @ language_model.accept))
+        if r["lang_pred"] != "und":
+            assert (r["lang_pred"], r["lang_rejected"]) == (lang, bool(chance < language_model.least))
+            assert r["lang_score"] == pytest.approx(score, abs=1e-9)
 
 
 def test_expectation_maximisation_finds_accuracies():

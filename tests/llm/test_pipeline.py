@@ -148,3 +148,13 @@ def test_near_dedup_sees_through_a_repeated_line(spark):
     lines = durable(pipeline.line_dedup(spark, docs, ""), "test-lines")
     assert {r["doc_id"]: r["text"] for r in lines.collect()} == {r[0]: r[1] for r in rows}
     assert sorted(r["doc_id"] for r in pipeline.near_dedup(spark, lines, "").collect()) == list(range(0, 80, 2))
+
+
+def test_language_stage_drops_foreign_texts(spark):
+    from test_models import FOREIGN
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    foreign = spark.createDataFrame([(10**9 + i, t, None, "x", len(t)) for i, t in enumerate(FOREIGN.values())], docs.schema)
+    kept = durable(pipeline.language_id(spark, docs.unionByName(foreign), ""), "test-foreign")
+    assert kept.where(f"doc_id >= {10**9}").count() == 0
+    assert kept.count() > 0.98 * docs.where("text rlike '[a-zA-Z]'").count()
