@@ -91,16 +91,16 @@ class LanguageModel:
         texts = len(best)
         return (np.bincount(owner, hits.astype(float), minlength=texts) + NEUTRAL * DOUBT) / (np.bincount(owner, minlength=texts) + NEUTRAL)
 
-    def judged(self, hashes: np.ndarray, owner: np.ndarray, short: int, texts: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Predicted language, its score, and what acceptance depends on; ``without`` names for each
-        text a language that is not to be known."""
-        logits = self.logits(hashes, owner, texts) / self.temperature
-        if without is not None:
-            logits[np.arange(texts), without] = -np.inf
-        scores = _softmax(logits)
-        best, top = scores.argmax(axis=1), scores.max(axis=1)
+    def judged(self, hashes: np.ndarray, owner: np.ndarray, short: int, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Predicted language, its score, and what acceptance depends on."""
+        scores = _softmax(self.logits(hashes, owner, texts) / self.temperature)
+        best = scores.argmax(axis=1)
+        return best, scores.max(axis=1), self.evidence(hashes, owner, short, scores, best)
+
+    def evidence(self, hashes: np.ndarray, owner: np.ndarray, short: int, scores: np.ndarray, best: np.ndarray) -> np.ndarray:
+        top = scores.max(axis=1)
         odds = np.log(np.maximum(top, 1e-9)) - np.log(np.maximum(1 - top, 1e-9))
-        return best, top, np.stack([np.ones(texts), self.coverage(hashes, owner, short, best), odds], axis=1)
+        return np.stack([np.ones(len(top)), self.coverage(hashes, owner, short, best), odds], axis=1)
 
     def chance(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-evidence @ self.accept))
@@ -150,7 +150,7 @@ def labelled_sample(docs: DataFrame, doc_id: Column, text: Column, lang: Column,
     return rows.join(F.broadcast(counts), "lang").where(near).withColumn("_n", first).where(F.col("_n") <= per_language).select("text", "lang")
 
 
-def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rate: float = 0.5, batch: int = 32, seed: int = 5, keep: float = 0.999, catch: float = 0.95) -> LanguageModel:
+def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rate: float = 0.5, batch: int = 32, seed: int = 5, keep: float = 0.999, catch: float = 0.95, margin: float = 4.0) -> LanguageModel:
     """Stochastic gradient descent in numpy on whole texts; without any, every text is ``und``.
 
     A fifth of the texts is held back (a language whose texts would all be is learned from them
@@ -158,8 +158,8 @@ def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rat
     the temperature is fitted, to targets a little below certainty so that it has a finite best
     value. Rejection is calibrated against negatives made of the same texts: shuffled letters,
     other scripts, and each language in turn as one that is not known. The chance that is asked for
-    lies, by log odds, midway between what ``keep`` of the right predictions pass and what
-    ``catch`` of the negatives fail, and never above the former or one half."""
+    is what ``catch`` of the negatives fail, but never more than what ``keep`` of the right
+    predictions pass with ``margin`` log odds to spare, nor than one half: clean texts come first."""
     languages = sorted(set(langs))
     if not languages:
         return LanguageModel([], np.zeros((1 << BUCKET_BITS, 1)), np.zeros(1), 1.0, np.zeros((1, 1 << SEEN_BITS), U64), np.zeros(3), 0.0)
@@ -206,25 +206,35 @@ def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rat
         at = int(rng.integers(0, max(1, len(found) - 3)))
         checked.append(" ".join(found[at : at + 4]))
     answer = np.concatenate([target[:held], target[:held]])
-    parts = lambda found: subwords(*utf8(pa.array([t.lower() for t in found], pa.large_string())))
-    hashes, owner, short = parts(checked)
-    temperature = fitted_temperature(model.logits(hashes, owner, len(checked)), answer)
-    model = replace(model, temperature=temperature)
-    best, _, good = model.judged(hashes, owner, short, len(checked))
-    right = best == answer if np.any(best == answer) else np.ones(len(best), bool)  # of so few that none is right, all count
-    good, bad = good[right], []
-    if len(languages) > 1:
-        bad.append(model.judged(hashes, owner, short, len(checked), without=answer)[2])
-    made = negatives(checked, rng)
-    bad.append(model.judged(*parts(made), len(made))[2])
-    bad = np.concatenate(bad)
+    logits = np.concatenate([model.logits(*found[:2], n) for *found, n in _parts(checked)])
+    model = replace(model, temperature=fitted_temperature(logits, answer))
+    good, bad, done = [], [], 0
+    for hashes, owner, short, n in _parts(checked):
+        scores, own = logits[done : done + n] / model.temperature, answer[done : done + n]
+        best = scores.argmax(axis=1)
+        good.append((model.evidence(hashes, owner, short, _softmax(scores), best), best == own))
+        if len(languages) > 1:
+            scores[np.arange(n), own] = -np.inf
+            bad.append(model.evidence(hashes, owner, short, _softmax(scores), scores.argmax(axis=1)))
+        done += n
+    for hashes, owner, short, n in _parts(negatives(checked, rng)):
+        bad.append(model.judged(hashes, owner, short, n)[2])
+    good, right = (np.concatenate(x) for x in zip(*good))
+    good, bad = good[right] if right.any() else good, np.concatenate(bad)  # of so few that none is right, all count
     weights = logistic(np.concatenate([good, bad]), np.concatenate([np.ones(len(good)), np.zeros(len(bad))]))
     model = replace(model, accept=weights)
     passed, failed = float(np.quantile(good @ weights, 1 - keep)), float(np.quantile(bad @ weights, catch))
-    least = float(1 / (1 + np.exp(-min(0.0, (passed + min(passed, failed)) / 2))))
+    least = float(1 / (1 + np.exp(-min(0.0, passed - margin, failed))))
     return replace(model, least=least, kept=float(np.mean(model.chance(good) >= least)), caught=float(np.mean(model.chance(bad) < least)))
 
 
+def _parts(texts: list[str], budget: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """``subwords`` and the number of texts of one slice after the other."""
+    batch = pa.record_batch([pa.array([t.lower() for t in texts], pa.string())], ["text"])
+    for part in steps(batch, budget=budget):
+        yield *subwords(*utf8(part.column(0))), part.num_rows
+
+
 TEMPERATURES = np.geomspace(0.002, 20, 120)
 
 
@@ -259,7 +269,7 @@ def identify(docs: DataFrame, text: str, model: LanguageModel, prefix: str = "la
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            for part in steps(batch, names[place], 1 << 18):
+            for part in steps(batch, names[place], 1 << 17):
                 column = pc.fill_null(part.column(place), "")
                 letters = np.asarray(pc.match_substring_regex(column, r"\p{L}").cast(pa.uint8())).astype(bool) & bool(known.languages)
                 hashes, owner, short = subwords(*utf8(pc.utf8_lower(column.cast(pa.large_string()))))
