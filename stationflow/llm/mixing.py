@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stationflow.session import durable
 
 #: Rounds of the permutation; each moves a place to its partner by one pseudorandom bit.
 ROUNDS = 12
-#: Draws that one row expands into, and about how many a task makes.
-CHUNK, DRAWS_PER_TASK = 1 << 12, 1 << 17
+#: About how many draws a task makes, draws to a row of a guide, shards to a group of prefix sums.
+DRAWS_PER_TASK, GUIDE, SHARDS_PER_GROUP = 1 << 17, 1 << 8, 1 << 12
 
 
 def permuted(place: Column, n: Column, *key: Column, inverse: bool = False) -> Column:
@@ -45,15 +45,88 @@ def capped_targets(sources: DataFrame, total: float, cap: float) -> DataFrame:
     return out.drop("_level", "_place")
 
 
+def located(rows: DataFrame, at: str, line: DataFrame, out: str, first: str) -> DataFrame:
+    """Add to ``rows`` the source ``out`` on whose stretch of ``line`` (_src, _from, _n) the place
+    ``at`` lies, and where that stretch begins.
+
+    The line is cut into pieces of GUIDE places, one row each, that list the stretches they touch:
+    at most GUIDE, as none is empty. A place joins its piece by number."""
+    pieces = F.sequence(F.floor(F.col("_from") / GUIDE), F.floor((F.col("_from") + F.col("_n") - 1) / GUIDE))
+    guide = line.where("_n > 0").withColumn("_piece", F.explode(pieces)).groupBy("_piece")
+    guide = guide.agg(F.sort_array(F.collect_list(F.struct(F.col("_from").alias("begin"), F.col("_src").alias("source")))).alias("_held"))
+    joined = rows.withColumn("_piece", F.floor(F.col(at) / GUIDE)).join(guide.hint("merge"), "_piece")
+    found = F.element_at(F.filter("_held", lambda h: h["begin"] <= F.col(at)), -1)
+    return joined.withColumn("_found", found).select(*rows.columns, F.col("_found.source").alias(out), F.col("_found.begin").alias(first))
+
+
+def drawn_counts(spark: SparkSession, sources: DataFrame, total: int, slots_per_shard: int, seed: int) -> DataFrame:
+    """Multinomial source counts by output shard: shard, _src, _n (at least 1).
+
+    Each of a shard's slots draws a source, with replacement and with the sources' numbers of
+    draws as odds, independently of all other slots; a shard's counts are the sums."""
+    tasks = max(1, -(-total // DRAWS_PER_TASK))
+    slots = spark.range(0, total, 1, tasks).select(
+        F.floor(F.col("id") / slots_per_shard).cast("int").alias("shard"),
+        F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), "id"), F.lit(max(1, total))).alias("_at"),
+    )
+    line = sources.select("_src", F.col("_before").alias("_from"), F.col("_draws").alias("_n"))
+    return located(slots, "_at", line, "_src", "_first").groupBy("shard", "_src").agg(F.count("*").alias("_n"))
+
+
+def numbered_draws(counts: DataFrame, sources: DataFrame, total: int, seed: int) -> DataFrame:
+    """One row a slot: shard, slot, _src and _draw, the number of the source's draw that fills it.
+
+    A source's slots, counted over all shards, are put in a pseudorandom order. The first _draws of
+    them take its draws. Sources with more slots than draws leave the rest to those with fewer,
+    spread over all shards by the same order; so each source is drawn as often as it should, and
+    the counts follow the multinomial but for these few slots (of the order of a root of all)."""
+    group = F.floor(F.col("shard") / SHARDS_PER_GROUP)
+    rows = counts.withColumn("_group", group)
+    sums = rows.groupBy("_src", "_group").agg(F.sum("_n").alias("_m"))
+    sums = sums.withColumn("_ahead", F.sum("_m").over(Window.partitionBy("_src").orderBy("_group")) - F.col("_m"))
+    line = Window.partitionBy("_src", "_group").orderBy("shard")
+    rows = rows.join(sums.select("_src", "_group", "_ahead"), ["_src", "_group"])
+    rows = rows.withColumn("_ahead", F.col("_ahead") + F.sum("_n").over(line) - F.col("_n"))
+    inside = Window.partitionBy("shard")
+    rows = rows.withColumn("_within", F.sum("_n").over(inside.orderBy("_src")) - F.col("_n")).withColumn("_filled", F.sum("_n").over(inside))
+
+    # Per source: its slots, and where its spare slots and its missing ones lie on the lines of all such.
+    kept = sources.where("_draws > 0").select("_src", "_draws").join(counts.groupBy("_src").agg(F.sum("_n").alias("_got")), "_src", "left")
+    kept = kept.withColumn("_got", F.coalesce("_got", F.lit(0)))
+    spare, short = F.greatest(F.col("_got") - F.col("_draws"), F.lit(0)), F.greatest(F.col("_draws") - F.col("_got"), F.lit(0))
+    by_source = Window.orderBy("_src")
+    kept = kept.withColumns({
+        "_spare_from": F.sum(spare).over(by_source) - spare, "_short_from": F.sum(short).over(by_source) - short, "_short_n": short,
+    })
+    kept = durable(kept.withColumn("_moved", F.sum(spare).over(Window.partitionBy())), "mix-kept")
+
+    tasks = max(1, -(-total // DRAWS_PER_TASK))
+    # So many partitions as the rows to come need: what Spark sees are the few rows they expand from.
+    rows = rows.join(kept, "_src").repartition(tasks, F.col("shard"), F.col("_src"))
+    rows = rows.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    rows = rows.withColumn("_draw", permuted(F.col("_ahead") + F.col("_i"), F.col("_got"), F.lit(seed), F.lit("order"), F.col("_src")))
+    slot = permuted(F.col("_within") + F.col("_i"), F.col("_filled"), F.lit(seed), F.lit("slots"), F.col("shard"))
+    rows = rows.withColumn("slot", slot)
+    own = rows.where("_draw < _draws").select("shard", "slot", "_src", "_draw")
+    number = F.col("_spare_from") + F.col("_draw") - F.col("_draws")
+    moved = rows.where("_draw >= _draws").withColumn("_at", permuted(number, F.col("_moved"), F.lit(seed), F.lit("moved")))
+    line = kept.select("_src", F.col("_short_from").alias("_from"), F.col("_short_n").alias("_n"))
+    moved = located(moved.select("shard", "slot", "_at"), "_at", line, "_src", "_first")
+    moved = moved.join(kept.select("_src", "_got"), "_src")
+    return own.unionByName(moved.select("shard", "slot", "_src", (F.col("_got") + F.col("_at") - F.col("_first")).alias("_draw")))
+
+
 @dataclass(frozen=True)
 class Mix:
     """``documents``: doc_id, source, size, source_size, target, taken, _src, _start. ``spans``:
     one row for each stretch of words that the mix takes: shard, slot, epoch, block, _src, _start,
-    first (word of the document), length. ``sources``: one row a source."""
+    first (word of the document), length. ``sources``: one row a source. ``counts``: the drawn
+    source counts: shard, _src, _n."""
 
     documents: DataFrame
     spans: DataFrame
     sources: DataFrame
+    counts: DataFrame
 
 
 def mix_sources(
@@ -75,9 +148,9 @@ def mix_sources(
 
     The documents of a source, in a pseudorandom order, are one stream of words that is packed into
     blocks of ``block`` words. The mix is a line of block slots, ``slots_per_shard`` to an output
-    shard. Source counts by shard are drawn without replacement from the sources' whole numbers of
-    slots: multinomial draws on condition of the totals, so that each source meets its target to
-    the word. A source's n-th draw takes block permutation(n), a new permutation each time it has
+    shard. Each shard draws multinomial source counts (``drawn_counts``); the few slots that a source
+    has beyond the draws its target needs pass to sources that have too few (``numbered_draws``), so
+    that each source meets its target to the word. A source's n-th draw takes block permutation(n), a new permutation each time it has
     been through; its last draw takes only the words that are still due. Slots and blocks join on
     (source, index). A block is drawn at most ``cap`` times, hence so is each document's word.
 
@@ -128,19 +201,15 @@ def mix_sources(
     placed = durable(placed.drop("_s2"), "mix-placed")
 
     # Slots of the mix: which block of which source, and how many of its words.
-    chunked = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_draws") - 1, F.lit(CHUNK).cast("long")))
     drawn = sources.agg(F.max("_all")).first()[0] or 0
-    draws = sources.where("_draws > 0").withColumn("_from", chunked)
-    # So many partitions as the rows to come need: what Spark sees are the few rows they expand from.
-    draws = draws.repartition(max(1, -(-drawn // DRAWS_PER_TASK)), F.col("_src"), F.col("_from"))
-    draws = draws.withColumn("_draw", F.explode(F.sequence("_from", F.least(F.col("_from") + CHUNK, F.col("_draws")) - 1)))
+    counts = durable(drawn_counts(docs.sparkSession, sources, drawn, slots_per_shard, seed), "mix-counts")
+    draws = numbered_draws(counts, sources, drawn, seed).join(sources.where("_draws > 0").drop("source", "_weight"), "_src")
     draws = draws.withColumn("epoch", F.floor(F.col("_draw") / F.col("_blocks"))).withColumn("_at", F.col("_draw") % F.col("_blocks"))
     draws = draws.withColumn("block", permuted(F.col("_at"), F.col("_blocks"), F.lit(seed), F.col("_src"), F.col("epoch")))
     had = F.col("_at") * block - F.when(F.col("_at") > F.col("_short_at"), block - F.col("_short")).otherwise(0)
     whole = F.when(F.col("block") == F.col("_blocks") - 1, F.col("_short")).otherwise(F.lit(block))
     use = F.when(F.col("epoch") < F.col("_epochs"), whole).otherwise(F.least(whole, F.col("_due") - had))
-    g = permuted(F.col("_before") + F.col("_draw"), F.col("_all"), F.lit(seed), F.lit("slots"))
-    slots = draws.select("_src", "epoch", "block", use.cast("long").alias("_use"), g.alias("_g"))
+    slots = draws.select("shard", "slot", "_src", "epoch", "block", use.cast("long").alias("_use"))
 
     # Blocks: the stretches of documents that they are made of.
     first, last = F.floor(F.col("_start") / block), F.floor((F.col("_start") + F.col("size") - 1) / block)
@@ -149,13 +218,10 @@ def mix_sources(
     end = F.least(F.col("_start") + F.col("size"), F.col("block") * block + F.col("_use"))
     # The slots are many more rows than Spark can tell beforehand: neither side is to be broadcast.
     spans = slots.join(parts.hint("merge"), ["_src", "block"]).withColumn("length", end - begin).where("length > 0")
-    spans = spans.select(
-        F.floor(F.col("_g") / slots_per_shard).cast("int").alias("shard"), (F.col("_g") % slots_per_shard).alias("slot"),
-        "epoch", "block", "_src", "_start", (begin - F.col("_start")).alias("first"), "length",
-    )
+    spans = spans.select("shard", "slot", "epoch", "block", "_src", "_start", (begin - F.col("_start")).alias("first"), "length")
 
     taken = spans.groupBy("_src", "_start").agg(F.sum("length").alias("_taken"))
     taken = taken.select(F.col("_src").alias("_a"), F.col("_start").alias("_b"), "_taken")
     same = (F.col("_src") == F.col("_a")) & (F.col("_start") == F.col("_b")) & (F.col("size") > 0)
     documents = placed.join(taken, same, "left").withColumn("taken", F.coalesce("_taken", F.lit(0)).cast("long"))
-    return Mix(documents.drop("_a", "_b", "_taken"), spans, sources)
+    return Mix(documents.drop("_a", "_b", "_taken"), spans, sources, counts)

@@ -5,9 +5,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from stationflow.llm.mixing import mix_sources, permuted
+from stationflow.llm.mixing import drawn_counts, located, mix_sources, numbered_draws, permuted
 from stationflow.llm.quality_rules import quality_rules
 from stationflow.llm.queries import QUERIES
 from stationflow.llm.sharding import balanced_shards, range_of
@@ -75,6 +75,46 @@ def test_spans_fill_shards_with_blocks(spark, odd):
     assert {s for s, _ in filled} == set(range(max(s for s, _ in filled) + 1))
 
 
+def test_shard_counts_are_multinomial_and_slots_meet_the_totals(spark):
+    sources = spark.createDataFrame([(0, 30_000), (1, 9_000), (2, 1), (3, 961), (4, 0)], "_src int, _draws long")
+    sources = sources.withColumn("_before", F.coalesce(F.sum("_draws").over(Window.orderBy("_src").rowsBetween(-100, -1)), F.lit(0)))
+    total, per = 39_962, 400
+    counts = drawn_counts(spark, sources, total, per, seed=5).cache()
+    rows = counts.collect()
+    by_shard = defaultdict(dict)
+    for r in rows:
+        by_shard[r["shard"]][r["_src"]] = r["_n"]
+    assert [sum(by_shard[k].values()) for k in sorted(by_shard)] == [400] * 99 + [362]
+    for src, draws in ((0, 30_000), (1, 9_000), (3, 961)):
+        p = draws / total
+        spread = sum((by_shard[k].get(src, 0) - per * p) ** 2 for k in range(99)) / (per * p * (1 - p))
+        assert 60 < spread < 145  # chi-square of 99 degrees: mean 99, deviation 14
+    # Independent between shards: neighbours' counts don't go together.
+    c = [by_shard[k].get(0, 0) - per * 30_000 / total for k in range(99)]
+    assert abs(sum(a * b for a, b in zip(c, c[1:]))) < 0.35 * sum(a * a for a in c)
+
+    slots = numbered_draws(counts, sources, total, seed=5).collect()
+    drawn, held = defaultdict(list), defaultdict(list)
+    for r in slots:
+        drawn[r["_src"]].append(r["_draw"])
+        held[r["shard"]].append(r["slot"])
+    assert {s: len(d) for s, d in drawn.items()} == {0: 30_000, 1: 9_000, 2: 1, 3: 961}
+    assert all(sorted(d) == list(range(len(d))) for d in drawn.values())
+    assert all(sorted(held[k]) == list(range(400 if k < 99 else 362)) for k in range(100))
+    after = Counter((r["shard"], r["_src"]) for r in slots)
+    moved = sum(abs(after[k, s] - by_shard[k].get(s, 0)) for k in range(100) for s in range(4)) / 2
+    assert moved <= 4 * total**0.5  # few slots pass to other sources
+
+
+def test_places_find_their_stretch(spark):
+    sizes = [3, 0, 700, 1, 1, 256, 0, 90]
+    starts = [sum(sizes[:i]) for i in range(len(sizes))]
+    line = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(zip(starts, sizes))], "_src int, _from long, _n long")
+    rows = located(spark.range(sum(sizes)), "id", line, "src", "first").collect()
+    want = {starts[i] + j: (i, starts[i]) for i, n in enumerate(sizes) for j in range(n)}
+    assert {r["id"]: (r["src"], r["first"]) for r in rows} == want
+
+
 def test_mix_of_nothing(spark, folder):
     assert QUERIES["op3_mixing"](spark, f"{folder}/none").count() == 0
 
