@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.functions.scalar import indicator, kph_to_mph, to_day
+from stationflow.operators.partials import Kept
 from stationflow.schemas import EVENT_DAY
 
 # The daily facts' measures.
@@ -51,6 +52,27 @@ def observation_measures() -> dict[str, Column]:
     }
 
 
+def observation_states() -> dict[str, Kept]:
+    """The daily measures as what partial states keep of them."""
+    temperature, rain, wind = F.col("temperature_celsius"), F.col("precipitation_mm"), F.col("wind_speed_kph")
+    return {
+        "avg_temperature": Kept("average", temperature),
+        "max_temperature": Kept("max", temperature),
+        "min_temperature": Kept("min", temperature),
+        "sum_precipitation": Kept("sum", rain),
+        "chance_rain": Kept("max", indicator(rain)),
+        "avg_humidity": Kept("average", F.col("humidity_percent")),
+        "avg_wind_kph": Kept("average", wind),
+        "avg_wind_mph": Kept("average", kph_to_mph(wind)),
+    }
+
+
+def with_day(staged: DataFrame) -> DataFrame:
+    """Add ``weather_date``, by which observations are rolled up."""
+    time = EVENT_DAY if EVENT_DAY in staged.columns else "weather_updated_at"
+    return staged.withColumn("weather_date", to_day(F.col(time)))
+
+
 def daily_rollup(staged: DataFrame, provinces: DataFrame) -> DataFrame:
     """One row per province and day; names unknown to the dimension are dropped.
 
@@ -59,7 +81,11 @@ def daily_rollup(staged: DataFrame, provinces: DataFrame) -> DataFrame:
     rather than every observation.
     """
     time = EVENT_DAY if EVENT_DAY in staged.columns else "weather_updated_at"
-    daily = rollup(staged, ["province_name"], time, observation_measures())
+    return daily_of_places(rollup(staged, ["province_name"], time, observation_measures()), provinces)
+
+
+def daily_of_places(daily: DataFrame, provinces: DataFrame) -> DataFrame:
+    """Daily rows by name with the dimension's columns; unknown names are dropped."""
     places = provinces.select("province_id", "region", "province_name")
     return daily.join(places, "province_name").select(
         "province_id", "region", "province_name", "weather_date", *DAILY_MEASURES

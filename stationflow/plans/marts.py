@@ -6,12 +6,14 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stationflow.functions.scalar import contains_flag
 from stationflow.operators.incremental import after_mark, detect_changes, flag_new_rows
-from stationflow.operators.rollups import daily_rollup, region_rollup
+from stationflow.operators.rollups import daily_of_places, daily_rollup, observation_states, region_rollup, with_day
 from stationflow.operators.windows import latest_per_key
+from stationflow.session import durable
+from stationflow.sources.states import StateTable
 from stationflow.sources.tables import PartitionedTable, VersionedTable
 
 # The columns whose difference makes a dimension row changed. The local-language
@@ -121,6 +123,33 @@ def refresh_daily_mart(
     return table.upsert(flag_new_rows(rows, known, keys), keys)
 
 
+def daily_states(spark: SparkSession, path: str, staged: DataFrame) -> StateTable:
+    """Partial states of the daily measures by station name and day; ``staged`` gives the columns."""
+    return StateTable(spark, path, ["province_name"], "weather_date", observation_states(), with_day(staged))
+
+
+def refresh_daily_with_late(
+    staged: DataFrame, batch: int, states: StateTable, provinces: DataFrame, classify: Classify, table: PartitionedTable
+) -> DataFrame:
+    """Add a batch of observations of any days to the daily fact; returns the fact's rows of these days.
+
+    Unlike ``refresh_daily_mart`` no day is closed: late rows add up with what the day's states hold,
+    and the fact has the day as one rollup of all rows so far would. States and fact are written one
+    after the other; a run that ends between is made good by adding the batch again."""
+    daily = classify(daily_of_places(states.add(with_day(staged), batch), provinces))
+    keys = ["province_id", "weather_date"]
+    rows = daily_mart_rows(daily, provinces)
+    known = table.touched(rows) if table.exists() else None
+    rows = durable(flag_new_rows(rows, known, keys), "late-days")
+    table.upsert(rows, keys)
+    return table.touched(rows)
+
+
+def refresh_region_days(days: DataFrame, provinces: DataFrame, table: PartitionedTable) -> DataFrame:
+    """Roll whole days of the daily fact up by region and put them in the place of what was there."""
+    return table.upsert(region_mart_rows(days, provinces), ["region", "weather_date"])
+
+
 def region_mart_rows(daily: DataFrame, provinces: DataFrame) -> DataFrame:
     return region_rollup(daily, provinces).withColumn("updated_at", F.current_timestamp())
 

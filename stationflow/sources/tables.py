@@ -134,7 +134,9 @@ class PartitionedTable:
     Columns and their types are declared, so an empty table can be read and a partition value stays
     what it was (``007`` no number, NULL no text). The new content of the touched partitions is
     complete in a folder beside the table before they are replaced from it. Should a run end
-    between, the next one replaces them from there first, so that no row is lost.
+    between, the next write replaces them from there first, so that no row is lost. Reading writes
+    nothing: while that folder is complete, a reader takes the partitions it holds from there, and so
+    never sees a half-replaced one.
     """
 
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str], schema: T.StructType | str):
@@ -145,11 +147,28 @@ class PartitionedTable:
 
     def exists(self) -> bool:
         """Whether anything was ever written, be it no row."""
-        self._recover()
-        return any(not n.startswith("_temporary") for n in self._files.children(self.path))
+        return self._is_pending() or any(not n.startswith("_temporary") for n in self._files.children(self.path))
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        if not self._is_pending():
+            return self._stored(self.path)
+        pending = self._stored(self.pending)
+        if not self.partition_by or not self._files.exists(self.path):
+            return pending
+        replaced = pending.select(*self.partition_by).distinct()
+        return self._join_partitions(self._stored(self.path), replaced, "left_anti").unionByName(pending)
+
+    def _stored(self, path: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def _is_pending(self) -> bool:
+        """Whether a complete copy of partitions waits to replace them."""
+        return self._files.exists(f"{self.pending}/_SUCCESS")
+
+    def _join_partitions(self, rows: DataFrame, partitions: DataFrame, how: str) -> DataFrame:
+        partitions = partitions.withColumnsRenamed({c: f"_{c}" for c in self.partition_by})
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in self.partition_by])
+        return rows.join(partitions, same, how)
 
     def max_of(self, column: str) -> dt.date | None:
         """The high-water mark; for a partition column no data column is read."""
@@ -169,9 +188,8 @@ class PartitionedTable:
         """Finish, or forget, what an earlier run left beside the table."""
         if not self._files.exists(self.pending):
             return
-        if self._files.exists(f"{self.pending}/_SUCCESS"):
-            rows = self.spark.read.schema(self.schema).parquet(self.pending)
-            self._write(rows, self.path, "dynamic" if self.partition_by else "static")
+        if self._is_pending():
+            self._write(self._stored(self.pending), self.path, "dynamic" if self.partition_by else "static")
         self._files.delete(self.pending)
 
     def upsert(self, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None) -> DataFrame:
@@ -183,18 +201,19 @@ class PartitionedTable:
         """Replace the partitions that ``source`` has rows for by ``combine(their rows, source)``.
 
         Doing so again with the same rows gives the same table."""
+        self._recover()
         if not self.exists():
             return self.overwrite(combine(source.limit(0), source))
         source = conform(source, self.schema).persist()  # read for the partitions it touches, and to be merged
         try:
-            self._write(combine(self._touched(source), source), self.pending, "static")
+            self._write(combine(self.touched(source), source), self.pending, "static")
         finally:
             source.unpersist()
         self._recover()
         return self.read()
 
-    def _touched(self, source: DataFrame) -> DataFrame:
-        """The target's partitions that ``source`` has rows for.
+    def touched(self, source: DataFrame) -> DataFrame:
+        """The table's partitions that ``source`` has rows for.
 
         The smallest and largest value of each column are literals that prune the scan; the values
         themselves, of any number, are a semi join. NULL is a value like others."""
@@ -208,9 +227,7 @@ class PartitionedTable:
             low, high = (F.lit(bounds[f"{n}{i}"]).cast(self.schema[column].dataType) for n in "ab")
             inside = F.col(column).between(low, high)
             target = target.where(inside | F.col(column).isNull() if bounds[f"n{i}"] else inside)
-        touched = touched.withColumnsRenamed({c: f"_{c}" for c in self.partition_by})
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in self.partition_by])
-        return target.join(touched, same, "left_semi")
+        return self._join_partitions(target, touched, "left_semi")
 
 
 def bucketed(df: DataFrame, keys: Sequence[str], buckets: int = 16, out: str = "bucket") -> DataFrame:

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stationflow.operators import incremental as inc
+from stationflow.operators.learning import classify_daily
 from stationflow.operators.rollups import DAILY_MEASURES, daily_rollup, region_rollup, rollup
+from stationflow.operators.staging import stage_weather as staged_weather
 from stationflow.operators.windows import LAG_FAMILIES, lag_arrays, latest_per_key
 from stationflow.plans import marts
 from stationflow.schemas import DAILY_FACT_SCHEMA, REGION_FACT_SCHEMA
 from stationflow.session import durable, scratch_path
 from stationflow.sources.tables import PartitionedTable, VersionedTable
-from stationflow.workload.adapter import SPLIT, Data, rounded, rounded_sql, sql
+from stationflow.workload.adapter import SPLIT, Data, rounded, rounded_sql, sql, typed_rows
 from stationflow.workload.registry import query
 
 _DOUBLES = ("avg_temperature", "max_temperature", "min_temperature", "sum_precipitation", "avg_humidity", "avg_wind_kph", "avg_wind_mph")
@@ -334,6 +336,34 @@ def region_mart(d: Data) -> DataFrame:
     return rounded(marts.refresh_region_mart(daily, d.provinces, table).drop("updated_at"))
 
 
+def _late_batches(d: Data):
+    """All observations as three batches that each hold rows of every day, the last one first, the
+    second one twice; yields the daily fact, its table and each batch's days of it."""
+    states = marts.daily_states(d.spark, scratch_path(d.spark, "states"), d.staged)
+    table = PartitionedTable(d.spark, scratch_path(d.spark, "daily"), ["weather_date"], DAILY_FACT_SCHEMA)
+    for batch in (2, 0, 1, 0):
+        rows = staged_weather(typed_rows(d.table("events").where(F.col("event_id") % 3 == batch)))
+        days = marts.refresh_daily_with_late(rows, batch, states, d.provinces, classify_daily, table)
+        yield table, days
+
+
+@query("late_days", sql(f"select {_DAILY}, predicted_condition as condition from classified", "classified"))
+def late_days(d: Data) -> DataFrame:
+    """Late rows add up in partial states: the fact equals the rollup of all observations at once."""
+    for table, _ in _late_batches(d):
+        pass
+    return rounded(table.read().drop("updated_at", "is_new_row"))
+
+
+@query("late_days_by_region", sql(f"select {_REGION} from regional", "regional"))
+def late_days_by_region(d: Data) -> DataFrame:
+    """The regional fact beside it, of which each batch replaces its days."""
+    regions = _region_table(d)
+    for _, days in _late_batches(d):
+        marts.refresh_region_days(days, d.provinces, regions)
+    return rounded(regions.read().drop("updated_at"))
+
+
 def _emptied(d: Data) -> PartitionedTable:
     """An existing regional fact without rows."""
     table = _region_table(d)

@@ -189,7 +189,7 @@ def test_a_run_that_ended_amid_the_replacement_is_finished(spark, tmp_path):
 def test_merge_reads_the_touched_partitions_only(spark, tmp_path):
     table = _table(spark, tmp_path / "f")
     table.overwrite(_facts(spark, [(1, d, 1.0, "a") for d in D]))
-    plan = table._touched(_facts(spark, [(1, D[3], 1.0, "a"), (1, D[4], 1.0, "a")]))._jdf.queryExecution().executedPlan().toString()
+    plan = table.touched(_facts(spark, [(1, D[3], 1.0, "a"), (1, D[4], 1.0, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert f"(day#" in plan and ">= " + str(D[3]) in plan and "<= " + str(D[4]) in plan.split("PartitionFilters")[1]
 
 
