@@ -86,22 +86,44 @@ class SemanticLayer:
         self.tables = tables
 
     def query(self, names: Sequence[str], group_by: Sequence[str] = (), where: str | None = None) -> DataFrame:
-        """The metrics of one model by the given dimensions, in one aggregation.
+        """The metrics by the given dimensions, in one aggregation for each model they come from.
 
         A dimension is ``name``, ``entity__name`` (the dimension table is joined when the entity
         is foreign), ``metric_time``, or a time dimension with ``__month`` and the like appended.
+
+        With measures of several models each model is aggregated alone and the results, at most one
+        row a group and model, are full joined on the dimensions, a NULL equal to a NULL: no row is
+        multiplied, and a group that one model lacks has NULL metrics of that model. Dimensions and
+        ``where`` must be known to every model.
         """
         measures = list(dict.fromkeys(m for n in names for m in self._measures_of(n)))
-        model = self._model_of(measures)
+        parts = [self._aggregated(model, held, group_by, where) for model, held in self._models_of(measures)]
+        grouped = reduce(lambda a, b: self._joined_groups(a, b, group_by), parts)
+        for name in names:
+            grouped = self._with_metric(grouped, name)
+        outputs = dict.fromkeys(out for n in names for out in self._outputs_of(n))
+        return grouped.select(*group_by, *outputs)
+
+    def _aggregated(self, model: SemanticModel, measures: Sequence[str], group_by: Sequence[str], where: str | None) -> DataFrame:
         df, keys = self._grouped(model, group_by)
         if where:
             df = df.where(where)
         outputs = [(m, self._aggregate(df, model.measure(m))) for m in measures]
-        grouped = df.groupBy(*[c.alias(k) for k, c in keys]).agg(*[c.alias(f"_{m}") for m, c in outputs])
-        for name in names:
-            grouped = self._with_metric(grouped, name)
-        outputs = dict.fromkeys(out for n in names for out in self._outputs_of(n))
-        return grouped.select(*[k for k, _ in keys], *outputs)
+        return df.groupBy(*[c.alias(k) for k, c in keys]).agg(*[c.alias(f"_{m}") for m, c in outputs])
+
+    @staticmethod
+    def _joined_groups(left: DataFrame, right: DataFrame, group_by: Sequence[str]) -> DataFrame:
+        """Full join of two models' groups. Without dimensions each side is one row, joined by a constant."""
+        on = list(group_by) or ["_one"]
+        if not group_by:
+            left, right = (df.withColumn("_one", F.lit(1)) for df in (left, right))
+        right = right.withColumnsRenamed({c: f"_other_{c}" for c in on})
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_other_{c}")) for c in on])
+        # A missing side's keys are NULL as a NULL group's are, so each side is marked.
+        joined = left.withColumn("_here", F.lit(True)).join(right, same, "full")
+        keys = [F.when(F.col("_here"), F.col(c)).otherwise(F.col(f"_other_{c}")).alias(c) for c in on]
+        values = [c for c in [*left.columns, *right.columns] if c not in on and not c.startswith("_other_")]
+        return joined.select(*keys, *values)
 
     def run_saved(self, saved: SavedQuery) -> DataFrame:
         return self.query(saved.metrics, saved.group_by)
@@ -131,11 +153,19 @@ class SemanticLayer:
             return df.withColumn(name, F.try_divide(top, bottom))
         return df.withColumn(name, F.expr(metric.expr)) if metric.expr else df
 
-    def _model_of(self, measures: Sequence[str]) -> SemanticModel:
+    def _models_of(self, measures: Sequence[str]) -> list[tuple[SemanticModel, list[str]]]:
+        """The models to aggregate and what each gives: one that has all measures, if any has, else
+        each measure's first model."""
         for model in self.models.values():
             if all(model.measure(m) for m in measures):
-                return model
-        raise ValueError(f"no single model has the measures {list(measures)}")
+                return [(model, list(measures))]
+        held: dict[str, list[str]] = {}
+        for m in measures:
+            owner = next((model.name for model in self.models.values() if model.measure(m)), None)
+            if owner is None:
+                raise ValueError(f"no model has the measure {m}")
+            held.setdefault(owner, []).append(m)
+        return [(self.models[name], ms) for name, ms in held.items()]
 
     def _aggregate(self, df: DataFrame, measure: Measure) -> Column:
         value = F.expr(measure.expr or measure.name)

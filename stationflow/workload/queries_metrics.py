@@ -115,6 +115,54 @@ def by_region(d: Data) -> DataFrame:
     return rounded(d.semantic_layer.query(names, ["province__region", "metric_time"]))
 
 
+_ACROSS = """select {key} as {name}, round(h.warmth, 9) as avg_temperature_by_province_history, h.rainy as rainy_days_by_province,
+    round(f.warmth, 9) as avg_temp_by_region, round(f.share, 9) as rainy_day_percentage{more_columns}
+    from ({history}) h full join ({forecast}) f on h.k is not distinct from f.k{more_joins}"""
+_HISTORY = """select {key} as k, avg(avg_temperature) as warmth, cast(sum(case when sum_precipitation > 0 then 1 else 0 end) as bigint)
+    as rainy from daily i left join provinces p on i.province_id = p.province_id group by all"""
+_FORECAST = """select {key} as k, avg(avg_temperature_c) as warmth, cast(sum(cast(is_raining as int)) as double) / count(is_raining) as share
+    from forecast i left join provinces p on i.province_id = p.province_id group by all"""
+_ACROSS_METRICS = ["avg_temperature_by_province_history", "rainy_days_by_province", "avg_temp_by_region", "rainy_day_percentage"]
+
+
+@query(
+    "metrics_across_models",
+    sql(
+        _ACROSS.format(
+            key="coalesce(h.k, f.k, c.k)",
+            name="region",
+            history=_HISTORY.format(key="i.region"),
+            forecast=_FORECAST.format(key="i.region"),
+            more_columns=", round(c.warmth, 9) as metric_temperature_celsius",
+            more_joins=""" full join (select region as k, max(temperature_celsius) as warmth from current_rows group by all) c
+            on c.k is not distinct from coalesce(h.k, f.k)""",
+        ),
+        "daily", "provinces", "forecast", "current_rows",
+    ),
+)
+def metrics_across_models(d: Data) -> DataFrame:
+    """Past, forecast and current metrics of a region beside each other, from three models."""
+    return rounded(d.semantic_layer.query([*_ACROSS_METRICS, "metric_temperature_celsius"], ["region"]))
+
+
+@query(
+    "metrics_across_models_by_month",
+    sql(
+        """select coalesce(h.place, f.place) as province__province_name, coalesce(h.k, f.k) as metric_time__month,
+        round(h.warmth, 9) as avg_temperature_by_province_history, h.rainy as rainy_days_by_province,
+        round(f.warmth, 9) as avg_temp_by_region, round(f.share, 9) as rainy_day_percentage from ("""
+        + _HISTORY.format(key="p.province_name as place, date_trunc('month', i.weather_date)::date")
+        + ") h full join ("
+        + _FORECAST.format(key="p.province_name as place, date_trunc('month', i.predicted_date)::date")
+        + ") f on h.k is not distinct from f.k and h.place is not distinct from f.place",
+        "daily", "provinces", "forecast",
+    ),
+)
+def metrics_across_models_by_month(d: Data) -> DataFrame:
+    """Months that only one model has keep a row, with NULL metrics of the other."""
+    return rounded(d.semantic_layer.query(_ACROSS_METRICS, ["province__province_name", "metric_time__month"]))
+
+
 @query(
     "saved_query_current_summary",
     sql(

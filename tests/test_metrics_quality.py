@@ -52,6 +52,33 @@ def test_derived_with_and_without_expression(layer):
     assert layer.query(["both"], ["p"]).columns == ["p", "total", "share"]
 
 
+def test_metrics_of_two_models_meet_on_their_dimensions(spark, layer):
+    sales = spark.createDataFrame([(1, "2024-01-05", 10.0), (1, "2024-01-06", 20.0), (4, "2024-03-01", 5.0), (None, None, 2.0)], "p int, sold string, price double")
+    model = SemanticModel(
+        "sales",
+        entities=(Entity("place", "foreign", "p"),),
+        dimensions=(Dimension("day", "time", "cast(sold as date)"), Dimension("p", "categorical")),
+        measures=(Measure("price", "sum"),),
+        time_dimension="day",
+    )
+    both = SemanticLayer(
+        [*layer.models.values(), model],
+        [*layer.metrics.values(), Metric("revenue", measure="price"), Metric("per_v", kind="ratio", numerator="revenue", denominator="total")],
+        {**layer.tables, "sales": sales},
+    )
+    # No fan-out: place 1 has two rows on either side. Groups that one side lacks stay.
+    assert rows(both.query(["total", "revenue", "per_v"], ["p"])) == {
+        (1, 4.0, 30.0, 7.5), (2, 5.0, None, None), (3, 7.0, None, None), (4, None, 5.0, None), (None, None, 2.0, None)
+    }
+    # An unknown place's region is NULL on both sides: one group.
+    assert rows(both.query(["revenue", "total"], ["place__region"])) == {("N", 30.0, 4.0), ("S", None, 5.0), (None, 7.0, 7.0)}
+    months = {(str(m), t, r) for m, t, r in rows(both.query(["total", "revenue"], ["metric_time__month"]))}
+    assert months == {("2024-01-01", 13.0, 30.0), ("2024-02-01", 3.0, None), ("2024-03-01", None, 5.0), ("None", None, 2.0)}
+    assert rows(both.query(["revenue", "share"])) == {(37.0, 2 / 3)}
+    with pytest.raises(KeyError):
+        both.query(["total", "revenue"], ["d"])  # only one of them has it
+
+
 def test_grain_and_filter(layer):
     out = layer.query(["total"], ["metric_time__month"], where="p = 1")
     assert {(str(d), v) for d, v in rows(out)} == {("2024-01-01", 1.0), ("2024-02-01", 3.0)}
