@@ -2,7 +2,9 @@
 
 import itertools
 import math
+import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -146,6 +148,54 @@ def test_what_the_end_cuts_off(model, cut):
     assert h.main_text(page[: page.index("</ul></article>")] + cut, model) == TEXT
 
 
+@pytest.mark.parametrize("name", ["iframe", "noframes", "noembed"])
+def test_fallbacks_are_no_text(model, name):
+    fallback = f"<{name} src=x><p>Your browser has no frames at all.</p></{name}>"
+    page = "<body><article><p>First words of the story.</p>%s<p>Last words of the story.</p></article></body>"
+    assert h.main_text(page % fallback, model) == "First words of the story.\n\nLast words of the story."
+
+
+def test_raw_text_that_is_shown():
+    page = h.PageTree("<div>a<xmp>b &amp; <p>c</xmp>d</div><template><xmp>e</xmp></template>")
+    assert [r for r in page.runs if r] == ["a", "b &amp; <p>c", "d"]
+
+
+def test_slashes_close_nothing_but_in_svg():
+    page = h.PageTree("<div/>a<p>b<br/>c</p><script/>var x</script><svg><title/><g/></svg>d")
+    assert [r for r in page.runs if r] == ["a", "b c", "d"]
+    root = page.parent.index(0)
+    assert page.features[root][0] == "tag=div" and page.parent[page.runs.index("a")] == root
+    assert page.parent[page.runs.index("d")] == root
+
+
+def test_open_places_equal_a_walk():
+    """What a start tag closes, found by places, equals a walk through all open tags."""
+
+    class Walked(h.PageTree):
+        def shut(self, tags):
+            for at in range(len(self.tags) - 1, 0, -1):
+                if self.tags[at] in tags:
+                    return self.close(at)
+                if self.tags[at] in h.SCOPES:
+                    return None
+
+    rng = random.Random(4)
+    names = "p div li ul dt dd dl tr td th table option select figure h2 a b section html body blockquote details".split()
+    for _ in range(400):
+        html = "".join(rng.choice(["<{}>", "<{}>", "</{}>", "<{}>x ", "y "]).format(rng.choice(names)) for _ in range(60))
+        one, other = h.PageTree(html), Walked(html)
+        assert (one.parent, one.features, one.runs) == (other.parent, other.features, other.runs)
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<p><figure>", "<details><li></li>", "<dl><dt>", "<ul><li>"])
+def test_very_deep_pages_take_linear_time(model, piece):
+    html = "<article>" + piece * 50_000 + "<p>The words at the end.</p>"
+    begin = time.process_time()
+    assert sum(text == "The words at the end." for text in h.PageTree(html).runs) == 1
+    h.main_text(html, model)
+    assert time.process_time() - begin < 15
+
+
 def test_pages_of_the_tables(spark, tmp_path):
     def truth(html):
         inside = re.sub(r"<[^>]*$", "", html.split("<article>")[1].split("</article>")[0])
