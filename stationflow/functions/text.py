@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 # Date patterns in order of trial, with their formats.
 DATE_PATTERNS = [
@@ -17,6 +17,19 @@ DATE_PATTERNS = [
 # What a text is split at, coarsest first; the empty one splits into characters.
 SEPARATORS = ["\n\n", "\n", " ", ""]
 
+#: What Python's ``str.strip`` takes off.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once a row, however often the body mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _joined(pieces: Column, first: Column, count: Column) -> Column:
+    """``count`` pieces in one text, fewer where they end. Reads only these (``slice`` copies all)."""
+    return F.array_join(F.transform(F.sequence(first, first + count - 1), lambda i: F.get(pieces, i)), "")
+
 
 def first_date(text: Column) -> Column:
     """The date named in a text, by the first pattern that gives a valid one."""
@@ -48,12 +61,14 @@ def word_runs(text: Column, longest: int) -> Column:
 
 
 def fixed_chunks(text: Column, size: int = 1000, overlap: int = 10) -> Column:
-    """Pieces of ``size`` characters, each starting ``size - overlap`` after the last."""
+    """Pieces of ``size`` characters, each starting ``size - overlap`` after the last. The text is cut
+    into steps once and chunks are put together from them, in time linear in its length."""
     step = size - overlap
-    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - overlap, F.lit(1)), F.lit(step))
-    return F.when(F.length(text) > 0, F.transform(starts, lambda s: F.substring(text, s, F.lit(size)))).otherwise(
-        F.array().cast("array<string>")
-    )
+    last = F.floor((F.greatest(F.length(text) - overlap, F.lit(1)) - 1) / step).cast("int")
+    span = F.lit(1 - (-overlap // step))
+    steps = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    chunks = let(steps, lambda s: F.transform(F.sequence(F.lit(0), last), lambda k: F.left(_joined(s, k, span), F.lit(size))))
+    return F.when(F.length(text) > 0, chunks).otherwise(F.array().cast("array<string>"))
 
 
 def _pieces(text: str, separator: str) -> list[str]:
@@ -79,7 +94,8 @@ def _pack(pieces: list[str], size: int, overlap: int) -> Iterator[str]:
 
 
 def split_recursive(text: str, size: int = 1000, overlap: int = 10, separators: list[str] = SEPARATORS) -> list[str]:
-    """Chunks of at most ``size``, cut at the coarsest separator that makes them fit."""
+    """Chunks of at most ``size``, cut at the coarsest separator that makes them fit. This is the plain
+    form for one text; ``recursive_chunks`` does the same for a column."""
     position = next((i for i, s in enumerate(separators) if s == "" or s in text), len(separators) - 1)
     finer = separators[position + 1 :]
     chunks: list[str] = []
@@ -99,11 +115,97 @@ def split_recursive(text: str, size: int = 1000, overlap: int = 10, separators:
     return chunks
 
 
-def recursive_chunks(size: int = 1000, overlap: int = 10):
-    """A vectorised column function: whole texts in, arrays of chunks out."""
+#: Pieces that are packed with one state.
+_BLOCK = 256
+
+
+def _span(first: Column, count: Column, whole: bool) -> Column:
+    return F.array(F.struct(first.alias("first"), count.alias("count"), F.lit(whole).alias("whole")))
+
+
+def _tail(lengths: Column, before: Column, piece: Column, size: int, overlap: int) -> Column:
+    """``count, length`` of the pieces before one that its chunk repeats: as many of the last ones as
+    have at most ``overlap`` characters and leave room for the piece."""
+    none = F.struct(F.lit(0).alias("count"), F.lit(0).alias("length"), F.lit(True).alias("open"))
+    if not overlap:
+        return none
+
+    def taken(t: Column, at: Column) -> Column:
+        total = t["length"] + F.get(lengths, at)
+        fits = t["open"] & (total <= overlap) & (total + piece <= size)
+        grown = F.struct((t["count"] + 1).alias("count"), total.alias("length"), F.lit(True).alias("open"))
+        return F.when(fits, grown).otherwise(F.struct(t["count"].alias("count"), t["length"].alias("length"), F.lit(False).alias("open")))
+
+    return F.aggregate(F.sequence(before - 1, F.greatest(before - overlap, F.lit(0)), F.lit(-1)), none, taken)
+
+
+def _spans(lengths: Column, size: int, overlap: int) -> Column:
+    """The chunks that pieces of these lengths are packed into, as ``first, count, whole``: runs of
+    pieces, or (``whole``) one that doesn't fit and is to be cut further.
+
+    ``aggregate`` copies its state at each step, so the chunks found so far aren't part of it but for
+    those of the block of pieces at hand."""
+
+    def state(at: Column, start: Column, length: Column, spans: Column) -> Column:
+        return F.struct(at.alias("at"), start.alias("start"), length.alias("length"), spans.alias("spans"))
+
+    def step(s: Column, n: Column) -> Column:
+        at, start, length, spans = s["at"], s["start"], s["length"], s["spans"]
+        closed, own = F.concat(spans, _span(start, at - start, False)), _span(at, F.lit(1), True)
+        alone = F.when(start < at, F.concat(closed, own)).otherwise(F.concat(spans, own))
+        packed = let(
+            _tail(lengths, at, n, size, overlap), lambda t: state(at + 1, at - t["count"], t["length"] + n, closed)
+        )
+        return (
+            F.when(n >= size, state(at + 1, at + 1, F.lit(0), alone))
+            .when((length + n > size) & (start < at), packed)
+            .otherwise(state(at + 1, start, length + n, spans))
+        )
+
+    none = F.array().cast("array<struct<first:int,count:int,whole:boolean>>")
+    total = F.size(lengths)
+
+    def block(s: Column, first: Column) -> Column:
+        pieces = F.transform(F.sequence(first, F.least(first + _BLOCK, total) - 1), lambda i: F.get(lengths, i))
+        inside = F.aggregate(pieces, state(s["at"], s["start"], s["length"], none), step)
+        return let(inside, lambda i: state(i["at"], i["start"], i["length"], F.concat(s["spans"], i["spans"])))
+
+    blocks = F.sequence(F.lit(0), total - 1, F.lit(_BLOCK))
+    done = F.aggregate(blocks, state(F.lit(0), F.lit(0), F.lit(0), none), block)
+
+    def closed(s: Column) -> Column:
+        last = _span(s["start"], s["at"] - s["start"], False)
+        return F.when(s["start"] < s["at"], F.concat(s["spans"], last)).otherwise(s["spans"])
+
+    return F.when(total > 0, let(done, closed)).otherwise(none)
+
+
+def _level(text: Column, separators: Sequence[str], size: int, overlap: int) -> Column:
+    """Chunks of a text by its pieces at the first separator; pieces that don't fit go a level down. A
+    level whose separator the text lacks has one piece, which fits or goes down, so none is skipped."""
+    separator, *finer = separators
+    if not separator:
+        return fixed_chunks(text, size, overlap)
+    parts = F.split(text, re.escape(separator), -1)
+    headed = F.transform(parts, lambda p, k: F.when(k == 0, p).otherwise(F.concat(F.lit(separator), p)))
+
+    def packed(pieces: Column) -> Column:
+        def chunk(s: Column) -> Column:
+            run = F.array(_joined(pieces, s["first"], s["count"]))
+            return F.when(s["whole"], _level(F.get(pieces, s["first"]), finer, size, overlap)).otherwise(run)
+
+        return F.flatten(let(F.transform(pieces, F.length), lambda n: F.transform(_spans(n, size, overlap), chunk)))
+
+    return let(F.filter(headed, lambda p: p != ""), packed)
+
+
+def recursive_chunks(size: int = 1000, overlap: int = 10) -> Callable[[Column], Column]:
+    """A column function: whole texts in, arrays of chunks out, as ``split_recursive`` cuts them, built
+    from array functions only. A null or empty text has no chunks; a chunk of white space is none."""
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def chunk(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_recursive(t, size, overlap) if t else [])
+    def chunk(text: Column) -> Column:
+        cut = F.when(F.length(text) < size, F.array(text)).otherwise(_level(text, SEPARATORS, size, overlap))
+        found = F.transform(cut, lambda c: F.btrim(c, F.lit(BLANKS)))
+        return F.coalesce(F.filter(found, lambda c: c != ""), F.array().cast("array<string>"))
 
     return chunk

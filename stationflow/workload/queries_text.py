@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.functions import text
 from stationflow.operators import relational as rel
@@ -39,14 +41,18 @@ def chunk_recursive_rows(d: Data) -> DataFrame:
 @query(
     "chunk_recursive",
     r"""select doc_id, length(t) as chars, t <> '' as has_chunks, true as fitting, true as inside, true as starts, true as ends, true as covering
-    from (select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') as t from documents where text is not null)""",
+    from (select doc_id, regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') as t from documents)""",
 )
 def chunk_recursive(d: Data) -> DataFrame:
     """What must hold of a document's recursive chunks: at most 1000 characters each, pieces of the
     text, the first at its start and the last at its end, and together no fewer characters."""
-    stripped = F.regexp_replace("text", r"^\s+|\s+$", "")
-    rows = d.table("documents").where("text is not null").select("doc_id", stripped.alias("t"), text.recursive_chunks()(F.col("text")).alias("c"))
-    some, solid = F.size("c") > 0, lambda x: F.length(F.regexp_replace(x, r"\s", ""))
+    stripped = F.btrim(F.coalesce("text", F.lit("")), F.lit(" \n\t\x0b\f\r"))
+    rows = d.table("documents").select("doc_id", stripped.alias("t"), text.recursive_chunks()(F.col("text")).alias("c"))
+    some = F.size("c") > 0
+
+    def solid(x: Column) -> Column:
+        return F.length(reduce(lambda y, blank: F.replace(y, F.lit(blank)), " \n\t\x0b\f\r", x))
+
     total = F.aggregate("c", F.lit(0), lambda a, x: a + solid(x))
     return rows.select(
         "doc_id",

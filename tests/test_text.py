@@ -4,6 +4,7 @@ import numpy as np
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_point
 from stationflow.functions import text
 from stationflow.operators import retrieval as ret, vectors as vec
 from stationflow.plans import questions as qa
@@ -47,6 +48,33 @@ def test_recursive_split_on_spark_keeps_whole_texts(spark):
     assert rows[2] == [] and rows[3] == [] and sum(map(len, rows[1])) >= len(long) - len(rows[1])
 
 
+def _random_text(rng):
+    """Blanks, words, accents and pairs of 16-bit units in runs of many lengths."""
+    kinds = ["ab", "é", "\U0001f600", " ", "\n", "\n\n", "\t", "\u00a0", "word", "x" * 30, "y" * 130]
+    weights = [rng.random() ** 2 for _ in kinds]
+    return "".join(rng.choices(kinds, weights, k=rng.randrange(120)))
+
+
+def test_recursive_chunks_equal_the_plain_form(spark):
+    rng = random.Random(6)
+    texts = [*(_random_text(rng) for _ in range(600)), "", " \n ", "\n\n\n\n\n", "x" * 100, "x" * 101, " " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").repartition(8)
+    for size, overlap in ((100, 10), (40, 0), (30, 12), (11, 10), (21, 20)):
+        for row in df.select("t", text.recursive_chunks(size, overlap)(F.col("t")).alias("c")).collect():
+            assert row.c == text.split_recursive(row.t, size, overlap), (row.t, size, overlap)
+
+
+def test_recursive_chunks_of_the_documents_equal_the_plain_form(spark):
+    """``chunk_recursive_rows`` as it stands, for which there is no SQL; no Python runs in it."""
+    folder = "/root/testdata/sf0.01"
+    chunks = entry_point.queries()["chunk_recursive_rows"](spark, folder)
+    assert "Python" not in chunks._jdf.queryExecution().toString()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    want = {(i, n, c) for i, t in texts.items() for n, c in enumerate(text.split_recursive(t) if t else [])}
+    got = [(r.doc_id, r.chunk_no, r.chunk_text) for r in chunks.collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_fixed_chunks(spark):
     df = spark.createDataFrame([("abcdefghij" * 3,), ("ab",), ("",), (None,)], "t string")
     out = [r[0] for r in df.select(text.fixed_chunks(F.col("t"), 12, 2)).collect()]
