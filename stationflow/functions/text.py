@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -60,6 +61,37 @@ def word_runs(text: Column, longest: int) -> Column:
     return F.array_distinct(F.concat(*[runs(n) for n in range(1, longest + 1)]))
 
 
+def _plain_letters() -> tuple[str, str]:
+    """Letters with accents of the Latin blocks, and the letters that are left without them."""
+    bare = {"đ": "d", "ø": "o", "ł": "l", "ħ": "h", "ŧ": "t", "ı": "i"}  # fixed values: they have no accent to take off
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        first = unicodedata.normalize("NFD", chr(code))[0]
+        if first != chr(code) and first.isascii():
+            bare[chr(code)] = first
+    return "".join(bare), "".join(bare.values())
+
+
+def folded(text: Column) -> Column:
+    """Lower case without accents, whether they are part of a letter or follow it."""
+    return F.regexp_replace(F.translate(F.lower(text), *_plain_letters()), r"\p{Mn}+", "")
+
+
+def deletions(text: Column, most: Column, limit: int) -> Column:
+    """The text and all it becomes by taking out up to ``most`` characters, each once. Two texts that
+    ``most`` edits turn into one another have one of these in common. ``limit`` bounds ``most``."""
+
+    def shorter(t: Column) -> Column:
+        cuts = F.sequence(F.lit(1), F.length(t))
+        rest = F.transform(cuts, lambda i: F.concat(F.left(t, i - 1), F.substring(t, i + 1, F.length(t))))
+        return F.when(F.length(t) > 0, rest).otherwise(F.array().cast("array<string>"))
+
+    found = last = F.array(text)
+    for round_ in range(1, limit + 1):
+        last = F.array_distinct(F.flatten(F.transform(last, shorter)))
+        found = F.when(most >= round_, F.concat(found, last)).otherwise(found)
+    return F.array_distinct(found)
+
+
 def fixed_chunks(text: Column, size: int = 1000, overlap: int = 10) -> Column:
     """Pieces of ``size`` characters, each starting ``size - overlap`` after the last. The text is cut
     into steps once and chunks are put together from them, in time linear in its length."""

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stationflow.functions.scalar import as_date
-from stationflow.functions.text import first_date, word_runs, words
+from stationflow.functions.text import deletions, first_date, folded, word_runs, words
 from stationflow.operators.relational import preview
 
 FACT_COLUMNS = ["avg_temperature", "max_temperature", "min_temperature", "sum_precipitation", "avg_humidity", "condition"]
@@ -30,6 +31,60 @@ def extract_places(
     return named.groupBy(*questions.columns).agg(F.min(rank)["place"].alias("place"))
 
 
+#: Edits that are forgiven in a name of so many characters, shorter ones none.
+FORGIVEN = ((5, 1), (10, 2))
+
+
+def _forgiven(length: Column, allowed: Sequence[tuple[int, int]]) -> Column:
+    return F.greatest(F.lit(0), *[F.when(length >= least, F.lit(edits)) for least, edits in allowed])
+
+
+def find_places(
+    questions: DataFrame,
+    places: DataFrame,
+    name: str = "province_name",
+    text: str = "question",
+    allowed: Sequence[tuple[int, int]] = FORGIVEN,
+) -> DataFrame:
+    """Each question with the place that it names, as people type names: without accents, or with a
+    letter wrong, missing or too many. Adds ``place`` and ``edits`` (0: as it stands but for case and
+    accents), both NULL where no name is near.
+
+    A run of whole words names a place if so few edits turn one into the other as ``allowed`` grants
+    a name of that length, and their digits agree (``N_1`` is not a misspelt ``N_2``). Fewest edits
+    win, then the longest name, then the first in order. The runs of all questions are compared
+    once each, however often they are asked: runs and names meet by equality of what deletions leave
+    of them, so no run is held against every name, and the edit distance of those that meet is exact.
+    Questions, which are short, go along with their runs; one without a key keeps its row. Rows that
+    are equal in all columns are one row; empty and null questions name nothing.
+    """
+    most = max((edits for _, edits in allowed), default=0)
+    run_of = lambda c: F.array_join(words(folded(c)), " ")
+    names = places.select(run_of(F.col(name)).alias("name"), F.col(name).alias("place")).where("name <> ''").distinct()
+    names = names.withColumn("most", _forgiven(F.length("name"), allowed))
+    longest = names.agg(F.max(F.size(F.split("name", " ")))).first()[0] or 1
+
+    # A run may be shorter than a name that it means by as many characters as are forgiven; a blank
+    # that is missing or too many changes the number of its words by one for each.
+    asked = questions.select("*", F.explode_outer(word_runs(folded(F.col(text)), longest + most)).alias("_run"))
+    runs = asked.where("_run <> ''").select(F.col("_run").alias("run")).distinct()
+    runs = runs.withColumn("most", _forgiven(F.length("run") + most, allowed))
+
+    def left(df: DataFrame, column: str) -> DataFrame:
+        """A row for each hash of what deletions leave."""
+        rest = deletions(F.col(column), F.col("most"), most)
+        return df.withColumn("left", F.explode(F.transform(rest, lambda r: F.xxhash64(r))))
+
+    near = left(runs, "run").drop("most").join(left(names, "name"), "left")
+    near = near.withColumn("edits", F.levenshtein("run", "name"))
+    digits = lambda c: F.regexp_replace(c, r"[^0-9]", "")
+    near = near.where((F.col("edits") <= F.col("most")) & (digits("run") == digits("name")))
+    rank = F.struct(F.col("edits"), (-F.length("place")).alias("len"), F.col("place"))
+    best = near.groupBy("run").agg(F.min(rank).alias("best")).withColumnRenamed("run", "_run")
+    named = asked.join(best, "_run", "left").groupBy(*questions.columns).agg(F.min("best").alias("_best"))
+    return named.select(*questions.columns, F.col("_best.place").alias("place"), F.col("_best.edits").alias("edits"))
+
+
 # Words that put a question without a date into the past or the future.
 PAST_WORDS, FUTURE_WORDS = r"(?i)\b(was|were|past|yesterday|history)\b", r"(?i)\b(will|forecast|tomorrow|next)\b"
 

@@ -97,6 +97,11 @@ QUESTION = (
     " when c_custkey % 8 = 5 then concat('Forecast for ', n_name, '?')"
     " else concat('Weather in ', n_name, ' on ', {day}, ' please') end"
 )
+#: A question as it may be typed: every third with accents, every third with letters wrong or missing.
+TYPED = (
+    "case question_id % 3 when 0 then replace(replace(question, 'I', 'Í'), 'A', 'À')"
+    " when 1 then replace(replace(question, 'AN', 'N'), 'IN', 'IM') else question end"
+)
 ASKED_DAY = ("date_add(date '2024-01-10', cast(c_custkey % 30 as int))", "(date '2024-01-10' + cast(c_custkey % 30 as int))")
 SPARK_DAY = (
     "case c_custkey % 3 when 0 then date_format({0}, 'dd/MM/yyyy') when 1 then date_format({0}, 'yyyy-MM-dd')"
@@ -239,6 +244,10 @@ class Data:
         asked = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         return asked.selectExpr("c_custkey as question_id", f"{QUESTION.format(day=SPARK_DAY)} as question")
 
+    @cached_property
+    def typed_questions(self) -> DataFrame:
+        return self.questions.selectExpr("question_id", f"{TYPED} as question")
+
     @cached_property
     def tables(self) -> Tables:
         return Tables(
@@ -437,6 +446,8 @@ CTES["questions"] = (
     [],
 )
 
+CTES["typed"] = (f"select question_id, {TYPED} as question from questions", ["questions"])
+
 
 def sql(body: str, *tables: str) -> str:
     """``body`` preceded by the CTEs of ``tables`` and of what they are made of."""

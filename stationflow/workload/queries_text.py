@@ -199,6 +199,30 @@ def place_extract(d: Data) -> DataFrame:
     return qa.extract_places(d.questions, d.provinces)
 
 
+_TYPED_RUNS = r"""select question_id, unnest(list_distinct(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]),
+list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])))) as run from
+(select question_id, list_filter(string_split_regex(lower(strip_accents(question)), '[^a-z0-9_]+'), lambda x: x <> '') as w from typed)"""
+
+
+@query(
+    "place_search",
+    sql(
+        f"""select question_id, question, place, edits from typed left join (select question_id, place, edits, row_number() over
+        (partition by question_id order by edits, length(place) desc, place) as pick from (select question_id, province_name as place,
+        levenshtein(run, name) as edits, name, run from ({_TYPED_RUNS}) join (select distinct province_name, array_to_string(list_filter(
+        string_split_regex(lower(strip_accents(province_name)), '[^a-z0-9_]+'), lambda x: x <> ''), ' ') as name from provinces)
+        on abs(length(run) - length(name)) <= 2) where edits <= case when length(name) >= 10 then 2 when length(name) >= 5 then 1 else 0 end
+        and regexp_replace(run, '[^0-9]', '', 'g') = regexp_replace(name, '[^0-9]', '', 'g')) using (question_id) where coalesce(pick, 1) = 1""",
+        "typed",
+        "provinces",
+    ),
+)
+def place_search(d: Data) -> DataFrame:
+    """Places in questions with accents and misspelt names, held against every name by the SQL."""
+    return qa.find_places(d.typed_questions, d.provinces).withColumn("edits", F.col("edits").cast("long"))
+
+
 _FACTS = """select 'past' as kind, province_name as place, weather_date as answer_day, predicted_condition as condition, max_temperature
 from classified union all select 'forecast', province_name, predicted_date, predicted_condition, max_temperature_c
 from forecast join provinces using (province_id)"""

@@ -103,6 +103,50 @@ def test_longest_place_wins_and_missing_places_stay(spark):
     assert got == {0: "Nam Dinh", 1: "Ha Noi", 2: "N_10", 3: "N_1", 4: None, 5: None}
 
 
+def test_places_as_people_type_them(spark):
+    names = ["Hà Nội", "Đà Nẵng", "Hồ Chí Minh", "Thừa Thiên Huế", "Nam Định", "N_12345", "N_12346", "Hue"]
+    places = spark.createDataFrame([(n,) for n in names + ["Hà Nội", None, ""]], "province_name string")
+    asked = {
+        "rain in HA NOI?": ("Hà Nội", 0), "in Ha\u0300 No\u0323\u0302i": ("Hà Nội", 0), "hanoi": ("Hà Nội", 1), "da nag now": ("Đà Nẵng", 1),
+        "ho chi mihn": ("Hồ Chí Minh", 2), "hochiminh": ("Hồ Chí Minh", 2), "thua thien hue": ("Thừa Thiên Huế", 0), "hue": ("Hue", 0), "hua": (None, None),
+        "n_12346": ("N_12346", 0), "n_12347": (None, None), "m_12345": ("N_12345", 1), "nam dinh or ha noj": ("Nam Định", 0), "": (None, None), None: (None, None),
+    }
+    df = spark.createDataFrame([(i, q, "x") for i, q in enumerate(asked)], "question_id int, question string, name string")
+    got = {r.question: (r.place, r.edits) for r in qa.find_places(df, places).collect()}
+    assert got == asked
+    assert {r.place for r in qa.find_places(df, places.limit(0)).collect()} == {None}
+    assert qa.find_places(df.limit(0), places).count() == 0
+
+
+def test_places_equal_brute_force(spark):
+    """Every run of words against every name by its edit distance."""
+    rng = random.Random(8)
+    names = sorted({"".join(rng.choices("abc ", k=rng.randrange(4, 13))).strip() for _ in range(40)} - {""})
+    names = [n for n in names if "  " not in n]
+    asked = ["".join(rng.choices("abc ", [3, 3, 3, 1], k=rng.randrange(0, 30))) for _ in range(150)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    def best(question):
+        words = question.split()
+        longest = max(len(n.split()) for n in names) + 2
+        runs = {" ".join(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1)}
+        found = [(distance(r, n), -len(n), n) for r in runs for n in names]
+        found = [f for f in found if f[0] <= (2 if -f[1] >= 10 else 1 if -f[1] >= 5 else 0)]
+        return (min(found)[2], min(found)[0]) if found else (None, None)
+
+    df = spark.createDataFrame(list(enumerate(asked)), "question_id int, question string")
+    places = spark.createDataFrame([(n,) for n in names], "province_name string")
+    got = {r.question_id: (r.place, r.edits) for r in qa.find_places(df, places).collect()}
+    assert got == {i: best(q) for i, q in enumerate(asked)}
+
+
 def _brute(queries, vectors, k):
     unit = lambda v: np.asarray(v) / np.linalg.norm(v)
     out = set()
