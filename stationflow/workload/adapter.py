@@ -97,10 +97,11 @@ QUESTION = (
     " when c_custkey % 8 = 5 then concat('Forecast for ', n_name, '?')"
     " else concat('Weather in ', n_name, ' on ', {day}, ' please') end"
 )
-#: A question as it may be typed: every third with accents, every third with letters wrong or missing.
+#: A question as it may be typed: with accents, a letter wrong or missing, or too many of them missing.
 TYPED = (
-    "case question_id % 3 when 0 then replace(replace(question, 'I', 'Í'), 'A', 'À')"
-    " when 1 then replace(replace(question, 'AN', 'N'), 'IN', 'IM') else question end"
+    "case question_id % 5 when 0 then replace(replace(question, 'I', 'Í'), 'a', 'à')"
+    " when 1 then replace(replace(question, 'TIO', 'TO'), 'tio', 'tyo')"
+    " when 2 then replace(question, 'NATION', 'NATN') else question end"
 )
 ASKED_DAY = ("date_add(date '2024-01-10', cast(c_custkey % 30 as int))", "(date '2024-01-10' + cast(c_custkey % 30 as int))")
 SPARK_DAY = (
