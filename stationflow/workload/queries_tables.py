@@ -130,17 +130,16 @@ def publish_stream(d: Data) -> DataFrame:
 
 @query(
     "sink_append",
-    sql("select province_name, count(*) as readings, max(temp_c) as hottest from raw group by province_name", "raw"),
+    sql(f"select {_TYPED_READING}, cast(cast(last_updated as timestamp) as date) as event_day from raw", "raw"),
 )
 def sink_append(d: Data) -> DataFrame:
-    """Two batches, the first delivered twice: the replay leaves no duplicates."""
+    """Two batches, the first delivered twice: the replay leaves no duplicates, and all fields are kept."""
     path = scratch_path(d.spark, "raw")
     rows = typed_rows(d.table("events"))
     first, second = rows.where("is_day = 1"), rows.where("is_day = 0")
     for name, batch in (("0", first), ("1", second), ("0", first)):
         tables.append_batch(batch, path, name, [EVENT_DAY])
-    stored = tables.read_batches(d.spark, path, RAW_TABLE_SCHEMA)
-    return stored.groupBy("province_name").agg(F.count("*").alias("readings"), F.max("temp_c").alias("hottest"))
+    return rounded(tables.read_batches(d.spark, path, RAW_TABLE_SCHEMA))
 
 
 @query(
@@ -202,6 +201,7 @@ def overwrite_reload(d: Data) -> DataFrame:
 @query(
     "vector_upsert",
     """select e.vec_id, 'label_' || label as namespace, case when label < 5 then 'new ' else 'old ' end || source as file_name,
+    array_to_string(list_transform(embedding, lambda x: cast(cast(round(cast(x as double) * 1000000) as bigint) as varchar)), ' ') as components,
     len(embedding) as dimensions, round(list_sum(list_transform(embedding, lambda x: cast(x as double))), 6) as total,
     round(embedding[1], 6) as first, round(embedding[64], 6) as last from embeddings e join documents d on e.vec_id = d.doc_id""",
 )
@@ -219,7 +219,8 @@ def vector_upsert(d: Data) -> DataFrame:
     table.overwrite(records("old "))
     out = table.upsert(records("new ").where("label < 5"), ["namespace", "bucket", "vec_id"])
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    millionths = F.transform("embedding", lambda x: F.round(x.cast("double") * 1000000).cast("long").cast("string"))
     return out.select(
-        "vec_id", "namespace", "file_name", F.size("embedding").cast("long").alias("dimensions"), F.round(total, 6).alias("total"),
+        "vec_id", "namespace", "file_name", F.array_join(millionths, " ").alias("components"), F.size("embedding").cast("long").alias("dimensions"), F.round(total, 6).alias("total"),
         F.round(F.get("embedding", F.lit(0)), 6).alias("first"), F.round(F.get("embedding", F.lit(63)), 6).alias("last"),
     )
