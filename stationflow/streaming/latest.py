@@ -3,41 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from stationflow.functions.scalar import event_time
 from stationflow.sources.changelog import GONE, ChangeLog
-from stationflow.streaming.ingest import start
-
-#: Keyed state needs the RocksDB store; its commits then upload what changed only.
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
+from stationflow.streaming.ingest import STATE_STORE, settings, start
 
 #: A column and whether its largest value comes first. As in SQL, NULL is the smallest value and
 #: NaN the largest.
 Order = Sequence[tuple[str, bool]]
 
 
-@contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Session settings for what is started inside; a stream keeps those it was started with."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def ahead(row: tuple, other: tuple, order: Sequence[tuple[int, bool]]) -> bool:
     """Whether ``row`` comes before ``other``; places and directions as in ``Order``."""
     for place, descending in order:

@@ -22,7 +22,8 @@ _READING = ", ".join(f"round({c}, 9) as {c}" if c in _DOUBLES else c for c in RA
 _READING_COLUMNS = RAW_SCHEMA.fieldNames()
 _TYPED_READING = _READING.replace("last_updated", "cast(last_updated as timestamp) as last_updated")
 
-# Messages in a landed file, and files in a micro-batch: bounds that do not grow with the data.
+# Messages in a landed file, and files in a micro-batch, at least and for each core at most: bounds that do
+# not grow with the data.
 FILE_MESSAGES, BATCH_FILES = 20_000, 8
 
 
