@@ -3,10 +3,13 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from stationflow.sources.tables import PartitionedTable
 from stationflow.streaming.ingest import run_to_end, start
+from stationflow.streaming.serving import stream_daily
 from stationflow.workload.queries_streaming import batch_files
-from test_stream_latest import Job, at
+from test_stream_latest import SCHEMA, Job, at
 
 
 @pytest.fixture
@@ -29,6 +32,21 @@ def test_state_has_no_more_partitions_than_cores(spark, tmp_path, many_partition
     assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
 
 
+def test_the_daily_merge_has_no_more_tasks_a_stage_than_cores(spark, tmp_path, many_partitions):
+    """Each task of a trigger sends its metrics to the driver."""
+    Job(spark, str(tmp_path)).land([("A", at(1), 1.0, "x"), ("B", at(2), 5.0, "y")])
+    rows = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["weather_date"], "station string, n long, weather_date date")
+    query = stream_daily(rows, table, ["station"], "at", {"n": F.count("*")}, str(tmp_path / "o"))
+    run_to_end(query)
+    tracker, sizes = spark.sparkContext.statusTracker(), []
+    for job in tracker.getJobIdsForGroup(query.runId):
+        stages = [tracker.getStageInfo(stage) for stage in tracker.getJobInfo(job).stageIds]
+        sizes += [stage.numTasks for stage in stages if stage]
+    assert sizes and max(sizes) <= spark.sparkContext.defaultParallelism
+    assert {(r.station, r.n) for r in table.read().collect()} == {("A", 1), ("B", 1)}
+
+
 def test_a_given_number_of_partitions_is_kept(spark, tmp_path, many_partitions):
     Job(spark, str(tmp_path)).land([("A", at(1), 1.0, "x")])
     stations = spark.readStream.schema("station string").parquet(f"{tmp_path}/in").groupBy("station").count()
