@@ -128,12 +128,13 @@ def daily(d: Data) -> DataFrame:
 def deduplicated(d: Data) -> DataFrame:
     """Every message is delivered twice; with the repeats dropped the batch result remains."""
     path, raw = publish_raw(d), scratch_path(d.spark, "raw")
-    msg.publish(msg.read_messages(d.spark, path), path=path)
+    msg.publish(msg.read_messages(d.spark, path), path=path, maxRecordsPerFile=str(FILE_MESSAGES))
     once = dedup(_staged_stream(d, path), ["province_name", "weather_updated_at"], "weather_updated_at", _whole_period(d))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{raw}/batch={batch_id}")
 
-    run_to_end(start(once, write, scratch_path(d.spark, "offsets")))
+    with settings(d.spark, STATE_STORE):  # the state holds a key for every message of the period
+        run_to_end(start(once, write, scratch_path(d.spark, "offsets")))
     columns = ["province_name", "weather_updated_at", "weather_condition", "temperature_celsius", "humidity_percent"]
     return d.spark.read.parquet(raw).select(*columns)

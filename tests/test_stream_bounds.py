@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationflow.sources.tables import PartitionedTable
-from stationflow.streaming.ingest import run_to_end, start
+from stationflow.streaming.ingest import run_to_end, settings, start
 from stationflow.streaming.serving import stream_daily
+from stationflow.workload import QUERIES, queries_streaming, queries_tables
 from stationflow.workload.queries_streaming import batch_files
 from test_stream_latest import SCHEMA, Job, at
 
@@ -63,3 +64,25 @@ def test_triggers_are_few_and_their_files_bounded(spark, tmp_path):
             found[landed] = batch_files(spark, str(tmp_path))
         (tmp_path / f"part-{landed:05d}.txt.gz").touch()
     assert found == {0: 8, 5: 8, 40: 8, 4 * most: most // 2, 10 * most: most}
+
+
+@pytest.fixture
+def small_files(spark, tmp_path, monkeypatch):
+    """Landed files of 100 messages, which a reader would put together; what a query writes is in ``tmp_path``."""
+    for module in (queries_tables, queries_streaming):
+        monkeypatch.setattr(module, "FILE_MESSAGES", 100)
+        monkeypatch.setattr(module, "scratch_path", lambda spark, label: f"{tmp_path}/{label}-0")
+    with settings(spark, {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}):
+        yield tmp_path
+
+
+def files_of(spark, folder):
+    topic = spark.read.text([str(p) for p in folder.glob("topic-*")])
+    return [r["count"] for r in topic.groupBy(F.input_file_name()).count().collect()]
+
+
+def test_repeats_land_in_bounded_files_and_their_keys_on_disk(spark, small_files):
+    assert QUERIES["stream_dedup"](spark, "/root/testdata/sf0.001").count() == 1000
+    assert files_of(spark, small_files) == [100] * 20
+    state = {p.suffix for folder in small_files.glob("offsets-*") for p in (folder / "state").rglob("*") if p.is_file()}
+    assert ".changelog" in state and ".delta" not in state
