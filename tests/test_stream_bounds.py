@@ -86,3 +86,14 @@ def test_repeats_land_in_bounded_files_and_their_keys_on_disk(spark, small_files
     assert files_of(spark, small_files) == [100] * 20
     state = {p.suffix for folder in small_files.glob("offsets-*") for p in (folder / "state").rglob("*") if p.is_file()}
     assert ".changelog" in state and ".delta" not in state
+
+
+def triggers(checkpoint):
+    return sum(p.name.isdigit() for p in (Path(checkpoint) / "commits").iterdir())
+
+
+def test_many_files_are_ingested_in_few_triggers(spark, small_files, monkeypatch):
+    monkeypatch.setattr(queries_tables, "FILE_MESSAGES", 10)
+    assert QUERIES["stream_ingest"](spark, "/root/testdata/sf0.001").count() == 1000
+    assert len(files_of(spark, small_files)) == 225
+    assert triggers(small_files / "offsets-0") == 9  # 28 files each
