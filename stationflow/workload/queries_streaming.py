@@ -63,10 +63,11 @@ def micro_batch(d: Data) -> DataFrame:
     for half in (0, 1):
         events = d.table("events").where(F.col("event_id") % 2 == half)
         msg.publish(msg.nest_message(raw_rows(events)), path=path, maxRecordsPerFile=str(FILE_MESSAGES))
+    files = batch_files(d.spark, path, least=1)
     for into in (counted, again):
-        run_to_end(start(_stream(d, path, files=1), lambda batch, n, into=into: into.update({n: batch.count()}), checkpoint))
+        run_to_end(start(_stream(d, path, files), lambda batch, n, into=into: into.update({n: batch.count()}), checkpoint))
     sizes = counted.values()
-    row = (sum(sizes), len(sizes) > 1, max(sizes) <= FILE_MESSAGES, sum(again.values()))
+    row = (sum(sizes), len(sizes) > 1, max(sizes) <= files * FILE_MESSAGES, sum(again.values()))
     return d.spark.createDataFrame([row], "processed long, several boolean, bounded boolean, repeated int")
 
 

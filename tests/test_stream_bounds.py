@@ -97,3 +97,15 @@ def test_many_files_are_ingested_in_few_triggers(spark, small_files, monkeypatch
     assert QUERIES["stream_ingest"](spark, "/root/testdata/sf0.001").count() == 1000
     assert len(files_of(spark, small_files)) == 225
     assert triggers(small_files / "offsets-0") == 9  # 28 files each
+
+
+def test_micro_batches_are_several_and_few(spark, small_files, monkeypatch):
+    monkeypatch.setattr(queries_streaming, "FILE_MESSAGES", 10)
+    assert tuple(QUERIES["micro_batch"](spark, "/root/testdata/sf0.001").first()) == (1000, True, True, 0)
+    assert triggers(small_files / "offsets-0") == 9  # 100 files, 12 each
+
+
+def test_two_files_are_two_batches(spark, small_files, monkeypatch):
+    monkeypatch.setattr(queries_streaming, "FILE_MESSAGES", 500)
+    assert tuple(QUERIES["micro_batch"](spark, "/root/testdata/sf0.001").first()) == (1000, True, True, 0)
+    assert triggers(small_files / "offsets-0") == 2
