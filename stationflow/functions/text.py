@@ -52,13 +52,12 @@ def words(text: Column) -> Column:
 
 def word_runs(text: Column, longest: int) -> Column:
     """All runs of 1 to ``longest`` consecutive words, each once."""
-    tokens = words(text)
 
-    def runs(n: int) -> Column:
+    def runs(tokens: Column, n: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(1)))
         return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
 
-    return F.array_distinct(F.concat(*[runs(n) for n in range(1, longest + 1)]))
+    return let(words(text), lambda tokens: F.array_distinct(F.concat(*[runs(tokens, n) for n in range(1, longest + 1)])))
 
 
 def _plain_letters() -> tuple[str, str]:

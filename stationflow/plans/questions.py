@@ -21,14 +21,33 @@ def extract_places(
 
     Names are matched as runs of whole words by an equi-join, so that ``N_1`` is not found inside
     ``N_10`` and no question is compared with every place. Ties go to the first name in order.
-    The questions, which are short, are read once: their columns go along with the runs.
+    The questions, which are short, are read once: their columns go along with the runs that are
+    names, as ``_best_named`` has it.
     """
     gazetteer = places.select(F.array_join(words(F.col(name)), " ").alias("run"), F.col(name).alias("place")).distinct()
     longest = gazetteer.agg(F.max(F.size(F.split("run", " ")))).first()[0] or 1
-    runs = questions.select("*", F.explode_outer(word_runs(F.col("question"), longest)).alias("_run"))
-    named = runs.join(gazetteer.withColumnRenamed("run", "_run"), "_run", "left")
-    rank = F.when(F.col("place").isNotNull(), F.struct((-F.length("place")).alias("len"), F.col("place")))
-    return named.groupBy(*questions.columns).agg(F.min(rank)["place"].alias("place"))
+    rank = F.struct((-F.length("place")).alias("len"), F.col("place")).alias("best")
+    named = gazetteer.select(F.col("run").alias("_run"), rank)
+    best = _best_named(_with_runs(questions, word_runs(F.col("question"), longest)), questions.columns, named)
+    return best.select(*questions.columns, F.col("_best.place").alias("place"))
+
+
+def _with_runs(questions: DataFrame, runs: Column) -> DataFrame:
+    """A row for each run of a question's words, and one without a run that keeps the question. Questions
+    are dealt out by all their columns, copies of one are one."""
+    none = F.array(F.lit(None).cast("string"))
+    dealt = questions.repartition(*questions.columns).distinct()
+    return dealt.select("*", F.explode(F.concat(none, F.coalesce(runs, none))).alias("_run"))
+
+
+def _best_named(asked: DataFrame, columns: Sequence[str], named: DataFrame) -> DataFrame:
+    """Each question with the smallest ``best`` of its runs, or NULL, as ``_best``.
+
+    Of the runs only those that ``named`` has go on to the grouping, which sorts, besides the row that
+    keeps the question. Questions were dealt out, so a task sorts its share of them, and not what a file
+    that cannot be split holds; with a broadcast no second exchange is needed."""
+    kept = asked.join(named, "_run", "left").where(F.col("_run").isNull() | F.col("best").isNotNull())
+    return kept.groupBy(*columns).agg(F.min("best").alias("_best"))
 
 
 #: Edits that are forgiven in a name of so many characters, shorter ones none.
@@ -66,7 +85,7 @@ def find_places(
 
     # A run may be shorter than a name that it means by as many characters as are forgiven; a blank
     # that is missing or too many changes the number of its words by one for each.
-    asked = questions.select("*", F.explode_outer(word_runs(folded(F.col(text)), longest + most)).alias("_run"))
+    asked = _with_runs(questions, word_runs(folded(F.col(text)), longest + most))
     runs = asked.where("_run <> ''").select(F.col("_run").alias("run")).distinct()
     runs = runs.withColumn("most", _forgiven(F.length("run") + most, allowed))
 
@@ -80,8 +99,8 @@ def find_places(
     digits = lambda c: F.regexp_replace(c, r"[^0-9]", "")
     near = near.where((F.col("edits") <= F.col("most")) & (digits("run") == digits("name")))
     rank = F.struct(F.col("edits"), (-F.length("place")).alias("len"), F.col("place"))
-    best = near.groupBy("run").agg(F.min(rank).alias("best")).withColumnRenamed("run", "_run")
-    named = asked.join(best, "_run", "left").groupBy(*questions.columns).agg(F.min("best").alias("_best"))
+    best = near.groupBy(F.col("run").alias("_run")).agg(F.min(rank).alias("best"))
+    named = _best_named(asked, questions.columns, best)
     return named.select(*questions.columns, F.col("_best.place").alias("place"), F.col("_best.edits").alias("edits"))
 
 
