@@ -18,3 +18,11 @@ def test_words_that_are_no_place_are_not_sorted(spark, search):
     below = plan[plan.index(grouping) :].splitlines()[1:3]
     assert any("Filter" in line and "isnotnull" in line for line in below), plan
     assert "RepartitionByExpression" in plan
+
+
+@pytest.mark.parametrize("search", [qa.extract_places, qa.find_places])
+def test_questions_without_words_or_keys_keep_their_row(spark, search):
+    asked = spark.createDataFrame([(None,), ("",), ("?!",), ("in Alpha",), ("in Alpha",), ("Alpha Beach or Alpha",)], "question string")
+    places = spark.createDataFrame([("Alpha",), ("Alpha Beach",), (None,)], "province_name string")
+    found = {(r.question, r.place) for r in search(asked, places).collect()}
+    assert found == {(None, None), ("", None), ("?!", None), ("in Alpha", "Alpha"), ("Alpha Beach or Alpha", "Alpha Beach")}
