@@ -26,3 +26,11 @@ def test_questions_without_words_or_keys_keep_their_row(spark, search):
     places = spark.createDataFrame([("Alpha",), ("Alpha Beach",), (None,)], "province_name string")
     found = {(r.question, r.place) for r in search(asked, places).collect()}
     assert found == {(None, None), ("", None), ("?!", None), ("in Alpha", "Alpha"), ("Alpha Beach or Alpha", "Alpha Beach")}
+
+
+def test_answers_sort_a_share_of_the_questions(spark):
+    """The questions that are answered come dealt out, from one partition, before their words are."""
+    asked = spark.range(0, 100, 1, 1).selectExpr("id as question_id", "'weather in Alpha' as question")
+    places = spark.createDataFrame([("Alpha",)], "province_name string")
+    plan = qa.with_kind(qa.extract_places(asked, places), "2024-01-30")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RepartitionByExpression")
