@@ -21,6 +21,8 @@ REGISTERS = BANDS * ROWS
 SKETCH = [f"o{i}" for i in range(16)]
 #: What is known of a text beside its bands.
 BITS = ["n", "s1", "s2", *SKETCH]
+#: Bytes of text that a task takes the shingles of at once; their arrays take many times as much.
+SIGNED_BYTES = 1 << 19
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -107,7 +109,7 @@ def signatures(docs: DataFrame, doc_id: Column, text: Column) -> DataFrame:
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, budget=SIGNED_BYTES):
                 texts, missing = part.num_rows, part.column(1).is_null()
                 found, owner, keys = shingles(*_words_of(part))
                 found, owner, weight = weighted(found, owner)
@@ -165,7 +167,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: Column
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, budget=SIGNED_BYTES):
                 found, owner, keys = shingles(*_words_of(part))
                 ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
                 each = [np.unique(found[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]

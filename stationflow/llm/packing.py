@@ -49,8 +49,7 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.known: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-        self.former_known, self.former_cores = self.known, self.cores
+        self.former = self.known
         self.marks: dict[str, bytes] = {"": b""}
 
     def encoded(self, texts: list[str]) -> list[bytes]:
@@ -59,32 +58,30 @@ class WordTokenizer:
     def learn(self, words: list[bytes]) -> None:
         others = []
         for raw in words:
-            if former := self.former_known.get(raw):
+            if former := self.former.get(raw):
                 self.known[raw] = former
                 continue
-            word = raw.decode()
-            found = PLAIN.fullmatch(word)
+            found = PLAIN.fullmatch(raw.decode())
             if not found:
                 others.append(raw)
                 continue
             core, mark = found[1].lower(), found[2]
-            if core not in self.cores:
-                if not (ids := self.former_cores.get(core)):
-                    letters = core if core.isascii() else core.encode().decode("latin-1").translate(self.letters)
-                    ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-                self.cores[core] = ids
+            # A plain word without marks is its own core, so cores are found among the words.
+            bare = core.encode()
+            if not (ids := self.known.get(bare) or self.former.get(bare)):
+                letters = core if core.isascii() else bare.decode("latin-1").translate(self.letters)
+                ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            self.known[bare] = ids
             if mark not in self.marks:
                 self.marks[mark] = self.encoded([mark])[0]
-            self.known[raw] = self.cores[core] + self.marks[mark]
+            self.known[raw] = ids + self.marks[mark]
         self.known.update(zip(others, self.encoded([w.decode() for w in others])))
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
         split = [t.split() for t in texts]
         if len(self.known) > REMEMBERED_WORDS:
-            self.known, self.former_known = {}, self.known
-        if len(self.cores) > REMEMBERED_WORDS:
-            self.cores, self.former_cores = {}, self.cores
+            self.known, self.former = {}, self.known
         if len(self.marks) > REMEMBERED_WORDS:
             self.marks = {"": b""}
         self.learn(list(set().union(*split).difference(self.known)))

@@ -88,3 +88,19 @@ def test_two_documents_replace_the_smallest():
 def test_every_document_is_packed_once(lengths):
     bins = packed(lengths, 50)
     assert sum(times for times, _ in bins) <= 1.5 * sum(lengths) / 50 + len([n for n in lengths if n > 25]) + 1
+
+
+def test_a_word_is_remembered_once():
+    """Also one that stands with marks and in capitals; only what a text has is remembered besides."""
+    encoder = WordTokenizer(TOKENIZER)
+    encoder.ids([b"apple Banana cherry, CHERRY"])
+    held = {id(v): len(v) for v in vars(encoder).values() if isinstance(v, dict) and v is not encoder.letters}
+    assert sum(held.values()) == len({b"apple", b"Banana", b"banana", b"cherry,", b"cherry", b"CHERRY"}) + len({"", ","})
+
+
+def test_forgotten_words_are_found_again(monkeypatch):
+    monkeypatch.setattr("stationflow.llm.packing.REMEMBERED_WORDS", 5)
+    texts = ["One two, three FOUR five; six seven", "one Two three, four five", "Seven six, two", "naïve Élan élan. x1 x1,"]
+    encoder, tokenizer = WordTokenizer(TOKENIZER), direct()
+    for text in texts * 3:
+        assert np.frombuffer(encoder.ids([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
