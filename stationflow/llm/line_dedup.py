@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -110,20 +109,27 @@ class CuckooFilter:
             members = max(8, 2 * members)
 
 
-def _updated_filter(key: tuple, changes: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+def _hashes(rows: pa.Table) -> np.ndarray:
+    return rows["k1"].to_numpy().view(U64)
+
+
+def _updated_filter(key: tuple, changes: pa.Table, before: pa.Table) -> pa.Table:
     """One shard's filter after its keys have come in or gone out of the shared ones."""
-    hashes, change = changes["k1"].to_numpy(np.int64).view(U64), changes["change"].to_numpy()
-    filter_ = CuckooFilter.from_bytes(before["filter"].iloc[0]) if len(before) else None
+    hashes, change = _hashes(changes), changes["change"].to_numpy()
+    filter_ = CuckooFilter.from_bytes(before["filter"][0].as_py()) if len(before) else None
     if filter_ is not None and (change >= 0).sum() <= 0.85 * filter_.table.size:
         filter_.delete(hashes[change < 0])
-        if filter_.insert(hashes[change > 0]):
-            return pd.DataFrame({"shard": [key[0]], "filter": [filter_.to_bytes()]})
-    return pd.DataFrame({"shard": [key[0]], "filter": [CuckooFilter.holding(hashes[change >= 0]).to_bytes()]})
+        if not filter_.insert(hashes[change > 0]):
+            filter_ = None
+    else:
+        filter_ = None
+    filter_ = filter_ or CuckooFilter.holding(hashes[change >= 0])
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([filter_.to_bytes()], pa.binary())})
 
 
-def _probed(key: tuple, rows: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-    found = CuckooFilter.from_bytes(filters["filter"].iloc[0]).contains(rows["k1"].to_numpy(np.int64).view(U64)) if len(filters) else np.zeros(len(rows), bool)
-    return rows.loc[found, ["doc_id", "k1", "k2"]]
+def _probed(key: tuple, rows: pa.Table, filters: pa.Table) -> pa.Table:
+    found = CuckooFilter.from_bytes(filters["filter"][0].as_py()).contains(_hashes(rows)) if len(filters) else np.zeros(len(rows), bool)
+    return rows.select(["doc_id", "k1", "k2"]).filter(pa.array(found))
 
 
 @dataclass(frozen=True)
@@ -151,10 +157,11 @@ class LineIndex:
         """``shards``: so many that a shard's shared keys fit in a task (some millions)."""
         spark = docs.sparkSession
         references = durable(line_references(docs, doc_id, text, least), "line-references")
-        kind = references.schema["doc_id"].dataType.simpleString()
-        counts = spark.createDataFrame([], f"k1 long, k2 long, n_docs long, last_doc {kind}, shard int")
-        empty = cls(references.limit(0), counts, spark.createDataFrame([], "shard int, filter binary"), min_docs, shards, least)
-        return empty._with(references, None)
+        # Rows that createDataFrame makes, even none, would start Python workers of another kind.
+        none = references.limit(0)
+        counts = none.selectExpr("k1", "k2", "cast(0 as long) as n_docs", "doc_id as last_doc", "0 as shard")
+        filters = spark.range(0).selectExpr("cast(id as int) as shard", "cast(null as binary) as filter")
+        return cls(none, counts, filters, min_docs, shards, least)._with(references, None)
 
     def insert(self, docs: DataFrame, doc_id: Column, text: Column) -> LineIndex:
         """With more documents; what the index has of them already is not counted again."""
@@ -184,7 +191,7 @@ class LineIndex:
         else:
             both = was.withColumn("a", F.lit(1)).join(now.withColumn("b", F.lit(1)), ["shard", "k1", "k2"], "full")
             changes, before = both.withColumn("change", F.coalesce("b", F.lit(0)) - F.coalesce("a", F.lit(0))), self.filters
-        filters = changes.groupBy("shard").cogroup(before.groupBy("shard")).applyInPandas(_updated_filter, "shard int, filter binary")
+        filters = changes.groupBy("shard").cogroup(before.groupBy("shard")).applyInArrow(_updated_filter, "shard int, filter binary")
         return replace(self, references=references, counts=counts, filters=durable(filters, "line-filters"))
 
     def shared_lines(self, references: DataFrame) -> DataFrame:
@@ -196,7 +203,7 @@ class LineIndex:
         rows = rows.join(F.broadcast(salts), "shard").withColumn("salt", F.pmod(F.xxhash64("doc_id", "k2"), F.col("salts")).cast("int"))
         copies = self.filters.join(F.broadcast(salts), "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
         screened = rows.drop("salts").groupBy("shard", "salt").cogroup(copies.select("shard", "salt", "filter").groupBy("shard", "salt"))
-        screened = screened.applyInPandas(_probed, f"doc_id {kind}, k1 long, k2 long")
+        screened = screened.applyInArrow(_probed, f"doc_id {kind}, k1 long, k2 long")
         exact = self.counts.where(F.col("n_docs") >= self.min_docs).select("k1", "k2", "last_doc")
         return screened.join(exact, ["k1", "k2"]).where(~F.col("doc_id").eqNullSafe(F.col("last_doc"))).select("doc_id", "k1", "k2")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from stationflow.llm.common import in_small_batches, steps
 from stationflow.session import durable
 
-#: Words whose ids a task remembers. At so many it starts anew, but takes over from the last so many
+#: Words whose ids a task remembers until it ends. At so many it starts anew, but takes over from the last so many
 #: what it meets again, so frequent words stay and its memory is bounded.
 REMEMBERED_WORDS = 300_000
 
@@ -87,6 +87,10 @@ class WordTokenizer:
         self.learn(list(set().union(*split).difference(self.known)))
         return [b"".join(map(self.known.__getitem__, found)) for found in split]
 
+    def forget(self) -> None:
+        self.known, self.marks = {}, {"": b""}
+        self.former = self.known
+
 
 def word_tokenizer(path: str) -> WordTokenizer:
     """One for each Python worker and path."""
@@ -105,6 +109,13 @@ def token_pieces(docs: DataFrame, doc_id: Column, text: Column, tokenizer: str,
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
+        try:
+            yield from cut(batches, encoder)
+        finally:  # the worker goes on with other operators' tasks
+            encoder.forget()
+            pa.default_memory_pool().release_unused()
+
+    def cut(batches: Iterator[pa.RecordBatch], encoder: WordTokenizer) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch):
                 texts = [t or b"" for t in part.column(1).to_pylist()]
@@ -112,8 +123,8 @@ def token_pieces(docs: DataFrame, doc_id: Column, text: Column, tokenizer: str,
                 for i, ids in enumerate(encoder.ids(texts)):
                     ids += ending
                     for k, at in enumerate(range(0, len(ids), width)):
-                        cut = ids[at : at + width]
-                        for column, value in zip(out.values(), (i, k, at // 4, len(cut) // 4, zlib.crc32(cut), cut)):
+                        own = ids[at : at + width]
+                        for column, value in zip(out.values(), (i, k, at // 4, len(own) // 4, zlib.crc32(own), own)):
                             column.append(value)
                 arrays = [part.column(0).take(pa.array(out["of"], pa.int32())), pa.array(out["piece"], pa.int32())]
                 arrays += [pa.array(out[c], pa.int64()) for c in ("start", "length", "crc")]

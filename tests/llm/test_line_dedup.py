@@ -111,3 +111,18 @@ def test_filter_rarely_lets_strangers_pass():
     rng = np.random.default_rng(1)
     held = CuckooFilter.holding(rng.integers(0, 2**63, 50_000).astype(U64))
     assert held.contains(rng.integers(0, 2**63, 100_000).astype(U64) + U64(1 << 63)).mean() < 1e-3
+
+
+def test_wide_ids_beside_a_missing_one(spark):
+    """Ids that no double holds stay what they are, though a row of the same lines has none."""
+    rows = [(2**60 + i, f"{SHARED[0]}\nmine {i}") for i in (1, 3, 5)] + [(None, SHARED[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(LineIndex.build(docs, F.col("doc_id"), F.col("text"), shards=1).clean(docs), rows)
+
+
+def test_an_index_starts_no_workers_for_what_is_empty(spark, monkeypatch):
+    """Executors would hold them beside those of the operators."""
+    rows = shared_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    check(LineIndex.build(docs, F.col("doc_id"), F.col("text"), shards=4).clean(docs), rows)

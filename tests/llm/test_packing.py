@@ -4,11 +4,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stationflow.llm.packing import WordTokenizer, best_two_fit
+from stationflow.llm import packing
+from stationflow.llm.packing import WordTokenizer, best_two_fit, token_pieces
 from stationflow.llm.queries import QUERIES
 from stationflow.llm.queries_text import TOKENIZER
 
@@ -104,3 +107,15 @@ def test_forgotten_words_are_found_again(monkeypatch):
     encoder, tokenizer = WordTokenizer(TOKENIZER), direct()
     for text in texts * 3:
         assert np.frombuffer(encoder.ids([text.encode()])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_a_worker_keeps_no_words_for_later_tasks(spark, folder):
+    """Other operators' tasks in the same worker need the memory."""
+    docs = spark.read.parquet(f"{folder}/odd/documents.parquet").repartition(8)
+    assert token_pieces(docs, F.col("doc_id"), F.col("text"), TOKENIZER).count() > 30
+
+    def held(batches):
+        for _ in batches:
+            yield pa.record_batch([pa.array([sum(len(t.known) + len(t.former) for t in packing._TOKENIZERS.values())])], ["n"])
+
+    assert {r["n"] for r in spark.range(64, numPartitions=8).mapInArrow(held, "n long").collect()} == {0}
