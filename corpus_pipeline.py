@@ -68,7 +68,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mix = mix_sources(docs, F.col("doc_id"), F.col("source"), word_count(F.col("text")), carry={"text_hash": F.xxhash64("text")})
     spans = mix.spans.groupBy("_src", "_start", "epoch")
     spans = spans.agg(F.sum("length").alias("taken"), F.sort_array(F.collect_list(F.struct("first", "length"))).alias("spans"))
-    rows = mix.documents.where("size > 0").select("_src", "_start", F.struct("doc_id", "source", "text_hash").alias("key"), "size")
+    # Written before the texts are read, as what a query gathers at once is the driver's load.
+    spans = durable(spans, "mixed-spans")
+    rows = mix.placed.where("size > 0").select("_src", "_start", F.struct("doc_id", "source", "text_hash").alias("key"), "size")
     # Rows that repeat an id, a source and a text have a place in the stream each; their texts are
     # equal, so each is found once.
     texts = _packed(docs).withColumn("key", F.struct("doc_id", F.col("row.source").alias("source"), F.xxhash64("text").alias("text_hash")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -165,14 +166,20 @@ def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rat
         return LanguageModel([], np.zeros((1 << BUCKET_BITS, 1)), np.zeros(1), 1.0, np.zeros((1, 1 << SEEN_BITS), U64), np.zeros(3), 0.0)
     order = np.random.default_rng(seed).permutation(len(texts))
     target = np.array([languages.index(x) for x in langs])[order]
-    grams = []  # each text's different buckets and their shares
-    longer = []  # and its longer subwords
+    # Each text's different buckets, their shares and its longer subwords, one text after the other in
+    # flat arrays: freed ones go back to the system, many small ones would not.
+    buckets, shares, longer = array("i"), array("d"), array("i")
+    grams, seens = [0], [0]
     for i in order:
         data, bounds = utf8(pa.array([texts[i].lower()], pa.large_string()))
         hashes, _, short = subwords(data, bounds)
         found, count = np.unique(hashes >> (SEEN_BITS - BUCKET_BITS), return_counts=True)
-        grams.append((found, count / (count.sum() + NEUTRAL)))
-        longer.append(np.unique(hashes[short:]))
+        buckets.frombytes(found.astype(np.int32).tobytes())
+        shares.frombytes((count / (count.sum() + NEUTRAL)).tobytes())
+        longer.frombytes(np.unique(hashes[short:]).tobytes())
+        grams.append(len(buckets))
+        seens.append(len(longer))
+    buckets, shares, longer = np.asarray(buckets), np.asarray(shares), np.asarray(longer)
     held = max(1, len(texts) // 5)
     alone = ~np.isin(target[:held], target[held:])
     train = np.concatenate([np.flatnonzero(alone), np.arange(held, len(texts))])
@@ -184,9 +191,9 @@ def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rat
         step = rate * (1 - epoch / epochs)
         for at in range(0, len(train), batch):
             part = train[at : at + batch]
-            ids = np.concatenate([grams[i][0] for i in part])
-            share = np.concatenate([grams[i][1] for i in part])
-            row = np.repeat(np.arange(len(part)), [len(grams[i][0]) for i in part])
+            ids = np.concatenate([buckets[grams[i] : grams[i + 1]] for i in part])
+            share = np.concatenate([shares[grams[i] : grams[i + 1]] for i in part])
+            row = np.repeat(np.arange(len(part)), [grams[i + 1] - grams[i] for i in part])
             hidden = np.stack([np.bincount(row, embed[ids, d] * share, minlength=len(part)) for d in range(dim)], axis=1)
             error = _softmax(hidden @ out + bias)
             error[np.arange(len(part)), target[part]] -= 1
@@ -197,7 +204,7 @@ def fit(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 12, rat
     seen = np.zeros((-(-len(languages) // 64), 1 << SEEN_BITS), U64)
     for i in train:
         word, bit = divmod(int(target[i]), 64)
-        seen[word, longer[i]] |= U64(1 << bit)
+        seen[word, longer[seens[i] : seens[i + 1]]] |= U64(1 << bit)
     model = LanguageModel(languages, (embed @ out).astype(np.float64), bias, 1.0, seen, np.zeros(3), 0.0)
 
     checked = [texts[i] for i in order[:held]]

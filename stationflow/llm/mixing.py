@@ -121,12 +121,14 @@ class Mix:
     """``documents``: doc_id, source, size, source_size, target, taken, _src, _start. ``spans``:
     one row for each stretch of words that the mix takes: shard, slot, epoch, block, _src, _start,
     first (word of the document), length. ``sources``: one row a source. ``counts``: the drawn
-    source counts: shard, _src, _n."""
+    source counts: shard, _src, _n. ``placed``: documents, with what is carried, without taken: for
+    those who count the spans themselves."""
 
     documents: DataFrame
     spans: DataFrame
     sources: DataFrame
     counts: DataFrame
+    placed: DataFrame
 
 
 def mix_sources(
@@ -224,4 +226,4 @@ def mix_sources(
     taken = taken.select(F.col("_src").alias("_a"), F.col("_start").alias("_b"), "_taken")
     same = (F.col("_src") == F.col("_a")) & (F.col("_start") == F.col("_b")) & (F.col("size") > 0)
     documents = placed.join(taken, same, "left").withColumn("taken", F.coalesce("_taken", F.lit(0)).cast("long"))
-    return Mix(documents.drop("_a", "_b", "_taken"), spans, sources, counts)
+    return Mix(documents.drop("_a", "_b", "_taken"), spans, sources, counts, placed)

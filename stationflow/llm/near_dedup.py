@@ -232,10 +232,12 @@ def near_duplicates(docs: DataFrame, doc_id: Column, text: Column, least: float
     links = _similar(durable(best, "near-pairs"), nodes, docs, doc_id, text, least)
     roots = components(links)
 
-    # What is left: pairs of a bucket in different classes, one of them not in the head's class.
+    # What is left: pairs of a bucket in different classes, one of them not in the head's class. Each
+    # join of its own table is written before the next, as what a query gathers at once is the driver's load.
     known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = known.where("node = head").select("band", F.col("root").alias("main"))
     minor = known.join(heads, "band").where("root <> main").select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
+    minor = durable(minor, "near-minor")
     mixed = known.join(minor.select("band").dropDuplicates(), "band", "left_semi")
     mixed = mixed.select("band", F.col("node").alias("b"), F.col("root").alias("rb"))
     minor, mixed = minor.join(_told(bits, "a"), "a").alias("x"), mixed.join(_told(bits, "b"), "b").alias("y")
@@ -243,11 +245,14 @@ def near_duplicates(docs: DataFrame, doc_id: Column, text: Column, least: float
     pairs = minor.join(mixed, holds).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).dropDuplicates()
     tried = best.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     pairs = durable(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
-    roots = components(links.unionByName(_similar(pairs, nodes, docs, doc_id, text, least)))
+    if not pairs.isEmpty():
+        # The first links' stars stand for them.
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(stars.unionByName(_similar(pairs, nodes, docs, doc_id, text, least)))
 
     classes = nodes.select("node", "k1", "k2", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = classes.groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    classes = classes.join(ids, "root").select("k1", "k2", "root", "class_id")
+    classes = durable(classes.join(ids, "root").select("k1", "k2", "root", "class_id"), "near-classes")
     found = signed.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"], "left")
     own = F.when(F.col("k1").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
     return found.select("doc_id", own.alias("class_id"), "root")

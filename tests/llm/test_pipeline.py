@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from stationflow.llm import language_id
+from stationflow.llm import components, language_id, mixing, near_dedup
 from stationflow.session import durable
 from test_line_dedup import brute as lines_kept
 from test_native import WORD, brute_targets
@@ -158,3 +158,24 @@ def test_language_stage_drops_foreign_texts(spark):
     kept = durable(pipeline.language_id(spark, docs.unionByName(foreign), ""), "test-foreign")
     assert kept.where(f"doc_id >= {10**9}").count() == 0
     assert kept.count() > 0.98 * docs.where("text rlike '[a-zA-Z]'").count()
+
+
+def test_no_query_reads_many_tables_at_once(spark, monkeypatch):
+    """All that a query reads or gathers first is under way at the same time, and the driver holds
+    what each of them needs: ten reads at most, whatever the stage, and no second pass for nothing."""
+    reads, passes = [], []
+
+    def leaves(frame):
+        reads.append(frame._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return frame
+
+    for module in (near_dedup, components, mixing, pipeline):
+        monkeypatch.setattr(module, "durable", lambda df, label: durable(leaves(df), label))
+    monkeypatch.setattr(near_dedup, "components", lambda links: passes.append(1) or components.components(links))
+    base = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, base if i < 3 else " ".join(f"t{i}x{k}" for k in range(60)), "en", f"s{i % 3}", 0) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    near = durable(leaves(pipeline.near_dedup(spark, docs, "")), "test-near")
+    assert near.count() == 28 and len(passes) == 1
+    leaves(pipeline.mixing(spark, near, ""))
+    assert max(reads) <= 10, reads
